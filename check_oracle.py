@@ -56,9 +56,9 @@ def difference(query: Query, spark: SparkSession, connection, sf_dir: str) -> st
     ours, theirs = _bag(result.columns, rows), _bag(names, answer.fetchall())
     if ours == theirs:
         return None if ours else "no rows on either side"
-    extra = [row for row in ours if row not in set(theirs)][:3]
-    missing = [row for row in theirs if row not in set(ours)][:3]
-    return f"{len(ours)} rows != {len(theirs)} rows; only ours {extra}; only SQL {missing}"
+    extra = sorted(set(ours) - set(theirs))[:3]
+    missing = sorted(set(theirs) - set(ours))[:3]
+    return f"{len(ours)} rows != {len(theirs)} rows; only ours {extra}; only SQL {missing}"[:1500]
 
 
 def main() -> None:

@@ -30,6 +30,10 @@ def save_counts(counts: DataFrame, path: str) -> None:
     counts.select("word", "counter").write.mode("overwrite").options(**_DELIMITED).csv(path)
 
 
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("word string, counter bigint").options(**_DELIMITED).csv(path)
+
+
 def create_external_table(spark: SparkSession, database: str, name: str, path: str, home: str) -> str:
     """SQL1-SQL3: declare a directory tree of delimited text as a table."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{home}'")

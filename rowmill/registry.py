@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 PLAN_MODULES = (
-    "scans", "writes", "columns", "joins", "aggregates", "windows",
+    "scans", "writes", "columns", "joins", "aggregates", "windows", "scalars", "udfs", "layout",
+    "streams", "models", "applications",
 
 )
 
