@@ -1,8 +1,9 @@
 """Group values on every row, and latest rows per key, without gathering a group in one task.
 
 A window over ``partitionBy(key)`` sorts all rows of a key in a single task.  Where the value is
-an aggregate, these operators aggregate first (partial sums before the shuffle) and join the one
-row per key back: Catalyst broadcasts it when it is small, and AQE splits a hot key when not.
+an aggregate, these operators aggregate first (partial sums before the shuffle), store the one row
+per key, and join it back.  Stored, its size is known: a small one is broadcast and the table is
+never shuffled; a large one is a sort-merge join in which AQE splits a hot key.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from rowmill.session import settle
+
 
 def with_group_values(df: DataFrame, keys: list[str], **values: Column) -> DataFrame:
     """WIN1, WIN5: add aggregates of each row's group to the row; NULL keys form a group."""
     per_key = df.groupBy(*keys).agg(*[value.alias(name) for name, value in values.items()])
-    right = per_key.select(
+    right = settle(per_key.select(
         *[F.col(key).alias(f"__key_{i}") for i, key in enumerate(keys)], *values.keys()
-    )
+    ), "group-values")
     same = [df[key].eqNullSafe(right[f"__key_{i}"]) for i, key in enumerate(keys)]
     condition = same[0]
     for part in same[1:]:

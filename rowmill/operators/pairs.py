@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.session import settle
+
 
 def _label_products(left: DataFrame, right: DataFrame, on: list[str], label: str) -> DataFrame:
     """Ordered label pairs and how many row pairs they stand for; rows are counts already."""
@@ -54,10 +56,11 @@ def banded_label_pair_counts(
         .withColumn("__bucket", F.floor(F.col("__pos") / width))
         .withColumn("__offset", F.pmod(F.col("__pos"), F.lit(width)))
     )
+    counts = settle(counts, "pair-counts")
     spans = counts.groupBy(*keys).agg(
         (F.max("__pos") - F.min("__pos") < width).alias("__tight")
     )
-    counts = counts.join(spans, keys)
+    counts = settle(counts.join(spans, keys), "pair-spans")
 
     tight = counts.where("__tight").groupBy(*keys, label).agg(F.sum("n").alias("n"))
     close = _label_products(tight, tight, keys, label)

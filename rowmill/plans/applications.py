@@ -28,7 +28,7 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("stop "), part % 5).alias("origin"), F.concat(F.lit("stop "), line % 4).alias("destination"),
         F.when(F.col("l_linestatus") == "F", "2019").otherwise("2020").alias("year"),
         F.dayofmonth("l_shipdate").cast(text).alias("day"),
-        F.when(part % 9 != 0, (quantity / 4).cast(text)).alias("trip_duration_hours"),
+        F.when(part % 9 != 0, F.sqrt(quantity).cast(text)).alias("trip_duration_hours"),
         F.when(part % 4 != 0, (quantity % 13).cast(text)).alias("delay_start_minutes"),
         F.when(part % 5 == 0, "n/a").otherwise((part % 17).cast(text)).alias("delay_end_minutes"),
         F.when(part % 7 != 0, (quantity * 10).cast(text)).alias("travelled_distance_km"),
@@ -40,7 +40,7 @@ _TRIPS_SQL = """
                    CAST(l_suppkey AS VARCHAR) AS line_number, l_returnflag,
                    'stop ' || (l_partkey % 5) AS origin, 'stop ' || (l_suppkey % 4) AS destination,
                    CASE WHEN l_linestatus = 'F' THEN 7 ELSE 8 END AS month, day(l_shipdate) AS day,
-                   CASE WHEN l_partkey % 9 <> 0 THEN l_quantity / 4 END AS duration,
+                   CASE WHEN l_partkey % 9 <> 0 THEN sqrt(l_quantity) END AS duration,
                    CASE WHEN l_partkey % 4 <> 0 THEN l_quantity % 13 ELSE 0 END
                    + CASE WHEN l_partkey % 5 = 0 THEN 0 ELSE l_partkey % 17 END AS delay,
                    CASE WHEN l_partkey % 7 <> 0 THEN l_quantity * 10 END AS distance

@@ -222,7 +222,7 @@ def src_part_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     ddl = "id bigint, balance double"
     table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").repartition(4).write.csv(path)
     whole = files.read_delimited(spark, path, ddl, header=False)
-    first = files.part_files(whole)[0]
+    first = files.first_part_file(whole)
     rest = whole.where(F.col("_metadata.file_path") != first)
     return files.read_delimited(spark, first, ddl, header=False).unionByName(rest)
 

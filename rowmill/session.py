@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
 
@@ -52,6 +52,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/rowmill/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Compute a frame once into the shared folder and go on from the stored rows.
+
+    Lineage ends there, every later use reads files instead of recomputing, and Catalyst plans
+    with the stored size: a small result is broadcast because it is known to be small.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a shared folder where the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

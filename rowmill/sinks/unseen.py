@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 
 from rowmill.operators.groups import latest_rows
 from rowmill.operators.joins import unseen
+from rowmill.session import settle
 from rowmill.sources.files import read_or_empty
 
 
 def append_unseen(new: DataFrame, path: str, ddl: str, keys: list[str], order: list[str]) -> bool:
     """Append the rows whose keys the target lacks, one per key; say whether there were any.
 
-    Running it again with the same rows changes nothing.  The emptiness test stops at the first
-    row found.
+    Running it again with the same rows changes nothing.  The fresh rows are staged, so that the
+    emptiness test and the append do not compute them twice.
     """
-    fresh = latest_rows(unseen(new, read_or_empty(new.sparkSession, path, ddl), keys), keys, order)
+    target = read_or_empty(new.sparkSession, path, ddl)
+    fresh = settle(latest_rows(unseen(new, target, keys), keys, order), "fresh")
     if fresh.isEmpty():
         return False
     fresh.write.mode("append").parquet(path)

@@ -65,10 +65,9 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def part_files(df: DataFrame) -> list[str]:
-    """SRC15: the files behind a scanned directory, from file metadata."""
-    rows = df.select(F.col("_metadata.file_path").alias("path")).distinct().collect()
-    return sorted(row["path"] for row in rows)
+def first_part_file(df: DataFrame) -> str:
+    """SRC15: the first file behind a scanned directory, from file metadata."""
+    return df.agg(F.min("_metadata.file_path")).first()[0]
 
 
 def fold_files(

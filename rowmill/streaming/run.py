@@ -17,6 +17,16 @@ def state_partitions(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)
 
 
+def stateful_settings(spark: SparkSession) -> dict[str, str]:
+    """State on executor disks with changelog checkpoints, so that it may outgrow the heap."""
+    return {
+        "spark__sql__shuffle__partitions": str(state_partitions(spark)),
+        "spark__sql__streaming__stateStore__providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+    }
+
+
 def available_now(writer: DataStreamWriter, checkpoint: str) -> DataStreamWriter:
     """ST13, ST19: process what is there, then stop; the checkpoint is always named."""
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -34,7 +44,7 @@ def finish(query: StreamingQuery) -> None:
 
 def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **options) -> None:
     """ST10, ST16: append to files whose log makes committed batches exactly once."""
-    with session_settings(stream.sparkSession, spark__sql__shuffle__partitions=state_partitions(stream.sparkSession)):
+    with session_settings(stream.sparkSession, **stateful_settings(stream.sparkSession)):
         writer = stream.writeStream.outputMode("append").format(fmt).options(path=path, **options)
         finish(available_now(writer, checkpoint).start())
 
@@ -46,7 +56,7 @@ def to_batch_dirs(stream: DataFrame, path: str, checkpoint: str, mode: str) -> D
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     spark = stream.sparkSession
-    with session_settings(spark, spark__sql__shuffle__partitions=state_partitions(spark)):
+    with session_settings(spark, **stateful_settings(spark)):
         writer = stream.writeStream.outputMode(mode).foreachBatch(write)
         finish(available_now(writer, checkpoint).start())
     return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
@@ -68,7 +78,7 @@ def newest_version(written: DataFrame, keys: list[str]) -> DataFrame:
 def to_memory(stream: DataFrame, name: str, checkpoint: str, mode: str) -> DataFrame:
     """ST15: a driver-held table for results known to be small; read it with SQL by its name."""
     spark = stream.sparkSession
-    with session_settings(spark, spark__sql__shuffle__partitions=state_partitions(spark)):
+    with session_settings(spark, **stateful_settings(spark)):
         writer = stream.writeStream.outputMode(mode).format("memory").queryName(name)
         finish(available_now(writer, checkpoint).start())
     return spark.table(name)
