@@ -9,15 +9,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType
 
 
-@F.udf("bigint")
+@F.udf(LongType())
 def root_step_python(value):
     """UDF1: row-at-a-time form of ``floor(sqrt(x)) + 1``."""
     return None if value is None else math.floor(math.sqrt(value)) + 1
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def root_step_pandas(values: pd.Series) -> pd.Series:
     """UDF4: the same over Arrow batches."""
     return (np.floor(np.sqrt(values.astype("float64"))) + 1).astype("Int64")
@@ -37,7 +38,7 @@ def linear_scorer(spark: SparkSession, coefficients: list[float], intercept: flo
     """UDF5: score rows by a broadcast linear model, one unpickling per task, batch by batch."""
     model = spark.sparkContext.broadcast((np.asarray(coefficients, dtype="float64"), float(intercept)))
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         weights, bias = model.value
         for batch in batches:
@@ -49,22 +50,22 @@ def linear_scorer(spark: SparkSession, coefficients: list[float], intercept: flo
     return score
 
 
-@F.udf("int")
+@F.udf(IntegerType())
 def total_length_udf(items):
     return None if items is None else sum(len(item) for item in items)
 
 
-@F.udf("array<string>")
+@F.udf(ArrayType(StringType()))
 def upper_all_udf(items):
     return None if items is None else [item.upper() for item in items]
 
 
 def containing_udf(text: str):
-    return F.udf(lambda items: None if items is None else [i for i in items if text in i], "array<string>")
+    return F.udf(lambda items: None if items is None else [i for i in items if text in i], ArrayType(StringType()))
 
 
 def any_longer_udf(length: int):
-    return F.udf(lambda items: None if items is None else any(len(i) > length for i in items), "boolean")
+    return F.udf(lambda items: None if items is None else any(len(i) > length for i in items), BooleanType())
 
 
 def tag_partitions(df: DataFrame, name: str = "partition_id") -> DataFrame:

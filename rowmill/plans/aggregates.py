@@ -227,21 +227,21 @@ _WORDS_SQL = r"""
 
 @query("AGG16", f"WITH {_WORDS_SQL} SELECT word, counter FROM c")
 def wc_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count.count_words(table(spark, sf_dir, "documents"), "text")
+    return word_count.count_words(table(spark, sf_dir, "documents", heavy=True), "text")
 
 
 @query("AGG17 STR6 ARR1", """
     SELECT word, count(*) AS counter FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1
 """)
 def wc_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count.count_space_tokens(table(spark, sf_dir, "documents"), "text")
+    return word_count.count_space_tokens(table(spark, sf_dir, "documents", heavy=True), "text")
 
 
 @query("SQL1 SQL2 SQL3 SQL4 ORD3 AGG16", f"WITH {_WORDS_SQL} SELECT word, counter FROM c ORDER BY counter DESC, word LIMIT 5")
 def sql_external_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts stored as delimited text below a directory, declared as a table, queried by SQL."""
     path = fresh_path(spark, "word-counts")
-    word_count.save_counts(word_count.count_words(table(spark, sf_dir, "documents"), "text"), f"{path}/run")
+    word_count.save_counts(word_count.count_words(table(spark, sf_dir, "documents", heavy=True), "text"), f"{path}/run")
     database = path.rsplit("/", 1)[1].replace("-", "_")
     name = word_count.create_external_table(spark, database, "word_count", path, f"{path}-home")
     return word_count.top_words(spark, name, 5)
@@ -251,7 +251,7 @@ def sql_external_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token survives the delimited table, whatever characters it holds."""
     path = fresh_path(spark, "word-table")
-    word_count.save_counts(word_count.count_words(table(spark, sf_dir, "documents"), "text"), f"{path}/run")
+    word_count.save_counts(word_count.count_words(table(spark, sf_dir, "documents", heavy=True), "text"), f"{path}/run")
     database = path.rsplit("/", 1)[1].replace("-", "_")
     return spark.table(word_count.create_external_table(spark, database, "word_count", path, f"{path}-home"))
 

@@ -21,7 +21,7 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips as text: lines joined with nothing, keys spread over lines, stops and days."""
     line, part, quantity = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity")
     text = "string"
-    return table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem", heavy=True).select(
         F.when(F.col("l_returnflag") == "A", "special").otherwise("regular").alias("trip_type"),
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("trip_code"),
         F.concat(F.lit("company "), line % 3).alias("company"), line.cast(text).alias("line_number"),

@@ -16,7 +16,7 @@ from rowmill.session import fresh_path
 
 def _features(spark: SparkSession, sf_dir: str, label) -> DataFrame:
     """A scalar, another, and a vector made of two more, in one feature vector."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem", heavy=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice", label.alias("target")
     )
     inner = VectorAssembler(inputCols=["l_tax", "l_extendedprice"], outputCol="metrics").transform(lines)

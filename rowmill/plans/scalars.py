@@ -190,7 +190,7 @@ def mth_least_greatest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def named_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's whitespace words, none for the documents of one language."""
     words = F.when(F.col("lang") == "de", F.array().cast("array<string>")).otherwise(text.words(F.col("text")))
-    return table(spark, sf_dir, "documents").select("doc_id", words.alias("words"))
+    return table(spark, sf_dir, "documents", heavy=True).select("doc_id", words.alias("words"))
 
 
 _WORDS_SQL = r"""

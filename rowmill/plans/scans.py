@@ -263,7 +263,7 @@ def src_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM a WHERE regexp_matches(tag, '(?is)\shref\s*=')
 """)
 def src_html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.html_links(table(spark, sf_dir, "pages"), "page_id")
+    return nested.html_links(table(spark, sf_dir, "pages", heavy=True), "page_id")
 
 
 @query("SRC20", """

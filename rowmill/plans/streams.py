@@ -356,7 +356,7 @@ def st_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ST24 J7", _FUSED_SQL)
 def st_fusion_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same mean from a finished table, summed per place before the points are met."""
-    rows = [_occupancies(r) for r in _three(spark, sf_dir, table(spark, sf_dir, "events"))]
+    rows = [_occupancies(r) for r in _three(spark, sf_dir, table(spark, sf_dir, "events", heavy=True))]
     readings = rows[0].unionByName(rows[1]).unionByName(rows[2])
     return _rounded(mobility.fuse_table(places(spark, sf_dir), readings))
 

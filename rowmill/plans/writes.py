@@ -109,7 +109,7 @@ def snk_partition_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "lineitem-parts-buckets")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
-    sinks.write_table(lines, name, path, 4, ["l_suppkey"], ["l_returnflag"], files_per_bucket=2)
+    sinks.write_table(lines, name, path, 4, ["l_suppkey"], ["l_returnflag"])
     return spark.table(name).groupBy(
         F.col("l_returnflag").alias("flag"), F.col("l_suppkey").alias("supplier")
     ).agg(F.count(F.lit(1)).alias("lines"))

@@ -8,6 +8,8 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowmill.session import use_all_cores
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 PLAN_MODULES = (
@@ -46,5 +48,7 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table; ``heavy`` says that costly per-row work follows (see ``use_all_cores``)."""
+    frame = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return use_all_cores(frame) if heavy else frame

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowmill.operators.layout import plan_bytes
+
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
 
 
@@ -64,6 +66,17 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def use_all_cores(df: DataFrame, max_bytes: int = 1 << 28) -> DataFrame:
+    """Spread a small input over the cores before heavy per-row work.
+
+    A table of one small file is a single task; beyond ``max_bytes`` the scan has tasks enough and
+    the frame is left alone, so a large table is never shuffled for this.
+    """
+    if plan_bytes(df) > max_bytes:
+        return df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a shared folder where the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -24,7 +24,7 @@ def write_partitioned(
     replaces only the directories the frame has rows for; otherwise the whole target goes.
     """
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df.hint("rebalance", *partition_by)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_by)
@@ -39,16 +39,15 @@ def write_table(
     buckets: int,
     bucket_by: list[str],
     partition_by: list[str] | None = None,
-    files_per_bucket: int = 1,
 ) -> None:
     """SNK7, SNK8: external Parquet table, hashed into sorted buckets, optionally partitioned.
 
-    Rows are first gathered by bucket, so the table has few files per bucket and not one per task
-    and bucket.  More ``files_per_bucket`` spread the writing of a bucket with a hot key.
+    Rows are first gathered by directory and bucket, so the table has few files per bucket and
+    not one per task and bucket; AQE splits a bucket that a hot key makes too large for one task.
     """
     bucket = F.pmod(F.hash(*bucket_by), F.lit(buckets))
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
-    spread = df.repartition(buckets * files_per_bucket, bucket, part)
+    gathered = df.withColumn("__bucket", bucket).hint("rebalance", *(partition_by or []), "__bucket")
+    spread = gathered.drop("__bucket")
     writer = spread.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
