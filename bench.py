@@ -22,7 +22,7 @@ from rowmill.sinks.files import write_noop, write_table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
 
 HEADLINE = """
 win_cumulative_ratio agg_count_forms agg_sums agg_mean agg_having agg_distinct_count agg_pivot agg_pivot_auto
@@ -103,7 +103,7 @@ def _scratch(spark: SparkSession) -> str:
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
     })
     spark.sparkContext.setLogLevel("ERROR")
     registered = all_queries()

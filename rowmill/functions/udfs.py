@@ -1,16 +1,23 @@
-"""User-defined functions (UDF1-UDF8), each typed, each beside its native twin."""
+"""User-defined functions (UDF1-UDF8), each typed, each beside its native twin.
+
+They are pickled by value, so executors run them without having this package installed.
+"""
 
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType
 
+register_pickle_by_value(sys.modules[__name__])
+
 
 @F.udf(LongType())
 def root_step_python(value):

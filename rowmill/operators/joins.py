@@ -9,7 +9,7 @@ from rowmill.operators.layout import plan_bytes
 
 
 def join_small(
-    left: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = 64 << 20
+    left: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = 32 << 20
 ) -> DataFrame:
     """J4: broadcast ``small`` only when its planned size is within ``max_bytes``.
 

@@ -45,7 +45,9 @@ def banded_label_pair_counts(
     further apart never do.  "Smaller offset" is counted by common binary prefixes: of two
     different offsets the larger has a 1 where the smaller has a 0 at the first bit they do not
     share, so each (bucket, bit, prefix) cell contributes its 1-rows times the neighbour's 0-rows.
-    Groups that span less than ``width`` need none of this: all their pairs qualify.  A row is repeated once per bit of ``width`` after identical rows have been merged; no pair of
+    Groups that span less than ``width`` need none of this: all their pairs qualify.
+
+    A row is repeated once per bit of ``width`` after identical rows have been merged; no pair of
     rows is ever formed, so a group may be of any size.
     """
     counts = (
@@ -53,8 +55,8 @@ def banded_label_pair_counts(
         .withColumn("__pos", position.cast("bigint"))
         .where(F.col("__pos").isNotNull())
         .groupBy(*keys, label, "__pos").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("__bucket", F.floor(F.col("__pos") / width))
         .withColumn("__offset", F.pmod(F.col("__pos"), F.lit(width)))
+        .withColumn("__bucket", ((F.col("__pos") - F.col("__offset")) / width).cast("bigint"))
     )
     counts = settle(counts, "pair-counts")
     spans = counts.groupBy(*keys).agg(

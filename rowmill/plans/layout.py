@@ -99,7 +99,10 @@ def phy_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_status(table(spark, sf_dir, "orders")).checkpoint()
 
 
-@query("PHY9", "SELECT 'fixed' AS plan, o_orderstatus AS status, count(*) AS orders FROM orders GROUP BY 2 UNION ALL SELECT 'adaptive', o_orderstatus, count(*) FROM orders GROUP BY 2")
+@query("PHY9", """
+    SELECT 'fixed' AS plan, o_orderstatus AS status, count(*) AS orders FROM orders GROUP BY 2
+    UNION ALL SELECT 'adaptive', o_orderstatus, count(*) FROM orders GROUP BY 2
+""")
 def phy_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shuffle partitions and AQE set per run: other plans, same answer."""
     path = fresh_path(spark, "settings")

@@ -13,11 +13,12 @@ from rowmill.sources.files import read_or_empty
 def append_unseen(new: DataFrame, path: str, ddl: str, keys: list[str], order: list[str]) -> bool:
     """Append the rows whose keys the target lacks, one per key; say whether there were any.
 
-    Running it again with the same rows changes nothing.  The fresh rows are staged, so that the
+    Running it again with the same rows changes nothing.  Copies of a key are merged map-side before
+    the anti-join, so a key that fills a third of the input joins as one row.  The fresh rows are staged, so that the
     emptiness test and the append do not compute them twice.
     """
     target = read_or_empty(new.sparkSession, path, ddl)
-    fresh = settle(latest_rows(unseen(new, target, keys), keys, order), "fresh")
+    fresh = settle(unseen(latest_rows(new, keys, order), target, keys), "fresh")
     if fresh.isEmpty():
         return False
     fresh.write.mode("append").parquet(path)

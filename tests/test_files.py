@@ -1,12 +1,16 @@
 """Sources and sinks on scratch folders."""
 
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from rowmill import schemas
 from rowmill.apps import bus_trips, city
+from rowmill.functions import udfs
 from rowmill.operators import quality
 from rowmill.session import build_session, fresh_path, shared_root
 from rowmill.sinks import files as sinks
@@ -180,6 +184,19 @@ def test_bus_trips_fill_and_flags(spark):
     assert len(bus_trips.two_way_lines(raw, regular_only=False).collect()) == 3
 
 
+def test_functions_run_without_the_package(tmp_path):
+    """What is shipped to a Python worker unpickles where rowmill cannot be imported."""
+    shipped = tmp_path / "functions.pkl"
+    shipped.write_bytes(cloudpickle.dumps([udfs.root_step_python.func, udfs.root_step_pandas.func, udfs.upper_all_udf.func]))
+    code = (
+        "import pickle, sys; import pandas as pd; "
+        f"a, b, c = pickle.load(open({str(shipped)!r}, 'rb')); "
+        "print(a(9), b(pd.Series([16])).tolist(), c(['x']), 'rowmill' in sys.modules)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip() == "4 [5] ['X'] False", out.stderr
+
+
 def test_session_defaults(spark):
     same = build_session("again")
     assert same.conf.get("spark.sql.ansi.enabled") == "true"
