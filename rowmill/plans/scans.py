@@ -126,6 +126,23 @@ def src_json_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SRC10 ARR1 PRJ11", """
+    SELECT l_orderkey, l_linenumber, l_partkey, n AS item, l_quantity * n AS amount FROM lineitem, (VALUES (1), (2)) v(n)
+""")
+def src_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an array of structs, read with some of the nested fields, one row per element."""
+    path = fresh_path(spark, "nested-json")
+    items = F.array(*[
+        F.struct(F.lit(n).alias("item"), F.lit("x").alias("note"), (F.col("l_quantity") * n).alias("amount")) for n in (1, 2)
+    ])
+    table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", items.alias("items")
+    ).write.json(path)
+    ddl = "l_orderkey bigint, l_linenumber int, l_partkey bigint, items array<struct<item: int, amount: double>>"
+    documents = files.read_json_lines(spark, path, ddl)
+    return documents.withColumn("i", F.explode("items")).select("l_orderkey", "l_linenumber", "l_partkey", "i.*")
+
+
 CHUNK = 1000  # rows of one multi-line document: documents stay this small at any table size
 
 

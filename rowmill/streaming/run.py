@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -42,6 +44,13 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def stop(query: StreamingQuery, poll_seconds: float = 0.2) -> None:
+    """ST25: let the batch in progress end, then stop; a restart goes on from the checkpoint."""
+    while query.isActive and query.status["isTriggerActive"]:
+        time.sleep(poll_seconds)
+    query.stop()
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **options) -> None:
     """ST10, ST16: append to files whose log makes committed batches exactly once."""
     with session_settings(stream.sparkSession, **stateful_settings(stream.sparkSession)):

@@ -134,7 +134,7 @@ def test_processing_time_trigger(spark, tmp_path):
             time.sleep(0.2)
         assert query.isActive and query.lastProgress["numInputRows"] >= 0
     finally:
-        query.stop()
+        run.stop(query)
     assert not query.isActive
 
 
