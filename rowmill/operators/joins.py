@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.operators.layout import plan_bytes
+from rowmill.session import settle
 
 
 def join_small(
@@ -54,6 +55,42 @@ def salted_join(
     return salted.join(repeated, [key, "__salt"], how).drop("__salt")
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.001) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them, always.
+
+    Counted with map-side partials and stored, so that both sides of a join can look them up.
+    """
+    counts = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
+    least = counts.agg(F.sum("__n") * share).scalar()
+    return counts.where((F.col("__n") > least) & F.col(key).isNotNull()).select(key)
+
+
+def skew_join(
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    salts: int,
+    salt_from: list[str],
+    how: str = "inner",
+    share: float = 0.001,
+) -> DataFrame:
+    """J10 for the hot keys only: they are salted and repeated, all other keys join as they are.
+
+    ``small`` may then be large too, because only its rows of hot keys are repeated.  The list of
+    hot keys has a bound that does not depend on the data, so it is broadcast.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("a salted join is inner or left")
+    hot = F.broadcast(hot_keys(big, key, share).withColumn("__hot", F.lit(True)))
+    spread = F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int")
+    salted = big.join(hot, key, "left").withColumn(
+        "__salt", F.when(F.col("__hot"), spread).otherwise(0)
+    ).drop("__hot")
+    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = small.join(hot, key, "left").withColumn("__salt", F.explode(every)).drop("__hot")
+    return salted.join(repeated, [key, "__salt"], how).drop("__salt")
+
+
 def all_of(*conditions: Column) -> Column:
     combined = conditions[0]
     for condition in conditions[1:]:

@@ -82,8 +82,8 @@ def pip_bus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("PIP3 WIN6 AGG3 SNK4", f"""
     WITH {_TRIPS_SQL},
     daily AS (SELECT date, line_number, avg(delay / (hours * 60) * 100) AS delay, avg(hours) AS hours FROM trips GROUP BY 1, 2)
-    SELECT date, CAST(line_number AS INT) AS line_number, round(delay / avg(delay) OVER w, 5) AS avg_delay_ratio,
-           round(delay / max(delay) OVER w, 5) AS max_delay_ratio, round(hours / avg(hours) OVER w, 5) AS avg_trip_duration_hours,
+    SELECT date, CAST(line_number AS INT) AS line_number, round(delay / nullif(avg(delay) OVER w, 0), 5) AS avg_delay_ratio,
+           round(delay / nullif(max(delay) OVER w, 0), 5) AS max_delay_ratio, round(hours / avg(hours) OVER w, 5) AS avg_trip_duration_hours,
            round(hours / max(hours) OVER w, 5) AS max_trip_duration_hours
     FROM daily WINDOW w AS (PARTITION BY line_number ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)

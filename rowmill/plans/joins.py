@@ -106,6 +106,24 @@ def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+@query("J10 J8", """
+    SELECT l_suppkey AS supplier, s_nationkey AS nation, l_returnflag AS flag, count(*) AS lines
+    FROM (SELECT CASE WHEN l_returnflag = 'R' THEN 7 ELSE l_suppkey END AS l_suppkey, l_returnflag FROM lineitem)
+    JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3
+""")
+def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One supplier given a third of all lines: only such keys are salted."""
+    skewed = F.when(F.col("l_returnflag") == "R", F.lit(7)).otherwise(F.col("l_suppkey")).cast("bigint")
+    lines = table(spark, sf_dir, "lineitem").select(
+        skewed.alias("supplier"), F.col("l_returnflag").alias("flag"), "l_orderkey", "l_linenumber", "l_partkey"
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
+    )
+    joined = joins.skew_join(lines, suppliers, "supplier", 16, ["l_orderkey", "l_linenumber", "l_partkey"], share=0.05)
+    return joined.groupBy("supplier", "nation", "flag").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query("J5", """
     SELECT c_custkey, c_name FROM customer
     WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')

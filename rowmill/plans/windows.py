@@ -61,20 +61,22 @@ def win_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("WIN6 AGG3", """
-    WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean
+    WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day,
+                      CAST(floor(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) * 1000000 + 0.5) AS BIGINT) AS mean
                FROM events GROUP BY 1, 2)
-    SELECT user_id, day, round(mean / avg(mean) OVER w, 6) AS to_mean, mean / max(mean) OVER w AS to_max
+    SELECT user_id, day, mean / avg(mean) OVER w AS to_mean, mean / max(mean) OVER w AS to_max
     FROM d WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def win_cumulative_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily means per user against the running mean and maximum of the user's days."""
+    """Daily means per user against the running mean and maximum of the user's days.
+
+    Means are held in whole millionths, so the running sums are exact in any order.
+    """
     daily = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        exact_mean(F.col("value")).alias("mean")
+        F.floor(exact_mean(F.col("value")) * 1000000 + 0.5).alias("mean")
     )
     ratios = running_ratios(daily, ["user_id"], ["day"], "mean")
-    return ratios.select(
-        "user_id", "day", F.round("mean_to_mean", 6).alias("to_mean"), F.col("mean_to_max").alias("to_max")
-    )
+    return ratios.select("user_id", "day", F.col("mean_to_mean").alias("to_mean"), F.col("mean_to_max").alias("to_max"))
 
 
 @query("WIN7", "SELECT event_id, row_number() OVER (ORDER BY value, event_id) AS place FROM events")

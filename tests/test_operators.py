@@ -158,7 +158,26 @@ def test_salted_join_equals_join(spark, rows, how):
     assert rows(joins.salted_join(big, small, "k", 5, ["i"], how)) == rows(big.join(small, "k", how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_join_equals_join(spark, rows, how):
+    big = skewed(spark)
+    small = spark.createDataFrame([("hot", 1), ("hot", 5), ("a", 2), ("z", 3), (None, 4)], "k string, w int")
+    found = joins.skew_join(big, small, "k", 5, ["i"], how, share=0.3)
+    assert rows(found) == rows(big.join(small, "k", how))
+    assert rows(joins.hot_keys(big, "k", 0.3)) == [("hot",)]
+
+
+def test_salts_spread_the_hot_key(spark):
+    """The hot key's rows go to several tasks, in near equal parts."""
+    big = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    salt = F.pmod(F.xxhash64("id"), F.lit(8))
+    sizes = [r["count"] for r in big.where("k = 0").groupBy(salt).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
 def test_salt_refuses_other_joins(spark):
+    with pytest.raises(ValueError):
+        joins.skew_join(spark.range(1), spark.range(1), "id", 2, ["id"], "full")
     with pytest.raises(ValueError):
         joins.salted_join(spark.range(1), spark.range(1), "id", 2, ["id"], "full")
 
