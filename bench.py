@@ -103,7 +103,7 @@ def _scratch(spark: SparkSession) -> str:
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-        "spark.ui.showConsoleProgress": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     })
     spark.sparkContext.setLogLevel("ERROR")
     registered = all_queries()

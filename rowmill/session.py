@@ -66,15 +66,17 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def use_all_cores(df: DataFrame, max_bytes: int = 1 << 28) -> DataFrame:
-    """Spread a small input over the cores before heavy per-row work.
+def use_all_cores(scan: DataFrame, max_bytes: int = 1 << 28) -> DataFrame:
+    """Spread a small file scan over the cores before heavy per-row work.
 
     A table of one small file is a single task; beyond ``max_bytes`` the scan has tasks enough and
-    the frame is left alone, so a large table is never shuffled for this.
+    is left alone, so a large table is never shuffled for this.  Filters and column pruning still
+    reach the scan.
     """
-    if plan_bytes(df) > max_bytes:
-        return df
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))
+    if plan_bytes(scan) > max_bytes:
+        return scan
+    cores = max(scan.sparkSession.sparkContext.defaultParallelism, 1)
+    return scan.repartition(cores)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
