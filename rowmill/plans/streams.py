@@ -271,7 +271,7 @@ def _parking_rows(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFr
 
 
 def _traffic_rows(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    maxima = mobility.usual_maximum(_history(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"), month=1)
+    maxima = mobility.usual_maximum(_history(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"))
     decoded = decode(_traffic(events), f"{schemas.TRAFFIC_MESSAGE}, at timestamp")
     return mobility.traffic_occupancy(decoded, _registry(spark, sf_dir), maxima).withColumnRenamed("at", "datetime")
 

@@ -51,6 +51,11 @@ BUS_TRIPS_RAW = (
     "delay_start_minutes string, delay_end_minutes string, travelled_distance_km string"
 )
 
+EMPLOYEE_RECORDS = (
+    "first_name string, last_name string, job_title string, dob string, email string, phone string, "
+    "salary double, department_id int"
+)
+
 
 def struct_of(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)

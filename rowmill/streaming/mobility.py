@@ -28,12 +28,14 @@ def parking_occupancy(readings: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def usual_maximum(history: DataFrame, now: Column, month: int, wrap: bool = True) -> DataFrame:
-    """Highest intensity per sensor in the month, within an hour of the time of day.
+def usual_maximum(history: DataFrame, now: Column | None = None, wrap: bool = True) -> DataFrame:
+    """Highest intensity per sensor in this month of any year, within an hour of the time of day.
 
-    ``month`` is a plain number, so the month directories of the history are pruned.
+    ``now`` defaults to the current time, which is a constant of each batch: only the month's
+    directories of the history are read, and a long-running stream moves on with the clock.
     """
-    near = history.where(F.col("month") == month).where(hour_distance(F.col("datetime"), now, wrap) <= 1)
+    now = F.current_timestamp() if now is None else now
+    near = history.where(F.col("month") == F.month(now)).where(hour_distance(F.col("datetime"), now, wrap) <= 1)
     return near.groupBy("id").agg(F.max(F.col("intensity").try_cast("double")).alias("intensity_max"))
 
 
