@@ -45,7 +45,8 @@ def banded_label_pair_counts(
     further apart never do.  "Smaller offset" is counted by common binary prefixes: of two
     different offsets the larger has a 1 where the smaller has a 0 at the first bit they do not
     share, so each (bucket, bit, prefix) cell contributes its 1-rows times the neighbour's 0-rows.
-    Groups that span less than ``width`` need none of this: all their pairs qualify.
+    Groups that span less than ``width`` need none of this: all their pairs qualify, and where such
+    a group has one label its size squared is the count.
 
     A row is repeated once per bit of ``width`` after identical rows have been merged; no pair of
     rows is ever formed, so a group may be of any size.
@@ -59,10 +60,18 @@ def banded_label_pair_counts(
         .withColumn("__bucket", ((F.col("__pos") - F.col("__offset")) / width).cast("bigint"))
     )
     counts = settle(counts, "pair-counts")
-    spans = counts.groupBy(*keys).agg(
-        (F.max("__pos") - F.min("__pos") < width).alias("__tight")
+    spans = settle(counts.groupBy(*keys).agg(
+        (F.max("__pos") - F.min("__pos") < width).alias("__tight"),
+        F.min(label).alias("__low"), F.max(label).alias("__high"),
+        F.count(label).alias("__labels"), F.count(F.lit(1)).alias("__rows"), F.sum("n").alias("__n"),
+    ), "pair-spans")
+    one_label = F.col("__low").eqNullSafe(F.col("__high")) & F.col("__labels").isin(F.lit(0), F.col("__rows"))
+    plain = F.col("__tight") & one_label
+    alike = spans.where(plain).select(
+        F.col("__low").alias("label_1"), F.col("__low").alias("label_2"),
+        (F.col("__n") * F.col("__n")).alias("pairs"),
     )
-    counts = settle(counts.join(spans, keys), "pair-spans")
+    counts = settle(counts.join(spans.where(~plain).select(*keys, "__tight"), keys), "pair-mixed")
 
     tight = counts.where("__tight").groupBy(*keys, label).agg(F.sum("n").alias("n"))
     close = _label_products(tight, tight, keys, label)
@@ -85,7 +94,7 @@ def banded_label_pair_counts(
     later = cells.where("__one = 0").withColumn("__bucket", F.col("__bucket") - 1)
     near = _label_products(earlier, later, near_on, label)
     both_ways = near.select("label_1", "label_2", (F.col("pairs") * 2).alias("pairs"))
-    return _unordered(close.unionByName(same).unionByName(both_ways))
+    return _unordered(alike.unionByName(close).unionByName(same).unionByName(both_ways))
 
 
 def years_position(date: Column, years: int) -> tuple[Column, int]:
