@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from rowmill.functions.numbers import hash_share
-from rowmill.session import ensure_checkpoint_dir
+from rowmill.session import settle
 
 _ROW_BITS = 33  # fixed value: monotonically_increasing_id keeps the row's place in its low 33 bits
 
@@ -23,23 +23,21 @@ def global_row_numbers(df: DataFrame, order: list[Column], name: str = "row_numb
     Rows are range-partitioned and sorted, each learns its place in its partition, and a running
     sum over one count per partition turns places into numbers.  The order must be unique per row
     (add tie-breaking columns): then equal keys also spread over partitions.  Range boundaries
-    come from a sample, so the sorted rows are checkpointed before they are counted.
+    come from a sample, so the sorted rows are stored once before they are counted.  The offsets,
+    one row per partition, are broadcast: the table is shuffled for the sort only.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("__id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("__part", F.shiftright("__id", _ROW_BITS))
-        .withColumn("__place", F.col("__id").bitwiseAND((1 << _ROW_BITS) - 1))
-    )
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = settle(ranged.withColumn("__id", F.monotonically_increasing_id()), "sorted").withColumns({
+        "__part": F.shiftright("__id", _ROW_BITS),
+        "__place": F.col("__id").bitwiseAND((1 << _ROW_BITS) - 1),
+    })
     counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(  # one row per partition: small whatever the table's size
+    offsets = counts.select(
         "__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )
     return (
-        placed.join(offsets, "__part")
+        placed.join(F.broadcast(offsets), "__part")
         .withColumn(name, F.col("__offset") + F.col("__place") + 1)
         .select(*df.columns, name)
     )
