@@ -13,6 +13,7 @@ from rowmill.sinks.files import write_partitioned
 from rowmill.sinks.unseen import append_unseen
 from rowmill.sources.files import fold_files
 from rowmill.sources.nested import envelope_rows, named_value, source_rows
+from rowmill.streaming.mobility import hourly_maxima
 
 
 def traffic_history(raw: DataFrame) -> DataFrame:
@@ -35,6 +36,11 @@ def save_traffic_history(history: DataFrame, path: str) -> None:
     write_partitioned(history, path, ["year", "month"])
 
 
+def save_hourly_maxima(history: DataFrame, path: str) -> None:
+    """What the traffic stream needs of the history, by month."""
+    write_partitioned(hourly_maxima(history), path, ["month"])
+
+
 def sensor_locations(rows: DataFrame) -> DataFrame:
     """PIP5: usable coordinates, and per sensor the row of the newest file."""
     repaired = rows.select(

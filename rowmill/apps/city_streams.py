@@ -32,10 +32,11 @@ def parking_stage(messages: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def traffic_stage(
-    messages: DataFrame, locations: DataFrame, history: DataFrame, now: Column | None = None
+    messages: DataFrame, locations: DataFrame, hourly: DataFrame, now: Column | None = None
 ) -> DataFrame:
+    """``hourly`` is the stored ``hourly_maxima`` of the traffic history."""
     readings = decode(messages, schemas.TRAFFIC_MESSAGE)
-    return _occupancy_rows(mobility.traffic_occupancy(readings, locations, mobility.usual_maximum(history, now)))
+    return _occupancy_rows(mobility.traffic_occupancy(readings, locations, mobility.usual_maximum(hourly, now)))
 
 
 def fusion_stage(points: DataFrame, topics: list[DataFrame], salts: int = 1) -> DataFrame:

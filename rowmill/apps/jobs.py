@@ -34,6 +34,10 @@ def run_traffic_history(spark: SparkSession, args) -> None:
     city.save_traffic_history(city.traffic_history(raw), args.output)
 
 
+def run_traffic_maxima(spark: SparkSession, args) -> None:
+    city.save_hourly_maxima(spark.read.parquet(args.input), args.output)
+
+
 def run_locations(spark: SparkSession, args) -> None:
     _, rejected = city.register_locations(spark, args.input, args.version_pattern, args.output)
     rejected.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}-rejected")
@@ -76,7 +80,7 @@ def run_stream(spark: SparkSession, args) -> None:
         rows = city_streams.parking_stage(topics[0], spark.read.parquet(args.registry))
     elif args.stage == "traffic":
         rows = city_streams.traffic_stage(
-            topics[0], spark.read.parquet(args.registry), spark.read.parquet(args.history)
+            topics[0], spark.read.parquet(args.registry), spark.read.parquet(args.maxima)
         )
     else:
         rows = city_streams.fusion_stage(spark.read.parquet(args.registry), topics)
@@ -100,6 +104,7 @@ def parser() -> argparse.ArgumentParser:
 
     batch("bus-trips", run_bus_trips, table={"default": "intermediate"})
     batch("traffic-history", run_traffic_history)
+    batch("traffic-maxima", run_traffic_maxima)
     batch("locations", run_locations, version_pattern={"default": r"-(\d+)-"})
     batch("parkings", run_parkings, details={"required": True})
     batch("points", run_points, source={"required": True})
@@ -118,7 +123,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--out-topic", required=True)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--registry", help="locations, parking registry or points of interest")
-    stream.add_argument("--history")
+    stream.add_argument("--maxima", help="output of traffic-maxima")
     stream.set_defaults(action=run_stream)
     return top
 

@@ -30,5 +30,9 @@ def month_gap(first: Column, second: Column) -> Column:
 
 def hour_distance(ts: Column, now: Column, wrap: bool = True) -> Column:
     """DAT8: hours of the day between two times; 23 and 0 are one apart unless ``wrap`` is off."""
-    apart = F.abs(F.hour(ts) - F.hour(now))
+    return hours_apart(F.hour(ts), F.hour(now), wrap)
+
+
+def hours_apart(first: Column, second: Column, wrap: bool = True) -> Column:
+    apart = F.abs(first - second)
     return F.least(apart, F.lit(24) - apart) if wrap else apart

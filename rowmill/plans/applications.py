@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill import schemas
-from rowmill.apps import bus_trips, city, siblings, word_count
+from rowmill.apps import bus_trips, city, city_streams, siblings, word_count
 from rowmill.operators.groups import latest_rows
 from rowmill.plans.joins import NEAR_SQL, PLACES_SQL, places
-from rowmill.plans.streams import BIKES_SQL, PARKINGS_SQL, TRAFFIC_SQL, three_feeds
+from rowmill.plans.streams import BIKES_SQL, NOW, PARKINGS_SQL, TRAFFIC_SQL, message_streams, parking_sites
 from rowmill.registry import query, table
 from rowmill.session import ensure_checkpoint_dir, fresh_path
-from rowmill.sources import files
-from rowmill.streaming import mobility, run
+from rowmill.sources import files, streams
+from rowmill.streaming import run
 from rowmill.streaming.mobility import city_rollup
 
 
@@ -224,7 +224,7 @@ def pip_sibling_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return siblings.title_summaries(kept, ["1-URGENT", "2-HIGH"], "3")
 
 
-@query("PIP9 ST24 AGG15", f"""
+@query("PIP9 PIP4 PIP6 PIP7 ST21 ST22 ST23 ST24 AGG15", f"""
     WITH {PLACES_SQL}, {BIKES_SQL}, {PARKINGS_SQL}, {TRAFFIC_SQL},
     r AS (SELECT * FROM bikes UNION ALL SELECT * FROM parkings UNION ALL SELECT * FROM traffic),
     f AS (SELECT p.id AS id, p.name AS name, avg(occupancy) * 100 AS value FROM p JOIN r ON {NEAR_SQL} GROUP BY 1, 2)
@@ -232,17 +232,53 @@ def pip_sibling_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(min(value), 4) AS min_value FROM f
 """)
 def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registries, three enriched streams, their fusion, and the dashboard's one row."""
+    """Registries and history are ingested, three stages turn messages into topics (kept as files),
+    a fourth fuses the topics, and the newest value per point becomes the dashboard's one row.
+    """
     path = fresh_path(spark, "city")
-    fused = mobility.fuse(places(spark, sf_dir), three_feeds(spark, sf_dir))
-    written = run.to_batch_dirs(fused, path, f"{path}-checkpoint", "update")
-    latest = latest_rows(written, ["id"], ["batch_id"]).withColumn("value", F.col("occupancy") * 100)
+    _ingest_registries(spark, sf_dir, path)
+    sites = spark.read.schema(schemas.PARKING_REGISTRY).parquet(f"{path}/parkings")
+    hourly = spark.read.parquet(f"{path}/maxima")
+    points = spark.read.schema(schemas.POI_REGISTRY).parquet(f"{path}/points")
+
+    bikes, parkings, traffic = message_streams(spark, sf_dir)
+    stages = {
+        "bikes": city_streams.bikes_stage(bikes),
+        "parking": city_streams.parking_stage(parkings, sites),
+        "traffic": city_streams.traffic_stage(traffic, sites, hourly, F.lit(NOW).cast("timestamp_ntz")),
+    }
+    topics = []
+    for stage, rows in stages.items():
+        run.to_files(rows, f"{path}/{stage}", f"{path}/{stage}-checkpoint")
+        topics.append(streams.file_stream(spark, f"{path}/{stage}", "parquet", "key string, value string"))
+    fused = city_streams.fusion_stage(points, topics)
+    written = run.to_batch_dirs(fused, f"{path}/fusion", f"{path}/fusion-checkpoint", "update")
+
+    value = "id bigint, name string, occupancy double"
+    sent = written.select("batch_id", F.from_json("value", value).alias("m")).select("batch_id", "m.*")
+    latest = latest_rows(sent, ["id"], ["batch_id"]).withColumn("value", F.col("occupancy") * 100)
     return city_rollup(latest).select(
         F.round("mean_value", 4).alias("mean_value"), F.round("max_value", 4).alias("max_value"), "max_name",
         F.round("min_value", 4).alias("min_value"),
     )
 
 
+def _ingest_registries(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """PIP4, PIP6 and PIP7 on feeds laid out from the given tables."""
+    city.register_parkings(parking_sites(spark, sf_dir), f"{path}/parkings")
+    points = places(spark, sf_dir).select(
+        F.lit("site").alias("category"), "longitude", "latitude", F.col("id").cast("int").alias("id"), "name"
+    )
+    city.register_points(points, f"{path}/points")
+    raw = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha"),
+        F.col("value").cast("string").alias("intensidad"), F.lit("0").alias("ocupacion"), F.lit("0").alias("carga"),
+        F.lit("N").alias("error"),
+    )
+    city.save_traffic_history(city.traffic_history(raw), f"{path}/history")
+    city.save_hourly_maxima(spark.read.parquet(f"{path}/history"), f"{path}/maxima")
+
+
 @query("AGG16 SNK1 SRC12 SQL4", r"""
     WITH w AS (SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM conversations)
     SELECT word, count(*) AS counter FROM w WHERE word <> '' GROUP BY 1

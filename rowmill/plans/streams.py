@@ -228,7 +228,7 @@ def _traffic(events: DataFrame) -> DataFrame:
     return topic_rows(body, key=F.col("id"))
 
 
-def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parking_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parking sites laid out from the customers."""
     sites = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"),
@@ -267,13 +267,14 @@ def _bike_rows(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame
 
 
 def _parking_rows(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    return mobility.parking_occupancy(decode(_parkings(events), schemas.PARKING_MESSAGE), _registry(spark, sf_dir))
+    return mobility.parking_occupancy(decode(_parkings(events), schemas.PARKING_MESSAGE), parking_sites(spark, sf_dir))
 
 
 def _traffic_rows(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
-    maxima = mobility.usual_maximum(_history(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"))
+    hourly = mobility.hourly_maxima(_history(spark, sf_dir))
+    maxima = mobility.usual_maximum(hourly, F.lit(NOW).cast("timestamp_ntz"))
     decoded = decode(_traffic(events), f"{schemas.TRAFFIC_MESSAGE}, at timestamp")
-    return mobility.traffic_occupancy(decoded, _registry(spark, sf_dir), maxima).withColumnRenamed("at", "datetime")
+    return mobility.traffic_occupancy(decoded, parking_sites(spark, sf_dir), maxima).withColumnRenamed("at", "datetime")
 
 
 def _occupancies(rows: DataFrame) -> DataFrame:
@@ -320,6 +321,12 @@ def _three(spark: SparkSession, sf_dir: str, events: DataFrame) -> list[DataFram
     return [make(spark, sf_dir, events) for make in (_bike_rows, _parking_rows, _traffic_rows)]
 
 
+def message_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three feeds' (key, value) messages, as topics would deliver them."""
+    events = _event_stream(spark, sf_dir)
+    return _bikes(events), _parkings(events), _traffic(events)
+
+
 def three_feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return _three(spark, sf_dir, _event_stream(spark, sf_dir))
 

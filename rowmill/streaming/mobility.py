@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.functions.dates import hour_distance
+from rowmill.functions.dates import hours_apart
 from rowmill.functions.numbers import clamp_upper, ratio
 from rowmill.operators.radius import radius_join
 
@@ -28,15 +28,26 @@ def parking_occupancy(readings: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def usual_maximum(history: DataFrame, now: Column | None = None, wrap: bool = True) -> DataFrame:
+def hourly_maxima(history: DataFrame) -> DataFrame:
+    """Highest intensity per sensor, month and hour of the day.
+
+    At most 288 rows per sensor however long the history: stored once, it spares every batch of a
+    stream the history itself.
+    """
+    return history.groupBy("id", "month", F.hour("datetime").alias("hour")).agg(
+        F.max(F.col("intensity").try_cast("double")).alias("intensity_max")
+    )
+
+
+def usual_maximum(hourly: DataFrame, now: Column | None = None, wrap: bool = True) -> DataFrame:
     """Highest intensity per sensor in this month of any year, within an hour of the time of day.
 
-    ``now`` defaults to the current time, which is a constant of each batch: only the month's
-    directories of the history are read, and a long-running stream moves on with the clock.
+    ``now`` defaults to the current time, which is a constant of each batch: a month directory is
+    pruned by it, and a long-running stream moves on with the clock.
     """
     now = F.current_timestamp() if now is None else now
-    near = history.where(F.col("month") == F.month(now)).where(hour_distance(F.col("datetime"), now, wrap) <= 1)
-    return near.groupBy("id").agg(F.max(F.col("intensity").try_cast("double")).alias("intensity_max"))
+    near = hourly.where(F.col("month") == F.month(now)).where(hours_apart(F.col("hour"), F.hour(now), wrap) <= 1)
+    return near.groupBy("id").agg(F.max("intensity_max").alias("intensity_max"))
 
 
 def traffic_occupancy(readings: DataFrame, locations: DataFrame, maxima: DataFrame) -> DataFrame:

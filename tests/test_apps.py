@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowmill import schemas
 from rowmill.apps import city_streams, jobs
-from rowmill.streaming import run
+from rowmill.streaming import mobility, run
 
 
 def test_bus_trips_job(spark, tmp_path):
@@ -31,6 +31,9 @@ def test_history_locations_and_points_jobs(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "hist"))
     assert sorted((r["intensity"], r["month"]) for r in stored.where("month is not null").collect()) == [(99.0, 5)]
     assert stored.count() == 2
+    jobs.main(["traffic-maxima", "--input", str(tmp_path / "hist"), "--output", str(tmp_path / "max")], spark)
+    maxima = spark.read.parquet(str(tmp_path / "max")).where("month is not null").select("id", "month", "hour", "intensity_max")
+    assert [tuple(r) for r in maxima.collect()] == [("1", 5, 10, 99.0)]
 
     (tmp_path / "pm-1-x.csv").write_text("id;nombre;longitud;latitud\n1;a;-3.7.1;40.4\n2;b;x;40.4\n", encoding="utf-8")
     (tmp_path / "pm-2-x.csv").write_text("id;nombre;longitud;latitud\n1;a2;-3.7.2;40.5\n", encoding="utf-8")
@@ -86,6 +89,7 @@ def test_stages_from_messages_to_fused_points(spark, tmp_path):
     registry = spark.createDataFrame([(1, 0.004, 0.0, 10)], "id int, longitude double, latitude double, total_slots int")
     history = spark.createDataFrame([("1", "100"), ("1", "99")], "id string, intensity string").select(
         "id", "intensity", F.current_timestamp().alias("datetime"), F.month(F.current_timestamp()).alias("month"))
+    history = mobility.hourly_maxima(history)
     topics = []
     for stage, messages in sent.items():
         folder = tmp_path / stage

@@ -202,7 +202,7 @@ def test_usual_maximum_compares_numbers(spark):
     history = spark.createDataFrame(data, "id string, datetime string, month int, intensity string").withColumn(
         "datetime", F.col("datetime").cast("timestamp"))
     now = F.lit("2024-05-09 10:45:00").cast("timestamp")
-    assert mobility.usual_maximum(history, now).first()["intensity_max"] == 1000.0
+    assert mobility.usual_maximum(mobility.hourly_maxima(history), now).first()["intensity_max"] == 1000.0
 
 
 def test_city_rollup(spark):
