@@ -59,6 +59,11 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
+def release_all(spark: SparkSession) -> None:
+    """PHY7: drop every cached frame of the session."""
+    spark.catalog.clearCache()
+
+
 @contextmanager
 def job_label(spark: SparkSession, description: str):
     """PHY13: actions inside the block carry this description in the job list."""

@@ -10,7 +10,7 @@ from rowmill.functions.numbers import exact_mean, exact_sum
 from rowmill.operators.groups import latest_rows
 from rowmill.operators.numbering import bernoulli, global_row_numbers, split
 from rowmill.registry import query, table
-from rowmill.session import fresh_path
+from rowmill.session import current_database, fresh_path
 from rowmill.sources.files import fold_files
 from rowmill.streaming.mobility import city_rollup, heat_weights
 
@@ -243,8 +243,9 @@ def sql_external_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "word-counts")
     word_count.save_counts(word_count.count_words(table(spark, sf_dir, "documents", heavy=True), "text"), f"{path}/run")
     database = path.rsplit("/", 1)[1].replace("-", "_")
-    name = word_count.create_external_table(spark, database, "word_count", path, f"{path}-home")
-    return word_count.top_words(spark, name, 5)
+    word_count.create_external_table(spark, database, "word_count", path, f"{path}-home")
+    with current_database(spark, database):
+        return word_count.top_words(spark, "word_count", 5)
 
 
 @query("SQL1 SQL2 SQL3", f"WITH {_WORDS_SQL} SELECT word, counter FROM c")

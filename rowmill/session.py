@@ -85,6 +85,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
 
 
+@contextmanager
+def current_database(spark: SparkSession, database: str):
+    """SQL1: ``USE`` a database for a block; tables named inside need no prefix."""
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"USE {database}")
+    try:
+        yield spark
+    finally:
+        spark.sql(f"USE {before}")
+
+
 @contextmanager
 def session_settings(spark: SparkSession, **settings: str):
     """Set runtime configuration for a block; ``__`` in a keyword stands for a dot."""

@@ -283,6 +283,15 @@ def test_bytes_and_advice(spark):
     assert layout.advised_partitions(df, layout.plan_bytes(df) // 4) in (4, 5)
 
 
+def test_cached_rows_are_released(spark):
+    kept = spark.range(10).cache()
+    kept.count()
+    assert "InMemoryTableScan" in layout.plan_text(kept.where("id > 3"))
+    layout.release_all(spark)
+    assert "InMemoryTableScan" not in layout.plan_text(spark.range(10).where("id > 3"))
+    assert not kept.storageLevel.useMemory
+
+
 def test_scan_is_pruned_and_pushed(spark):
     plan = layout.plan_text(all_queries()["src_parquet_pruned"].run(spark, SF))
     assert "GreaterThanOrEqual(o_orderdate" in plan
