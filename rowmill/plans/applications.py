@@ -18,7 +18,7 @@ from rowmill.streaming.mobility import city_rollup
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips as text: lines joined with nothing, keys spread over lines, stops and days."""
+    """Raw trips, all text, laid out from the order lines: suppliers as bus lines, parts as stops."""
     line, part, quantity = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity")
     text = "string"
     return table(spark, sf_dir, "lineitem", heavy=True).select(

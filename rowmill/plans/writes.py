@@ -161,9 +161,9 @@ def snk_topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders GROUP BY 1
 """)
 def snk_append_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers seen up to 1997, then all of them twice: each is stored once, newest row last.
+    """Customers seen up to 1997, then all of them twice: each is stored once.
 
-    The order column is the negated day, so the kept row is each customer's earliest order.
+    The order column is the negated day, so the row kept is the customer's earliest order.
     """
     path, ddl = fresh_path(spark, "seen-customers"), "id bigint, back int"
     seen = table(spark, sf_dir, "orders").select(

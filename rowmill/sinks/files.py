@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.operators.layout import stored_bytes
-from rowmill.session import fresh_path
+from rowmill.session import fresh_path, session_settings
 
 
 def write_files(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", **options) -> None:
@@ -14,22 +16,39 @@ def write_files(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists",
     df.write.format(fmt.lower()).mode(mode.lower()).options(**options).save(path)
 
 
+@contextmanager
+def _task_bytes(spark: SparkSession, size: str | None):
+    """Let AQE size the tasks of a write, and with them its files."""
+    if size is None:
+        yield
+    else:
+        with session_settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=size):
+            yield
+
+
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite", dynamic: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: list[str],
+    mode: str = "overwrite",
+    dynamic: bool = False,
+    task_bytes: str | None = None,
 ) -> None:
     """SNK4, SNK5, SNK6: Parquet under ``col=value`` directories.
 
     REBALANCE gathers each partition value in few tasks, so that no task writes a file into every
     directory, and AQE splits a value that holds too many bytes for one task.  ``dynamic``
     replaces only the directories the frame has rows for; otherwise the whole target goes.
+    ``task_bytes`` (say ``512m``) sets how much one task, and so one file, takes.
     """
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with _task_bytes(df.sparkSession, task_bytes):
+        (
+            df.hint("rebalance", *partition_by)
+            .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
 
 
 def write_table(
@@ -39,6 +58,7 @@ def write_table(
     buckets: int,
     bucket_by: list[str],
     partition_by: list[str] | None = None,
+    task_bytes: str | None = None,
 ) -> None:
     """SNK7, SNK8: external Parquet table, hashed into sorted buckets, optionally partitioned.
 
@@ -51,7 +71,8 @@ def write_table(
     writer = spread.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name)
+    with _task_bytes(df.sparkSession, task_bytes):
+        writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name)
 
 
 def write_single_file(df: DataFrame, path: str, fmt: str = "parquet", max_bytes: int = 128 << 20) -> None:

@@ -68,6 +68,21 @@ def test_partition_overwrite_golden(spark, tmp_path):
         "2022-01-10": (2, 2), "2022-01-19": (1, 1), "2022-01-20": (1, 9), "2022-01-26": (1, 5), "2022-01-29": (1, 9)}
 
 
+def test_hot_directory_is_split_by_size(spark, tmp_path):
+    """Nine tenths of the rows in one directory: its rows are written by several tasks."""
+    df = spark.range(400000).select((F.col("id") % 10 == 0).alias("cold"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+
+    def files_of(value, size):
+        path = str(tmp_path / f"t{size}")
+        sinks.write_partitioned(df, path, ["cold"], task_bytes=size)
+        assert spark.read.parquet(path).count() == 400000
+        return len([f for f in os.listdir(f"{path}/cold={value}") if f.startswith("part-")])
+
+    assert files_of("false", "1m") > 3
+    assert files_of("true", "512m") == 1
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") not in ("1m", "512m")
+
+
 def test_single_file_is_refused_beyond_its_bound(spark, tmp_path):
     sinks.write_single_file(spark.range(10), str(tmp_path / "one"))
     assert len([f for f in os.listdir(tmp_path / "one") if f.startswith("part-")]) == 1
