@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.session import use_all_cores
+from rowmill.session import session_settings, use_all_cores
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,13 +32,21 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(covers: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    """Register the decorated function under its own name."""
+    """Register the decorated function under its own name.
+
+    It is planned in UTC whatever the session's zone, since its SQL knows no zones.
+    """
 
     def add(fn: QueryFn) -> QueryFn:
+        @wraps(fn)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with session_settings(spark, spark__sql__session__timeZone="UTC"):
+                return fn(spark, sf_dir)
+
         if fn.__name__ in _QUERIES:
             raise ValueError(f"query {fn.__name__} is registered twice")
-        _QUERIES[fn.__name__] = Query(fn.__name__, fn, tuple(covers.split()), sql)
-        return fn
+        _QUERIES[fn.__name__] = Query(fn.__name__, in_utc, tuple(covers.split()), sql)
+        return in_utc
 
     return add
 

@@ -4,7 +4,9 @@ import os
 import re
 
 import __spark_entry__ as entry_module
+from check_oracle import difference, open_oracle
 from rowmill.registry import all_queries
+from rowmill.session import session_settings
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,6 +25,13 @@ def test_entry_has_rows(spark):
     assert result.count() > 0
 
 
+def test_queries_do_not_depend_on_the_session_zone(spark):
+    oracle = open_oracle("/root/testdata/sf0.001")
+    with session_settings(spark, spark__sql__session__timeZone="America/New_York"):
+        for name in ("dat_format", "dat_fields", "st_word_windows", "st_window_append", "st_fusion_windowed"):
+            assert difference(all_queries()[name], spark, oracle, "/root/testdata/sf0.001") is None
+
+
 def test_queries_and_sql_share_names():
     queries, sql = entry_module.queries(), entry_module.oracle_sql()
     assert set(sql) <= set(queries)
