@@ -31,22 +31,26 @@ class Query:
 _QUERIES: dict[str, Query] = {}
 
 
-def query(covers: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
-    """Register the decorated function under its own name.
+def in_utc(fn: QueryFn) -> QueryFn:
+    """The same query planned in UTC whatever the session's zone, since its SQL knows no zones."""
 
-    It is planned in UTC whatever the session's zone, since its SQL knows no zones.
-    """
+    @wraps(fn)
+    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with session_settings(spark, spark__sql__session__timeZone="UTC"):
+            return fn(spark, sf_dir)
+
+    return planned
 
-    def add(fn: QueryFn) -> QueryFn:
-        @wraps(fn)
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            with session_settings(spark, spark__sql__session__timeZone="UTC"):
-                return fn(spark, sf_dir)
 
+def query(covers: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
+    """Register the decorated function under its own name."""
+
+    def add(fn: QueryFn) -> QueryFn:
         if fn.__name__ in _QUERIES:
             raise ValueError(f"query {fn.__name__} is registered twice")
-        _QUERIES[fn.__name__] = Query(fn.__name__, in_utc, tuple(covers.split()), sql)
-        return in_utc
+        run = in_utc(fn)
+        _QUERIES[fn.__name__] = Query(fn.__name__, run, tuple(covers.split()), sql)
+        return run
 
     return add
 

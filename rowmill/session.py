@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rowmill.operators.layout import plan_bytes
 
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
+_SHIPPED: dict = {}
 
 
 def build_session(app: str = "rowmill", master: str | None = None, **settings: str) -> SparkSession:
@@ -66,6 +70,25 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package, once for each Spark application.
+
+    Spark sends the archive to every executor, so nothing needs to be installed there, and what a
+    module caches lasts as long as the Python worker.
+    """
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    folder = tempfile.TemporaryDirectory(prefix="rowmill-package-")
+    _SHIPPED.update(application=context.applicationId, folder=folder)
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(folder.name), f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w") as held:
+        for source in sorted(root.rglob("*.py")):
+            held.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+
+
 def use_all_cores(scan: DataFrame, max_bytes: int = 1 << 28) -> DataFrame:
     """Spread a small file scan over the cores before heavy per-row work.
 
