@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -12,6 +12,19 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 
 
+_MODEL: dict = {}
+
+
+def loaded(build: Callable, *arguments):
+    """``build(*arguments)``, kept by the Python worker until it needs another model: a worker serves
+    the stages of many jobs, and what earlier ones loaded must not add up."""
+    key = (build, arguments)
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = build(*arguments)
+    return _MODEL[key]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and the offsets of its rows in them; NULL counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

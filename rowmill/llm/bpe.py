@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, strings
+from rowmill.llm.blocks import blocks, loaded, strings
 from rowmill.session import ship_package
 
 # Fixed value: the pattern by which byte-level tokenizers of this family split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO_ENTRIES = 1 << 19
+MEMO_ENTRIES = 1 << 18
 MEMO_BYTES = 64
 END = -1
 
@@ -139,8 +138,9 @@ class BytePairs:
                     below = node[byte] = {}
                 node = below
             node[END] = word
-        if len(self.beside) > 1 << 20:
-            self.beside.clear()
+        for memo in (self.beside, self.endings.steps):
+            if len(memo) > MEMO_ENTRIES:
+                memo.clear()
         beside, step, found = self.beside, self.endings.step, self.endings.found
         # States of the prefixes on the path: the last token, and where that token begins.
         last, begins = [0], [0]
@@ -210,11 +210,6 @@ class TextEncoder:
         return b"".join(map(self.pairs.tokens.__getitem__, ids)).decode(errors="replace")
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
-
-
 def _id_lists(packed: list[bytes]) -> pa.ListArray:
     ends = np.zeros(len(packed) + 1, np.int32)
     np.cumsum([len(ids) // 4 for ids in packed], out=ends[1:])
@@ -235,7 +230,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     kind = rows.schema["__key"].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = loaded(TextEncoder, tokenizer)
         for block in blocks(batches, "__text"):
             packed = encoder.encode(strings(block.column("__text")))
             decoded = [encoder.decode(np.frombuffer(ids, "<i4").tolist()) for ids in packed]
@@ -254,7 +249,7 @@ def decode_ids(coded: DataFrame, tokenizer: str, ids: str = "ids", name: str = "
 
     @F.arrow_udf("string")
     def decoded(column: pa.Array) -> pa.Array:
-        encoder = _encoder(tokenizer)
+        encoder = loaded(TextEncoder, tokenizer)
         return pa.array([encoder.decode(row or []) for row in column.to_pylist()], pa.string())
 
     return coded.withColumn(name, decoded(F.col(ids)))

@@ -10,14 +10,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, strings
+from rowmill.llm.blocks import blocks, loaded, strings
 from rowmill.session import settle, ship_package
 
 CACHE_SCHEMA = "content binary, n_tokens long, tokenizer string"
@@ -66,11 +65,6 @@ class PieceCounter:
         return [sum(map(look, words)) for words in split]
 
 
-@lru_cache(maxsize=2)
-def _counter(path: str) -> PieceCounter:
-    return PieceCounter(path)
-
-
 def tokenizer_digest(path: str) -> str:
     with open(path, "rb") as file:
         return hashlib.sha256(file.read()).hexdigest()
@@ -107,7 +101,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, key: str = "doc_id
     )
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(tokenizer)
+        counter = loaded(PieceCounter, tokenizer)
         for block in blocks(batches, "__text"):
             counts = counter.count(strings(block.column("__text")))
             yield pa.RecordBatch.from_arrays(

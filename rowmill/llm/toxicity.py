@@ -12,7 +12,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import strings
+from rowmill.llm.blocks import loaded, strings
 from rowmill.session import settle, ship_package
 
 GRAMS = (5, 8)
@@ -79,11 +78,6 @@ class Meter:
         ])
 
 
-@lru_cache(maxsize=2)
-def _meter(ordinary: bytes, toxic: bytes) -> Meter:
-    return Meter(ordinary, toxic)
-
-
 def probability(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
 
@@ -208,7 +202,7 @@ def train(
     toxic = marked.encode() + ordinary
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meter = _meter(ordinary, toxic)
+        meter = loaded(Meter, ordinary, toxic)
         for batch in batches:
             values = [meter.features(content).tolist() for content in strings(batch.column(0))]
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +225,7 @@ def toxicity(text: Column, model: Model | None) -> Column:
 
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
-        meter, weights = _meter(model.ordinary, model.toxic), np.array(model.weights)
+        meter, weights = loaded(Meter, model.ordinary, model.toxic), np.array(model.weights)
         found = [meter.features(content) for content in strings(column)]
         return pa.array(probability(np.array(found), weights) if found else [], pa.float64())
 
