@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ from rowmill.operators.layout import plan_bytes
 
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
 _SHIPPED: dict = {}
+_STORED: list[tuple[SparkSession, str]] = []
 
 
 def build_session(app: str = "rowmill", master: str | None = None, **settings: str) -> SparkSession:
@@ -58,18 +60,42 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/rowmill/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+def settle(df: DataFrame, label: str = "settled", compression: str = "snappy") -> DataFrame:
     """Compute a frame once into the shared folder and go on from the stored rows.
 
     Lineage ends there, every later use reads files instead of recomputing, and Catalyst plans
-    with the stored size: a small result is broadcast because it is known to be small.
+    with the stored size: a small result is broadcast because it is known to be small.  What is
+    stored lasts until ``release`` or the end of the process.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    _STORED.append((spark, path))
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *labels: str) -> None:
+    """Remove what ``settle`` has stored, all of it or only what was stored under the labels."""
+    for held in list(_STORED):
+        label = held[1].rpartition("/")[2].rpartition("-")[0]
+        if held[0].sparkContext is spark.sparkContext and (not labels or label in labels):
+            _STORED.remove(held)
+            _remove(spark, held[1])
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _release_all() -> None:
+    """At the end of the process nothing that only this process knew of stays behind."""
+    for spark in {id(held[0]): held[0] for held in _STORED}.values():
+        if spark.sparkContext._jsc is not None:
+            release(spark)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let executors import this package, once for each Spark application.
 
