@@ -128,9 +128,9 @@ def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.where(total > 0, same / np.maximum(total, 1), 1.0)
 
 
-def hexadecimal(prints: np.ndarray) -> list[str]:
-    """Four hex digits for each hash, tier by tier."""
-    return [own.astype(">u2").tobytes().hex() for own in prints]
+def packed(prints: np.ndarray) -> list[bytes]:
+    """Two bytes for each hash, tier by tier."""
+    return [own.astype(">u2").tobytes() for own in prints]
 
 
 def edited(text: str, following: str) -> str:
@@ -141,7 +141,7 @@ def edited(text: str, following: str) -> str:
 
 
 KINDS = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+    "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, "
     "near_next double"
 )
 
@@ -156,9 +156,9 @@ def _compare(texts: list[str], following: list[str], band: np.ndarray) -> list[p
     other = prints_of(changed, band)
     return [
         pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed], pa.string()),
-        pa.array(hexadecimal(own), pa.string()),
-        pa.array(hexadecimal(other), pa.string()),
+        pa.array([hashlib.sha256(t.encode()).digest() for t in changed], pa.binary()),
+        pa.array(packed(own), pa.binary()),
+        pa.array(packed(other), pa.binary()),
         pa.array(likeness(own, other), pa.float64()),
         pa.array(likeness(own, after), pa.float64()),
     ]
@@ -173,8 +173,8 @@ def fingerprints(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text: s
     def printed(column: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
         return pa.array([
-            name for block in blocks(iter([batch]), "text")
-            for name in hexadecimal(prints_of(strings(block.column(0)), sent.value))
+            name.hex() for block in blocks(iter([batch]), "text")
+            for name in packed(prints_of(strings(block.column(0)), sent.value))
         ], pa.string())
 
     return docs.select(F.col(key), printed(F.col(text).cast("string")).alias("fingerprint"))
@@ -204,7 +204,7 @@ def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text:
 
         def rows_of(keys, columns, edge, texts):
             n = len(keys)
-            blank = [pa.nulls(n, t) for t in (pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2)]
+            blank = [pa.nulls(n, t) for t in (pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2)]
             return pa.RecordBatch.from_arrays(
                 [keys, *(columns or blank), pa.array([part] * n, pa.int64()), pa.array([edge] * n, pa.int32()),
                  pa.array(texts, pa.string()) if texts else pa.nulls(n, pa.string())],
@@ -223,7 +223,7 @@ def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text:
         if held is not None:
             yield rows_of(held[0], None, 2, [held[1]])
 
-    stored = settle(ranged.mapInArrow(compared, schema), "compared")
+    stored = settle(ranged.mapInArrow(compared, schema), "compared", compression="zstd")
     # One row per range: which range with rows comes next.
     heads = stored.where("__edge = 1").select("__part")
     first = F.min("__part").over(Window.partitionBy())
@@ -240,4 +240,8 @@ def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names[:-3])
 
     edges = last.mapInArrow(finished, f"__key {kind}, {KINDS}")
-    return stored.where("__edge = 0").select(*names[:-3]).unionByName(edges).withColumnRenamed("__key", key)
+    found = stored.where("__edge = 0").select(*names[:-3]).unionByName(edges)
+    written = {kind.split()[0] for kind in KINDS.split(", ") if kind.endswith("binary")}
+    return found.select(
+        F.col("__key").alias(key), *[F.lower(F.hex(n)).alias(n) if n in written else n for n in names[1:-3]]
+    )
