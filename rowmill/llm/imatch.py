@@ -1,8 +1,8 @@
 """I-Match fingerprints from randomised lexicons.
 
 A term belongs to the lexicon when its inverse document frequency lies in a chosen band.  The
-lexicon is thinned at random into several subsets, in tiers that each keep a quarter of the tier
-before; a text's fingerprint is, for each subset, a hash of its sorted distinct terms there.
+lexicon is thinned at random into several subsets, in tiers of which the first keeps half of the
+terms and each other a quarter of the one before; a text's fingerprint is, for each subset, a hash of its sorted distinct terms there.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from rowmill.llm.blocks import blocks, joined, mix, strings, words
 from rowmill.session import settle, ship_package
 
-TIERS = 6
+TIERS = 5
 SUBSETS = 16
 # The band: terms in one document of 20 to one of 8,000.
 IDF_LOW, IDF_HIGH = 3.0, 9.0
@@ -57,7 +57,7 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = IDF_LOW, high: flo
         def emit():
             terms, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), [])
             return pa.RecordBatch.from_arrays(
-                [pa.array(terms.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"]
+                [pa.array(terms.view(np.int64)), pa.array(n, pa.int32())], names=["term", "n"]
             )
 
         for block in blocks(batches, "__text"):
@@ -72,7 +72,7 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = IDF_LOW, high: flo
     ship_package(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     total = rows.count()
-    counts = rows.mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(counted, "term long, n int").groupBy("term").agg(F.sum("n").alias("n"))
     idf = F.log(F.lit(float(max(total, 1))) / F.col("n"))
     chosen = counts.where((idf >= low) & (idf <= high)).select("term").toArrow()
     return np.sort(chosen.column(0).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -104,7 +104,7 @@ def prints_of(texts: list[str], band: np.ndarray) -> np.ndarray:
     draws = mix(terms[:, None] ^ _seeds()[None, :])
     hashes = mix(terms)[:, None] * (draws | np.uint64(1))
     for tier in range(TIERS):
-        inside = draws <= np.uint64((1 << 64 - 2 * tier) - 1)
+        inside = draws < np.uint64(1 << 63 - 2 * tier)
         # The sum of the hashes of sorted distinct terms names the set of them.
         sums = mix(np.add.reduceat(np.where(inside, hashes, np.uint64(0)), first, axis=0))
         short = (sums % np.uint64((1 << 16) - 1)).astype(np.uint16) + np.uint16(1)
