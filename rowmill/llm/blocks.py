@@ -25,6 +25,11 @@ def loaded(build: Callable, *arguments):
     return _MODEL[key]
 
 
+def unload() -> None:
+    """Drop the model that an earlier job has left, before work that needs room and no model."""
+    _MODEL.clear()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and the offsets of its rows in them; NULL counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

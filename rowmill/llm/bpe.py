@@ -22,7 +22,7 @@ from rowmill.session import ship_package
 
 # Fixed value: the pattern by which byte-level tokenizers of this family split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMO_ENTRIES = 1 << 18
+MEMO_ENTRIES = 1 << 17
 MEMO_BYTES = 64
 END = -1
 

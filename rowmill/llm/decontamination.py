@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, joined, mix, strings, words
+from rowmill.llm.blocks import blocks, joined, mix, strings, unload, words
 from rowmill.operators.joins import join_small
 from rowmill.session import settle, ship_package
 
@@ -121,6 +121,7 @@ def contaminated(
     sent = spark.sparkContext.broadcast(np.packbits(bits))
 
     def document_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         may = np.unpackbits(sent.value).astype(bool)
         low = np.uint64((1 << FILTER_BITS) - 1)
         for block in blocks(batches, "__text"):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, joined, mix, strings, words
+from rowmill.llm.blocks import blocks, joined, mix, strings, unload, words
 from rowmill.llm.toxicity import sample_labelled
 from rowmill.session import ship_package
 
@@ -120,6 +120,7 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     """In how many documents each hashed term occurs, over all of them: DIMENSIONS numbers."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         held, rows = np.zeros(DIMENSIONS, np.int64), 0
         for block in blocks(batches, "__text"):
             held += (term_counts(strings(block.column(0))) > 0).sum(axis=0)

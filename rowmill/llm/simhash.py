@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, strings
+from rowmill.llm.blocks import blocks, strings, unload
 from rowmill.llm.components import connected
 from rowmill.session import settle, ship_package
 
@@ -70,6 +70,7 @@ def fingerprints(
     kind = rows.schema["__key"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
         for block in blocks(batches, "__text"):
             found = []
             for content in strings(block.column("__text")):

@@ -19,10 +19,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import loaded, strings
+from rowmill.llm.blocks import blocks, loaded, strings, unload
 from rowmill.session import settle, ship_package
 
-GRAMS = (5, 8)
+# Grams of any SHORT characters, and of LONG ones from the space before a word on.
+SHORT, LONG = 5, 8
+COUNTED_BYTES = 1 << 18
 REPEATS = 4
 WINDOW_WORDS = 12
 LEVEL = 13
@@ -134,12 +136,14 @@ def train(
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each gram the toxic texts that hold it, and its places in toxic and ordinary texts, of
         which one text counts for REPEATS at most; without a gram the places there are."""
-        for batch in batches:
+        unload()
+        for batch in blocks(batches, "__text", COUNTED_BYTES):
             texts, places = Counter(), {0: Counter(), 1: Counter()}
             for content, value in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 content = _even(content)
-                for size in GRAMS:
-                    own = Counter(content[i : i + size] for i in range(len(content) - size + 1))
+                begins = [i for i, c in enumerate(content) if c == " "]
+                for size, starts in ((SHORT, range(len(content) - SHORT + 1)), (LONG, begins)):
+                    own = Counter(content[i : i + size] for i in starts if i + size <= len(content))
                     places[value].update({gram: min(n, REPEATS) for gram, n in own.items()})
                     if value:
                         texts.update(own.keys())
@@ -168,7 +172,7 @@ def train(
     def covered(content: str) -> list[bool]:
         """Which characters of a text lie in marking grams."""
         inside = [False] * len(content)
-        for size in GRAMS:
+        for size in (SHORT, LONG):
             for i in range(len(content) - size + 1):
                 if content[i : i + size] in marks:
                     inside[i : i + size] = [True] * size
@@ -226,7 +230,8 @@ def toxicity(text: Column, model: Model | None) -> Column:
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
         meter, weights = loaded(Meter, model.ordinary, model.toxic), np.array(model.weights)
-        found = [meter.features(content) for content in strings(column)]
+        batch = pa.RecordBatch.from_arrays([column], names=["text"])
+        found = [meter.features(text) for block in blocks(iter([batch]), "text") for text in strings(block.column(0))]
         return pa.array(probability(np.array(found), weights) if found else [], pa.float64())
 
     return scored(text.cast("string"))
