@@ -84,7 +84,7 @@ def probability(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(features @ weights, -30, 30)))
 
 
-def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 0.3) -> np.ndarray:
+def _fit(features: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Logistic weights by Newton's method; the ridge keeps separable labels finite."""
     weights = np.zeros(features.shape[1])
     for _ in range(50):
