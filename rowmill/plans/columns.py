@@ -252,7 +252,7 @@ def dq_dataflow(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name": "customers",
         "sources": [{
             "name": "inputs", "path": f"{inbox}/*", "format": "JSON",
-            "schema": "id bigint, segment string, balance double", "options": {"multiLine": False},
+            "schema": "id bigint, segment string, balance double",
         }],
         "transformations": [
             {"name": "checked", "type": "validate_fields", "params": {"input": "inputs", "validations": RULES}},

@@ -188,30 +188,34 @@ def mth_least_greatest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's whitespace words, none for the documents of one language."""
-    words = F.when(F.col("lang") == "de", F.array().cast("array<string>")).otherwise(text.words(F.col("text")))
-    return table(spark, sf_dir, "documents", heavy=True).select("doc_id", words.alias("words"))
+    """Each document's whitespace words."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("words"))
+
+
+def th_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's words with a ``th``; many documents have none."""
+    return named_words(spark, sf_dir).select("doc_id", arrays.containing(F.col("words"), "th").alias("words"))
 
 
 _WORDS_SQL = r"""
-    d AS (SELECT doc_id, CASE WHEN lang = 'de' THEN []::VARCHAR[]
-                 ELSE list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda x: x <> '') END AS words FROM documents)
+    d AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda x: x <> '') AS words FROM documents)
 """
+_TH_WORDS_SQL = _WORDS_SQL.replace("x <> ''", "instr(x, 'th') > 0")
 
 
-@query("ARR1", f"WITH {_WORDS_SQL}, e AS (SELECT doc_id, unnest(words) AS word FROM d) SELECT doc_id, count(*) AS words FROM e GROUP BY 1")
+@query("ARR1", f"WITH {_TH_WORDS_SQL}, e AS (SELECT doc_id, unnest(words) AS word FROM d) SELECT doc_id, count(*) AS words FROM e GROUP BY 1")
 def arr_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row without elements disappears."""
-    exploded = arrays.explode_rows(named_words(spark, sf_dir), "words", "word")
+    exploded = arrays.explode_rows(th_words(spark, sf_dir), "words", "word")
     return exploded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("words"))
 
 
 @query("ARR1", f"""
-    WITH {_WORDS_SQL}, e AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE words END) AS word FROM d)
+    WITH {_TH_WORDS_SQL}, e AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE words END) AS word FROM d)
     SELECT doc_id, count(word) AS words FROM e GROUP BY 1
 """)
 def arr_explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = arrays.explode_rows(named_words(spark, sf_dir), "words", "word", keep_empty=True)
+    exploded = arrays.explode_rows(th_words(spark, sf_dir), "words", "word", keep_empty=True)
     return exploded.groupBy("doc_id").agg(F.count("word").alias("words"))
 
 
@@ -223,11 +227,11 @@ def arr_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named_words(spark, sf_dir).select("doc_id", arrays.total_length(F.col("words")).cast("bigint").alias("characters"))
 
 
-@query("ARR3", f"WITH {_WORDS_SQL} SELECT doc_id, array_to_string(list_transform(words, lambda x: upper(replace(x, 'ß', 'ss'))), ' ') AS loud FROM d WHERE len(words) > 0")
+@query("ARR3", f"WITH {_WORDS_SQL} SELECT doc_id, array_to_string(list_transform(words, lambda x: upper(replace(x, 'ß', 'ss'))), ' ') AS loud FROM d")
 def arr_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sharp s has a two-letter upper form."""
     loud = F.array_join(arrays.upper_all(F.col("words")), " ")
-    return named_words(spark, sf_dir).where(F.size("words") > 0).select("doc_id", loud.alias("loud"))
+    return named_words(spark, sf_dir).select("doc_id", loud.alias("loud"))
 
 
 @query("ARR4", f"WITH {_WORDS_SQL} SELECT doc_id, len(list_filter(words, lambda x: instr(x, 'th') > 0)) AS with_th FROM d")

@@ -9,7 +9,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.session import session_settings, use_all_cores
+from rowmill.session import session_settings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +61,6 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """A given table; ``heavy`` says that costly per-row work follows (see ``use_all_cores``)."""
-    frame = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return use_all_cores(frame) if heavy else frame
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

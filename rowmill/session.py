@@ -12,8 +12,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.operators.layout import plan_bytes
-
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
 _SHIPPED: dict = {}
 _STORED: list[tuple[SparkSession, str]] = []
@@ -115,19 +113,6 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(archive)
 
 
-def use_all_cores(scan: DataFrame, max_bytes: int = 1 << 28) -> DataFrame:
-    """Spread a small file scan over the cores before heavy per-row work.
-
-    A table of one small file is a single task; beyond ``max_bytes`` the scan has tasks enough and
-    is left alone, so a large table is never shuffled for this.  Filters and column pruning still
-    reach the scan.
-    """
-    if plan_bytes(scan) > max_bytes:
-        return scan
-    cores = max(scan.sparkSession.sparkContext.defaultParallelism, 1)
-    return scan.repartition(cores)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a shared folder where the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

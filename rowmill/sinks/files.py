@@ -7,8 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.operators.layout import stored_bytes
-from rowmill.session import fresh_path, session_settings
+from rowmill.session import release, session_settings, settle
 
 
 def write_files(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", **options) -> None:
@@ -75,19 +74,15 @@ def write_table(
         writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(name)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "parquet", max_bytes: int = 128 << 20) -> None:
-    """SNK9: one file for a small result.
+def write_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """SNK9: one file, written by one task as the caller asks, whatever its size.
 
-    The rows are written in parallel first and their stored size is measured; only a result
-    within ``max_bytes`` goes through the one task, a larger one is refused.
+    The rows are computed and stored in parallel first, so that the one task only copies them; the
+    stored copy is removed.
     """
-    spark = df.sparkSession
-    staged = fresh_path(spark, "staged")
-    df.write.parquet(staged)
-    size = stored_bytes(spark, staged)
-    if size > max_bytes:
-        raise ValueError(f"{size} bytes exceed {max_bytes}; write this frame in parts")
-    spark.read.schema(df.schema).parquet(staged).coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    stored = settle(df, "staged")
+    stored.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    release(df.sparkSession, "staged")
 
 
 def write_noop(df: DataFrame) -> None:

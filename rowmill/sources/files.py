@@ -11,12 +11,10 @@ def read_files(
 ) -> DataFrame:
     """Any file format, with the schema declared where it is known.
 
-    A JSON source without ``multiLine`` given is read as a document (array or object) per file,
-    unless the caller says it holds JSON lines.
+    A JSON source is read as lines, each a record, and its files are split; ``multiLine=True`` reads
+    a file as one document (an array or object) in one task.
     """
     reader = spark.read.format(fmt.lower()).options(**options)
-    if fmt.lower() == "json" and "multiLine" not in options:
-        reader = reader.option("multiLine", True)
     return (reader.schema(ddl) if ddl else reader).load(path)
 
 

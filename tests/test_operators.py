@@ -12,7 +12,6 @@ from rowmill.functions import json as json_columns
 from rowmill.operators import groups, joins, layout, numbering, quality, radius
 from rowmill.operators.columns import flatten, suffixed
 from rowmill.registry import all_queries
-from rowmill.session import use_all_cores
 from rowmill.streaming import mobility
 
 SF = "/root/testdata/sf0.001"
@@ -298,17 +297,6 @@ def test_scan_is_pruned_and_pushed(spark):
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
 
 
-def test_small_scans_use_all_cores_and_large_ones_are_left(spark):
-    orders = spark.read.parquet(f"{SF}/orders.parquet")
-    spread = use_all_cores(orders).where("o_totalprice > 300000").select("o_orderkey")
-    plan = layout.plan_text(spread)
-    assert "Exchange" in plan and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
-    assert "GreaterThan(o_totalprice" in plan
-    assert use_all_cores(orders, max_bytes=10) is orders
-    assert sorted(r[0] for r in spread.collect()) == sorted(
-        r[0] for r in orders.where("o_totalprice > 300000").select("o_orderkey").collect())
-
-
 def test_same_plan_for_equal_forms(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     forms = [orders.filter("o_totalprice > 5"), orders.where(F.col("o_totalprice") > 5)]
