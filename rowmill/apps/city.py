@@ -10,7 +10,7 @@ from rowmill.functions.dates import parse_timestamp
 from rowmill.functions.text import repair_coordinate
 from rowmill.operators.groups import latest_rows
 from rowmill.sinks.files import write_partitioned
-from rowmill.sinks.unseen import append_unseen
+from rowmill.sinks.unseen import append_unseen, without_key
 from rowmill.sources.files import fold_files
 from rowmill.sources.nested import envelope_rows, named_value, source_rows
 from rowmill.streaming.mobility import hourly_maxima
@@ -47,7 +47,7 @@ def sensor_locations(rows: DataFrame) -> DataFrame:
         F.col("id").try_cast("int").alias("id"),
         F.col("nombre").alias("name"),
         repair_coordinate(F.col("longitud")).alias("longitude"),
-        repair_coordinate(F.col("latitud")).alias("latitude"),
+        repair_coordinate(F.col("latitud"), limit=90.0).alias("latitude"),
         "csv_index",
     )
     return latest_rows(repaired.na.drop("any"), ["id"], ["csv_index"])
@@ -88,8 +88,9 @@ def register_parkings(sites: DataFrame, target: str) -> bool:
     return append_unseen(sites, target, schemas.PARKING_REGISTRY, ["id"], ["total_slots"])
 
 
-def register_points(points: DataFrame, target: str) -> bool:
-    return append_unseen(points, target, schemas.POI_REGISTRY, ["id"], ["category"])
+def register_points(points: DataFrame, target: str) -> tuple[bool, DataFrame]:
+    """PIP7: append the points the registry lacks; also return those whose id is no number."""
+    return append_unseen(points, target, schemas.POI_REGISTRY, ["id"], ["category"]), without_key(points, ["id"])
 
 
 def bike_messages(replies: DataFrame) -> DataFrame:

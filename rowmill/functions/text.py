@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 WHITESPACE = "[ \\t\\n\\r\\f]+"  # fixed value: the delimiters of a default word-count tokenizer
 
 
-def repair_coordinate(value: Column, int_chars: int = 2) -> Column:
+def repair_coordinate(value: Column, int_chars: int = 2, limit: float = 180.0) -> Column:
     """STR2: drop every dot, put one back after ``int_chars`` characters, read as a double.
 
-    Text that still is no number gives NULL instead of failing the job.
+    Text that still is no number, or one beyond ``limit`` degrees either way, gives NULL instead of
+    failing the job.
     """
     digits = F.regexp_replace(value, "\\.", "")
     repaired = F.concat(
         F.substring(digits, 1, int_chars), F.lit("."), F.substr(digits, F.lit(int_chars + 1))
     )
-    return repaired.try_cast("double")
+    degrees = repaired.try_cast("double")
+    return F.when(F.abs(degrees) <= limit, degrees)
 
 
 def pair_key(first: Column, second: Column, sep: str = "-") -> Column:

@@ -10,7 +10,7 @@ from rowmill.registry import query, table
 from rowmill.session import fresh_path
 from rowmill.sinks import files as sinks
 from rowmill.sinks.topics import topic_rows
-from rowmill.sinks.unseen import append_unseen
+from rowmill.sinks.unseen import append_unseen, without_key
 
 
 @query("SNK1", "SELECT n_nationkey AS a, n_name AS b, count(*) AS customers FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2")
@@ -177,3 +177,21 @@ def snk_append_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", F.date_from_unix_date(-F.col("back")).alias("first_seen"),
         F.lit(True).alias("first_run"), F.lit(again).alias("second_run"),
     )
+
+
+@query("SNK13 J5", """
+    SELECT o_orderpriority AS priority, count(o_key) AS stored, count(*) - count(o_key) AS rejected
+    FROM (SELECT *, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS o_key FROM orders) GROUP BY 1
+""")
+def snk_append_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders a third of which have lost their key, appended three times: those are returned, not stored."""
+    path, ddl = fresh_path(spark, "keyed-orders"), "id bigint, priority string"
+    rows = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("id"), F.col("o_orderpriority").alias("priority")
+    )
+    for _ in range(3):
+        append_unseen(rows, path, ddl, ["id"], ["priority"])
+    kept = spark.read.schema(ddl).parquet(path).unionByName(without_key(rows, ["id"]))
+    return kept.groupBy("priority").agg(
+        F.count("id").alias("stored"), (F.count(F.lit(1)) - F.count("id")).alias("rejected")
+    )

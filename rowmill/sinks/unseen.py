@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowmill.operators.groups import latest_rows
 from rowmill.operators.joins import unseen
@@ -10,15 +13,22 @@ from rowmill.session import settle
 from rowmill.sources.files import read_or_empty
 
 
+def without_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that lack a part of their key: nothing can tell whether they were seen before."""
+    return df.where(reduce(lambda some, key: some | key, (F.col(key).isNull() for key in keys)))
+
+
 def append_unseen(new: DataFrame, path: str, ddl: str, keys: list[str], order: list[str]) -> bool:
     """Append the rows whose keys the target lacks, one per key; say whether there were any.
 
-    Running it again with the same rows changes nothing.  Copies of a key are merged map-side before
+    Running it again with the same rows changes nothing.  Rows ``without_key`` are left out, since a
+    NULL equals no stored key and would be appended by every run.  Copies of a key are merged map-side before
     the anti-join, so a key that fills a third of the input joins as one row.  The fresh rows are staged, so that the
     emptiness test and the append do not compute them twice.
     """
     target = read_or_empty(new.sparkSession, path, ddl)
-    fresh = settle(unseen(latest_rows(new, keys, order), target, keys), "fresh")
+    known = new.na.drop("any", subset=keys)
+    fresh = settle(unseen(latest_rows(known, keys, order), target, keys), "fresh")
     if fresh.isEmpty():
         return False
     fresh.write.mode("append").parquet(path)
