@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DecimalType, NullType, StructType
 
 from rowmill import schemas
 
@@ -25,12 +26,23 @@ def discover_ddl(df: DataFrame, column: str) -> str:
 
     One distributed aggregate merges the rows' types, map-side first, so a field that turns up
     only in the last file is found too and just the merged type reaches the driver.  Fractional
-    numbers become double, fields that are always null become string.
+    numbers become double, fields that are always null become string.  Without any JSON the type has
+    no fields.
     """
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("t")).first()["t"]
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    return re.sub(r"\bVOID\b", "STRING", ddl)
+    # A field name with "<" in it stands in backquotes: outside of them OBJECT< begins a type.
+    plain = re.sub(r"(`(?:[^`]|``)*`)|\bOBJECT<", lambda part: part[1] or "STRUCT<", found)
+    kind = DataType.fromDDL(plain)
+    return "STRUCT<>" if isinstance(kind, NullType) else _ddl(kind)
+
+
+def _ddl(kind: DataType) -> str:
+    if isinstance(kind, StructType):
+        fields = ("`{}`: {}".format(field.name.replace("`", "``"), _ddl(field.dataType)) for field in kind.fields)
+        return f"STRUCT<{', '.join(fields)}>"
+    if isinstance(kind, ArrayType):
+        return f"ARRAY<{_ddl(kind.elementType)}>"
+    return {NullType: "STRING", DecimalType: "DOUBLE"}.get(type(kind), kind.simpleString())
 
 
 def device_rows(df: DataFrame, value: str = "value") -> DataFrame:

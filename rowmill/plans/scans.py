@@ -240,7 +240,7 @@ def src_part_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").repartition(4).write.csv(path)
     whole = files.read_delimited(spark, path, ddl, header=False)
     first = files.first_part_file(whole)
-    rest = whole.where(F.col("_metadata.file_path") != first)
+    rest = whole.where(F.col("_metadata.file_name") != first.rpartition("/")[2])
     return files.read_delimited(spark, first, ddl, header=False).unionByName(rest)
 
 
@@ -283,6 +283,20 @@ def src_html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.html_links(table(spark, sf_dir, "pages"), "page_id")
 
 
+@query("SRC19", r"""
+    WITH a AS (SELECT page_id, unnest(string_split_regex(html, '(?i)<a\s')[2:]) AS rest FROM pages WHERE page_id % 2 = 0)
+    SELECT page_id, split_part(split_part(rest, 'href="', 2), '"', 1) AS href FROM a WHERE contains(split_part(rest, '>', 1), 'href="')
+""")
+def src_html_class_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of a class of two words, which the anchors of every second page are given; a comment holds one more."""
+    css = F.when(F.col("page_id") % 2 == 0, "big  file-link csv").otherwise("file-link big csv")
+    marked = F.regexp_replace("html", F.lit(r"(?i)<a\s"), F.concat(F.lit('<a title="a > b" class="'), css, F.lit('" ')))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit('<!-- <a class="file-link csv" href="/no">x</a> -->'), marked).alias("html")
+    )
+    return nested.html_links(pages, "page_id", css_class="file-link csv")
+
+
 @query("SRC20", """
     SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size END AS total FROM part
 """)

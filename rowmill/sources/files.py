@@ -53,6 +53,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+
+
 def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """SRC16: the target's rows, or none on a first run.
 
@@ -64,8 +69,8 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 def first_part_file(df: DataFrame) -> str:
-    """SRC15: the first file behind a scanned directory, from file metadata."""
-    return df.agg(F.min("_metadata.file_path")).first()[0]
+    """SRC15: the first file behind a scanned directory, from its listing; no row is read."""
+    return min(df.inputFiles())
 
 
 def fold_files(
