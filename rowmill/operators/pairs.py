@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from rowmill.session import settle
 
+# Above twice the number of century years without a leap day before the year 10,000, which is 75.
+STEPS = 256
+
 
 def _label_products(left: DataFrame, right: DataFrame, on: list[str], label: str) -> DataFrame:
     """Ordered label pairs and how many row pairs they stand for; rows are counts already."""
@@ -19,6 +22,16 @@ def _label_products(left: DataFrame, right: DataFrame, on: list[str], label: str
     ).select("label_1", "label_2", (F.col("__n1") * F.col("__n2")).alias("pairs"))
 
 
+def _own_products(counts: DataFrame, on: list[str], label: str) -> DataFrame:
+    """The label pairs of a table with itself, each made in one order and counted for both.
+
+    NULL labels come before all others.
+    """
+    first, second = F.col("label_1"), F.col("label_2")
+    products = _label_products(counts, counts, on, label).where(F.coalesce(first <= second, first.isNull()))
+    return products.withColumn("pairs", F.col("pairs") * F.when(first.eqNullSafe(second), 1).otherwise(2))
+
+
 def _unordered(ordered: DataFrame) -> DataFrame:
     return ordered.groupBy(
         F.least("label_1", "label_2").alias("label_1"),
@@ -29,10 +42,11 @@ def _unordered(ordered: DataFrame) -> DataFrame:
 def label_pair_counts(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """J6 + AGG13: ordered row pairs sharing ``keys`` (a row with itself too), per label pair.
 
-    Work and shuffle grow with the number of distinct (key, label), not with the pairs.
+    No pair of rows is formed, only of a key's distinct labels, each in one order: as many as the key
+    adds to, which is the result itself where there is one key.
     """
     counts = df.where(_known(keys)).groupBy(*keys, label).agg(F.count(F.lit(1)).alias("n"))
-    return _unordered(_label_products(counts, counts, keys, label))
+    return _unordered(_own_products(counts, keys, label))
 
 
 def banded_label_pair_counts(
@@ -74,12 +88,12 @@ def banded_label_pair_counts(
     counts = settle(counts.join(spans.where(~plain).select(*keys, "__tight"), keys), "pair-mixed")
 
     tight = counts.where("__tight").groupBy(*keys, label).agg(F.sum("n").alias("n"))
-    close = _label_products(tight, tight, keys, label)
+    close = _own_products(tight, keys, label)
 
     wide = counts.where("not __tight")
     same_on = [*keys, "__bucket"]
     per_bucket = wide.groupBy(*same_on, label).agg(F.sum("n").alias("n"))
-    same = _label_products(per_bucket, per_bucket, same_on, label)
+    same = _own_products(per_bucket, same_on, label)
 
     bits = max(1, (width - 1).bit_length())
     cells = (
@@ -101,12 +115,22 @@ def years_position(date: Column, years: int) -> tuple[Column, int]:
     """Integer position of a date and the width for "fewer than ``years`` years apart".
 
     ``months_between`` calls 28 and 29 February whole years apart when both end their month, so
-    unless the span is a multiple of four years the leap day counts as the 28th.
+    unless the span is a multiple of four years the leap day counts as the 28th.  In a span of a
+    multiple of four only a century year such as 1900 has no leap day: its 28th is a whole span after
+    the 29th and a whole span before the 28th.  A day is then ``STEPS`` positions wide, and the
+    28th and 29th of February move on by two of them with every such year a whole number of spans back.
     """
     day = F.dayofmonth(date)
     if years % 4:
         day = F.when((F.month(date) == 2) & (day == 29), F.lit(28)).otherwise(day)
-    return (F.year(date) * 12 + F.month(date)) * 31 + day - 1, years * 12 * 31
+        return (F.year(date) * 12 + F.month(date)) * 31 + day - 1, years * 12 * 31
+    year = F.year(date)
+    chain = F.sequence(F.pmod(year, F.lit(years)), year, F.lit(years))
+    plain = F.size(F.filter(chain, lambda y: (y % 100 == 0) & (y % 400 != 0)))
+    step = F.when(
+        (F.month(date) == 2) & (day >= 28), (F.lit(28) - day) * STEPS + plain * 2 + F.when(day == 29, 1).otherwise(0)
+    ).otherwise(0)
+    return ((year * 12 + F.month(date)) * 31 + day - 1) * STEPS + step, years * 12 * 31 * STEPS
 
 
 def _known(keys: list[str]) -> Column:

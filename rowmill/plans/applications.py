@@ -197,9 +197,9 @@ _SIBLINGS_SQL = """
 """
 
 
-def _order_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_siblings(spark: SparkSession, sf_dir: str, mirrored: bool = True) -> DataFrame:
     return siblings.sibling_title_pairs(
-        table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate", years=2
+        table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate", 2, mirrored
     )
 
 
@@ -209,6 +209,12 @@ def pip_sibling_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_siblings(spark, sf_dir)
 
 
+@query("PIP8 J6", f"WITH {_SIBLINGS_SQL.replace('a.o_orderkey <> b.o_orderkey', 'a.o_orderkey < b.o_orderkey')} SELECT * FROM s")
+def pip_sibling_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with each pair of orders counted once."""
+    return _order_siblings(spark, sf_dir, mirrored=False)
+
+
 @query("PIP8 AGG12 PHY7 PHY8", f"""
     WITH {_SIBLINGS_SQL}
     SELECT count(*) AS title_pairs,
@@ -224,7 +230,7 @@ def pip_sibling_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return siblings.title_summaries(kept, ["1-URGENT", "2-HIGH"], "3")
 
 
-@query("PIP9 PIP4 PIP6 PIP7 ST21 ST22 ST23 ST24 AGG15", f"""
+@query("PIP9 PIP4 PIP5 PIP6 PIP7 ST21 ST22 ST23 ST24 AGG15", f"""
     WITH {PLACES_SQL}, {BIKES_SQL}, {PARKINGS_SQL}, {TRAFFIC_SQL},
     r AS (SELECT * FROM bikes UNION ALL SELECT * FROM parkings UNION ALL SELECT * FROM traffic),
     f AS (SELECT p.id AS id, p.name AS name, avg(occupancy) * 100 AS value FROM p JOIN r ON {NEAR_SQL} GROUP BY 1, 2)
@@ -238,6 +244,7 @@ def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "city")
     _ingest_registries(spark, sf_dir, path)
     sites = spark.read.schema(schemas.PARKING_REGISTRY).parquet(f"{path}/parkings")
+    sensors = spark.read.schema(schemas.TRAFFIC_LOCATIONS).parquet(f"{path}/sensors")
     hourly = spark.read.parquet(f"{path}/maxima")
     points = spark.read.schema(schemas.POI_REGISTRY).parquet(f"{path}/points")
 
@@ -245,7 +252,7 @@ def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = {
         "bikes": city_streams.bikes_stage(bikes),
         "parking": city_streams.parking_stage(parkings, sites),
-        "traffic": city_streams.traffic_stage(traffic, sites, hourly, F.lit(NOW).cast("timestamp_ntz")),
+        "traffic": city_streams.traffic_stage(traffic, sensors, hourly, F.lit(NOW).cast("timestamp_ntz")),
     }
     topics = []
     for stage, rows in stages.items():
@@ -264,8 +271,13 @@ def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest_registries(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """PIP4, PIP6 and PIP7 on feeds laid out from the given tables."""
+    """PIP4 to PIP7 on feeds laid out from the given tables; sensors stand where the parkings are."""
     city.register_parkings(parking_sites(spark, sf_dir), f"{path}/parkings")
+    parking_sites(spark, sf_dir).select(
+        "id", F.col("name").alias("nombre"), F.col("longitude").cast("string").alias("longitud"),
+        F.col("latitude").cast("string").alias("latitud"),
+    ).write.options(sep=";", header=True).csv(f"{path}/locations-1-csv")
+    city.register_locations(spark, f"{path}/locations-*-csv", r"locations-(\d+)-csv", f"{path}/sensors")
     points = places(spark, sf_dir).select(
         F.lit("site").alias("category"), "longitude", "latitude", F.col("id").cast("int").alias("id"), "name"
     )
