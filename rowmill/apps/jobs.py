@@ -51,7 +51,8 @@ def run_parkings(spark: SparkSession, args) -> None:
 
 def run_points(spark: SparkSession, args) -> None:
     replies = files.read_json_documents(spark, args.input, schemas.POI_REPLY)
-    city.register_points(city.points_of_interest(replies, args.source), args.output)
+    _, rejected = city.register_points(city.points_of_interest(replies, args.source), args.output)
+    rejected.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}-rejected")
 
 
 def run_siblings(spark: SparkSession, args) -> None:
@@ -73,7 +74,7 @@ def run_metadata(spark: SparkSession, args) -> None:
 
 
 def run_stream(spark: SparkSession, args) -> None:
-    topics = [kafka_stream(spark, args.servers, topic) for topic in args.topics]
+    topics = [kafka_stream(spark, args.servers, topic, args.per_trigger) for topic in args.topics]
     if args.stage == "bikes":
         rows = city_streams.bikes_stage(topics[0])
     elif args.stage == "parking":
@@ -83,9 +84,9 @@ def run_stream(spark: SparkSession, args) -> None:
             topics[0], spark.read.parquet(args.registry), spark.read.parquet(args.maxima)
         )
     else:
-        rows = city_streams.fusion_stage(spark.read.parquet(args.registry), topics)
+        rows = city_streams.fusion_stage(spark.read.parquet(args.registry), topics, args.salts)
     sink = kafka_sink_options(args.servers, args.out_topic)
-    with session_settings(spark, **run.stateful_settings(spark)):
+    with session_settings(spark, **run.stateful_settings(spark, args.state_partitions)):
         query = city_streams.start(rows, args.stage, sink, args.checkpoint)
     run.finish(query)
 
@@ -124,6 +125,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--registry", help="locations, parking registry or points of interest")
     stream.add_argument("--maxima", help="output of traffic-maxima")
+    stream.add_argument("--state-partitions", type=int, required=True, help="kept in the checkpoint for the life of the query")
+    stream.add_argument("--per-trigger", type=int, help="most messages of a topic in one batch")
+    stream.add_argument("--salts", type=int, default=1, help="parts into which the fusion splits a place's readings")
     stream.set_defaults(action=run_stream)
     return top
 

@@ -7,22 +7,28 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rowmill.session import session_settings
+from rowmill.sources.files import make_folder
+
+STATE_PARTITIONS = "rowmill.state.partitions"
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """Shuffle partitions of a stateful query: one per core, since AQE does not merge them.
+    """Shuffle partitions of a stateful query, which AQE does not merge: what the session sets as
+    ``rowmill.state.partitions``, else one per core.
 
-    The number is written into the checkpoint and stays for the life of the query.
+    The number is written into the checkpoint and stays for the life of the query, so set it where
+    executors come and go: the cores of the first moment may be few.
     """
-    return max(spark.sparkContext.defaultParallelism, 1)
+    return int(spark.conf.get(STATE_PARTITIONS, str(max(spark.sparkContext.defaultParallelism, 1))))
 
 
-def stateful_settings(spark: SparkSession) -> dict[str, str]:
+def stateful_settings(spark: SparkSession, partitions: int | None = None) -> dict[str, str]:
     """State on executor disks with changelog checkpoints, so that it may outgrow the heap."""
     return {
-        "spark__sql__shuffle__partitions": str(state_partitions(spark)),
+        "spark__sql__shuffle__partitions": str(partitions or state_partitions(spark)),
         "spark__sql__streaming__stateStore__providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
@@ -59,7 +65,10 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 
 
 def to_batch_dirs(stream: DataFrame, path: str, checkpoint: str, mode: str) -> DataFrame:
-    """ST8, ST9: each batch's rows under ``batch_id=N``, overwritten when a batch is replayed."""
+    """ST8, ST9: each batch's rows under ``batch_id=N``, overwritten when a batch is replayed.
+
+    A stream without input leaves an empty folder and gives no rows.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -68,7 +77,9 @@ def to_batch_dirs(stream: DataFrame, path: str, checkpoint: str, mode: str) -> D
     with session_settings(spark, **stateful_settings(spark)):
         writer = stream.writeStream.outputMode(mode).foreachBatch(write)
         finish(available_now(writer, checkpoint).start())
-    return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+    make_folder(spark, path)
+    written = StructType([*stream.schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(written).parquet(path)
 
 
 def newest_batch(written: DataFrame) -> DataFrame:
@@ -117,7 +128,8 @@ def to_many(stream: DataFrame, sinks, checkpoint: str) -> None:
         finally:
             kept.unpersist()
 
-    finish(available_now(stream.writeStream.foreachBatch(write), checkpoint).start())
+    with session_settings(stream.sparkSession, **stateful_settings(stream.sparkSession)):
+        finish(available_now(stream.writeStream.foreachBatch(write), checkpoint).start())
 
 
 def batch_files(path: str, fmt: str = "parquet", **options):
