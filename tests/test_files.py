@@ -15,7 +15,7 @@ from rowmill.operators import quality
 from rowmill.session import build_session, fresh_path, shared_root
 from rowmill.sinks import files as sinks
 from rowmill.sinks import topics
-from rowmill.sinks.unseen import append_unseen
+from rowmill.sinks.unseen import append_unseen, without_key
 from rowmill.sources import files, nested, streams
 
 
@@ -40,32 +40,26 @@ def test_named_folder_is_used(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
-ORDER_DAYS = "order_id string, prod_id string, qty int, order_date date"
-
-
-def _days(spark, rows):
-    df = spark.createDataFrame(rows, "order_id string, qty int, d string")
-    return df.select("order_id", "qty", F.to_date("d", "MM-dd-yyyy").alias("order_date"))
+def _shifts(spark, rows):
+    return spark.createDataFrame(rows, "worker string, hours int, ward string")
 
 
 def test_partition_overwrite_golden(spark, tmp_path):
-    """Static replaces the target; dynamic then replaces only the days it has rows for."""
-    path = str(tmp_path / "orders")
-    first = _days(spark, [("1", 1, "01-10-2022"), ("2", 1, "01-10-2022"), ("3", 1, "01-19-2022")])
-    second = _days(spark, [("4", 5, "01-26-2022"), ("5", 5, "01-20-2022")])
-    third = _days(spark, [("6", 9, "01-20-2022"), ("7", 9, "01-29-2022")])
+    """Static replaces the target; dynamic then replaces only the wards it has rows for."""
+    path = str(tmp_path / "shifts")
+    first = _shifts(spark, [("k", 8, "east"), ("l", 6, "east"), ("m", 7, "east"), ("n", 4, "attic")])
+    second = _shifts(spark, [("o", 3, "west")])
+    third = _shifts(spark, [("p", 12, "east"), ("q", 2, "west"), ("r", 5, "cellar")])
 
     def stored():
-        return {str(r["order_date"]): (r["n"], r["q"]) for r in spark.read.parquet(path).groupBy("order_date").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("qty").alias("q")).collect()}
+        return {r["ward"]: (r["n"], r["h"]) for r in spark.read.parquet(path).groupBy("ward").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("hours").alias("h")).collect()}
 
-    sinks.write_partitioned(first, path, ["order_date"])
-    sinks.write_partitioned(second, path, ["order_date"])
-    assert stored() == {"2022-01-26": (1, 5), "2022-01-20": (1, 5)}
-    sinks.write_partitioned(first, path, ["order_date"], dynamic=True)
-    sinks.write_partitioned(third, path, ["order_date"], dynamic=True)
-    assert stored() == {
-        "2022-01-10": (2, 2), "2022-01-19": (1, 1), "2022-01-20": (1, 9), "2022-01-26": (1, 5), "2022-01-29": (1, 9)}
+    sinks.write_partitioned(second, path, ["ward"])
+    sinks.write_partitioned(first, path, ["ward"])
+    assert stored() == {"east": (3, 21), "attic": (1, 4)}
+    sinks.write_partitioned(third, path, ["ward"], dynamic=True)
+    assert stored() == {"east": (1, 12), "attic": (1, 4), "west": (1, 2), "cellar": (1, 5)}
 
 
 def test_hot_directory_is_split_by_size(spark, tmp_path):
@@ -108,6 +102,14 @@ def test_append_unseen_is_idempotent(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 2), (2, 5), (3, 9)]
 
 
+def test_rows_without_key_are_returned_not_appended(spark, tmp_path):
+    path, ddl = str(tmp_path / "r"), "id int, v int"
+    rows = spark.createDataFrame([(None, 1), (None, 2), (7, 3)], ddl)
+    assert [append_unseen(rows, path, ddl, ["id"], ["v"]) for _ in range(3)] == [True, False, False]
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(7, 3)]
+    assert sorted(r["v"] for r in without_key(rows, ["id"]).collect()) == [1, 2]
+
+
 def test_unreadable_target_is_no_first_run(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet")
@@ -134,6 +136,16 @@ def test_html_links_in_any_attribute_order(spark):
     assert [r["href"] for r in nested.html_links(df, "page_id", css_class="data").collect()] == ["/one", "/two"]
 
 
+def test_html_links_by_phrase_with_quotes_comments_and_references(spark):
+    page = """<!-- <a class="go fast" href="/no">x</a>
+    --><a title="a > b href=/title" class="big go
+    fast" href="/q?a=1&amp;b=&#50;&#x41;&#xD800;&amp;lt;">x</a><a href='/other' class="go  slow fast">y</a><a href="">z</a>"""
+    df = spark.createDataFrame([(1, page), (2, None), (3, "")], "page_id int, html string")
+    phrase = nested.html_links(df, "page_id", css_class="go fast").collect()
+    assert [tuple(r) for r in phrase] == [(1, "/q?a=1&b=2A&#xD800;&lt;")]
+    assert [r["href"] for r in nested.html_links(df, "page_id").collect()][1:] == ["/other", ""]
+
+
 def test_xml_record_without_a_child(spark, tmp_path):
     (tmp_path / "t.xml").write_text(
         "<pms><pm><idelem>1</idelem><intensidad>10</intensidad></pm>"

@@ -70,6 +70,29 @@ def test_position_band_is_months_between(spark, years):
     assert both.where("months <> band").collect() == []
 
 
+@pytest.mark.parametrize("years", [4, 8, 100])
+def test_position_band_across_centuries(spark, years):
+    days = [dt.date(y, m, d) for y in (1796, 1800, 1804, 1892, 1896, 1900, 1904, 1908, 1996, 2000, 2004, 2096, 2100, 2104)
+            for m, d in ((2, 27), (2, 28), (3, 1))]
+    days += [dt.date(y, 2, 29) for y in (1796, 1804, 1892, 1896, 1904, 1908, 1996, 2000, 2004, 2096, 2104)]
+    position, width = years_position(F.col("d"), years)
+    df = spark.createDataFrame([(d,) for d in days], "d date").withColumn("p", position)
+    both = df.alias("a").crossJoin(df.alias("b")).select(
+        (F.abs(F.months_between("a.d", "b.d")) < years * 12).alias("months"),
+        (F.abs(F.col("a.p") - F.col("b.p")) < width).alias("band"), "a.d", "b.d",
+    )
+    assert both.where("months <> band").collect() == []
+
+
+def test_many_labels_of_one_key(spark):
+    """Thousands of labels, one row each: each pair of labels once, counted both ways."""
+    n = 1500
+    counts = label_pair_counts(spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("label")), ["k"], "label")
+    same = F.col("label_1") == F.col("label_2")
+    found = counts.agg(F.count(F.lit(1)), F.sum("pairs"), F.sum(F.when(same, F.col("pairs")))).first()
+    assert tuple(found) == (n * (n + 1) // 2, n * n, n)
+
+
 def test_siblings_equal_self_join(spark, rows):
     data = people(5, 160)
     df = spark.createDataFrame(data, "last_name string, email string, job_title string, dob date")
@@ -82,6 +105,8 @@ def test_siblings_equal_self_join(spark, rows):
     ).count()
     found = sibling_title_pairs(df)
     assert rows(found, "pair_title_1", "pair_title_2", "count") == rows(expected)
+    once = sibling_title_pairs(df, mirrored=False)
+    assert rows(once, "pair_title_1", "pair_title_2", "count") == [(a, b, n // 2) for a, b, n in rows(expected)]
     summary = title_summaries(found, ["cook", "nurse"], "n").first()
     counts = {(t1, t2): n for t1, t2, n in rows(expected)}
     assert summary["title_pairs"] == len(counts)

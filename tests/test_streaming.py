@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rowmill import schemas
 from rowmill.functions.json import device_rows
+from rowmill.session import session_settings
 from rowmill.sources import streams
 from rowmill.streaming import mobility, run
 from rowmill.streaming.events import decode, windowed_counts, word_events
@@ -209,3 +210,19 @@ def test_city_rollup(spark):
     latest = spark.createDataFrame([("a", 10.0), ("b", 30.0), ("c", 20.0)], "name string, value double")
     assert tuple(mobility.city_rollup(latest).first()) == (20.0, 30.0, "b", 10.0)
     assert sorted(r["weight"] for r in mobility.heat_weights(latest).collect()) == [0.0, 10.0, 20.0]
+
+
+def test_stream_without_input_gives_no_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for mode in ("complete", "update"):
+        messages = streams.file_stream(spark, str(tmp_path / "in"), "text", "value string")
+        counts = windowed_counts(word_events(messages, schemas.WORD_MESSAGE), "event_time", "word")
+        written = run.to_batch_dirs(counts, str(tmp_path / mode), str(tmp_path / f"{mode}-c"), mode)
+        assert written.isEmpty() and {"word", "batch_id"} <= set(written.columns)
+        assert run.newest_version(written, ["word"]).isEmpty()
+
+
+def test_state_partitions_are_the_session_s_choice(spark):
+    with session_settings(spark, **{run.STATE_PARTITIONS: "3"}):
+        assert run.stateful_settings(spark)["spark__sql__shuffle__partitions"] == "3"
+    assert run.state_partitions(spark) == spark.sparkContext.defaultParallelism
