@@ -4,156 +4,104 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowmill.functions import json as json_columns
-from rowmill.operators import groups, joins, quality
+from rowmill.operators import groups, joins
 from rowmill.operators.columns import flatten
 from rowmill.sources.nested import envelope_rows
 
-# fixed values: employee id, department, age, salary, in the order of the ids (all read as text)
-EMPLOYEES = """
-001 101 30 50000
-002 101 25 45000
-003 102 35 55000
-004 102 28 48000
-005 103 40 60000
-006 103 32 52000
-007 101 42 70000
-008 102 29 51000
-009 103 33 58000
-010 104 27 47000
-011 104 38 65000
-012 105 31 54000
-013 106 45 75000
-014 107 26 46000
-015 106 37 63000
-016 107 30 49000
-017 105 34 57000
-018 104 29 50000
-019 103 36 62000
-020 102 32 53000
-"""
-
-# fixed values: per department the count, sum, mean and maximum of salaries, and the second by salary
-DEPARTMENTS = {
-    "101": (3, 165000, 55000.0, 70000, "001"),
-    "102": (4, 207000, 51750.0, 55000, "020"),
-    "103": (4, 232000, 58000.0, 62000, "005"),
-    "104": (3, 162000, 54000.0, 65000, "018"),
-    "105": (2, 111000, 55500.0, 57000, "012"),
-    "106": (2, 138000, 69000.0, 75000, "015"),
-    "107": (2, 95000, 47500.0, 49000, "014"),
-}
+# Lamps by street: 31 of them, with a height and a power that no two lamps of a street share.
+LAMPS = [(f"L{i:02}", f"S{i * i % 7}", 3 + i % 4, 40 + 11 * i % 97) for i in range(31)]
+
+
+def by_street():
+    streets = {}
+    for lamp in LAMPS:
+        streets.setdefault(lamp[1], []).append(lamp)
+    return streets
 
 
 @pytest.fixture(scope="module")
-def employees(spark):
-    rows = [tuple(line.split()) for line in EMPLOYEES.strip().splitlines()]
-    return spark.createDataFrame(rows, "employee_id string, department_id string, age string, salary string")
+def lamps(spark):
+    """All read as text."""
+    rows = [tuple(map(str, lamp)) for lamp in LAMPS]
+    return spark.createDataFrame(rows, "lamp string, street string, height string, watts string")
 
 
 @pytest.fixture(scope="module")
-def typed(employees):
-    return employees.withColumns({c: F.col(c).try_cast("int") for c in ("age", "salary")})
+def typed(lamps):
+    return lamps.withColumns({c: F.col(c).try_cast("int") for c in ("height", "watts")})
 
 
 def test_filters(typed):
-    assert typed.where("salary > 50000").count() == 13
-    assert typed.where(F.col("age") > 30).count() == 12
-    assert typed.withColumn("tax", F.col("salary") * 0.2).where("tax > 10000").count() == 13
+    assert typed.where("watts > 80").count() == sum(lamp[3] > 80 for lamp in LAMPS)
+    assert typed.where(F.col("height") > 4).count() == sum(lamp[2] > 4 for lamp in LAMPS)
+    assert typed.withColumn("fee", F.col("watts") * 0.5).where("fee > 40").count() == sum(lamp[3] > 80 for lamp in LAMPS)
 
 
-def test_departments(typed):
-    per = typed.groupBy("department_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("salary").alias("s"), F.avg("salary").alias("m"), F.max("salary").alias("x"))
-    second = groups.nth_rows(typed, ["department_id"], [F.desc("salary")], 2).select("department_id", "employee_id")
-    found = {r["department_id"]: (r["n"], r["s"], r["m"], r["x"], r["employee_id"]) for r in per.join(second, "department_id").collect()}
-    assert found == DEPARTMENTS
-    assert {r[0] for r in per.where("m > 50000").select("department_id").collect()} == set(DEPARTMENTS) - {"107"}
+def test_streets(typed):
+    per = typed.groupBy("street").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("watts").alias("s"), F.avg("watts").alias("m"), F.max("watts").alias("x"))
+    second = groups.nth_rows(typed, ["street"], [F.desc("watts")], 2).select("street", "lamp")
+    found = {r["street"]: (r["n"], r["s"], r["m"], r["x"], r["lamp"]) for r in per.join(second, "street").collect()}
+    expected = {}
+    for street, own in by_street().items():
+        watts = sorted((lamp[3], lamp[0]) for lamp in own)
+        total = sum(w for w, _ in watts)
+        expected[street] = (len(own), total, total / len(own), watts[-1][0], watts[-2][1])
+    assert len(expected) == 4 and found == expected
+    assert {r[0] for r in per.where("m > 70").collect()} == {s for s, row in expected.items() if row[2] > 70}
 
 
 def test_group_maximum_on_every_row(typed):
-    tops = groups.with_group_values(typed, ["department_id"], top=F.max("salary")).collect()
-    assert len(tops) == 20
-    assert all(r["top"] == DEPARTMENTS[r["department_id"]][3] for r in tops)
-
-
-def test_joins_with_departments(spark, employees):
-    departments = spark.createDataFrame([(d, f"name {d}") for d in DEPARTMENTS], "d string, department_name string")
-    same = employees.department_id == departments.d
-    assert employees.join(departments, same).count() == employees.join(departments, same, "left").count() == 20
-    strict = joins.all_of(same, F.col("department_id").isin("101", "102"), F.col("salary").isNull())
-    left = employees.join(departments, strict, "left")
-    assert left.count() == 20 and left.where(F.col("department_name").isNotNull()).isEmpty()
-
-
-def test_marks_pivot(spark):
-    # fixed values: name, subject, marks
-    marks = """
-    Ramesh PHY 90
-    Ramesh MATH 95
-    Ramesh CHEM 100
-    Sangeeta PHY 90
-    Sangeeta MATH 100
-    Sangeeta CHEM 83
-    Mohan BIO 90
-    Mohan MATH 70
-    Mohan CHEM 76
-    Imran PHY 96
-    Imran MATH 87
-    Imran CHEM 79
-    Imran BIO 82
-    """
-    rows = [line.split() for line in marks.strip().splitlines()]
-    df = spark.createDataFrame([(n, s, int(m)) for n, s, m in rows], "name string, subject string, marks int")
-    expected = [("Imran", 82, 79, 87, 96), ("Mohan", 90, 76, 70, None), ("Ramesh", None, 100, 95, 90), ("Sangeeta", None, 83, 100, 90)]
-    for pivot in (df.groupBy("name").pivot("subject"), df.groupBy("name").pivot("subject", ["BIO", "CHEM", "MATH", "PHY"])):
-        assert sorted(map(tuple, pivot.agg(F.sum("marks")).collect())) == expected
-
-
-def test_people_are_sorted_out(spark):
-    # fixed values: name, age, office
-    people = spark.createDataFrame([("Xabier", 39, ""), ("Miguel", None, "RIO"), ("Fran", 31, "RIO")], "name string, age int, office string")
-    ok, ko = quality.validate_fields(people, [
-        {"field": "office", "validations": ["notEmpty"]}, {"field": "age", "validations": ["notNull"]}])
-    assert [r["name"] for r in ok.collect()] == ["Fran"]
-    assert {r["name"]: r["failed_validations"] for r in ko.collect()} == {
-        "Xabier": "notEmpty validation failed for office", "Miguel": "notNull validation failed for age"}
+    tops = groups.with_group_values(typed, ["street"], top=F.max("watts")).collect()
+    assert len(tops) == len(LAMPS)
+    assert all(r["top"] == max(lamp[3] for lamp in by_street()[r["street"]]) for r in tops)
+
+
+def test_joins_with_streets(spark, lamps):
+    streets = spark.createDataFrame([(s, f"name {s}") for s in by_street()], "s string, street_name string")
+    same = lamps.street == streets.s
+    assert lamps.join(streets, same).count() == lamps.join(streets, same, "left").count() == len(LAMPS)
+    strict = joins.all_of(same, F.col("street") != "S0", F.col("watts").isNull())
+    left = lamps.join(streets, strict, "left")
+    assert left.count() == len(LAMPS) and left.where(F.col("street_name").isNotNull()).isEmpty()
+
+
+def test_sums_pivot(spark):
+    sales = [("shop", "tea", 4), ("shop", "tea", 3), ("shop", "rice", 9), ("kiosk", "rice", 1), ("van", "salt", 2)]
+    df = spark.createDataFrame(sales, "place string, article string, crates int")
+    expected = [("kiosk", 1, None, None), ("shop", 9, None, 7), ("van", None, 2, None)]
+    for pivot in (df.groupBy("place").pivot("article"), df.groupBy("place").pivot("article", ["rice", "salt", "tea"])):
+        assert sorted(map(tuple, pivot.agg(F.sum("crates")).collect())) == expected
 
 
 def test_optional_fields_are_discovered_and_flattened(spark):
-    # fixed values: three JSON texts whose fields differ
     texts = [
-        '{"dept" : "account", "fname": "Ramesh", "lname": "Singh", "skills": ["excel", "tally", "word"]}',
-        '{"dept" : "sales", "fname": "Siv", "lname": "Kumar", "skills": ["biking", "sales"]}',
-        '{"dept" : "hr", "fname": "MS Raghvan", "skills": ["communication", "soft-skills"], '
-        '"hobbies" : {"cycling": "expert", "computers":"basic"}}',
+        '{"kind": "tram", "line": "7", "stops": ["dock", "mill"]}',
+        '{"kind": "ferry", "stops": ["pier"], "deck": {"upper": "open", "lower": "cars"}}',
+        '{"kind": "bus", "line": "12", "stops": []}',
     ]
-    df = spark.createDataFrame([(t,) for t in texts], "raw_data string")
-    parsed = df.select(json_columns.parse(F.col("raw_data"), json_columns.discover_ddl(df, "raw_data")).alias("data"))
+    df = spark.createDataFrame([(t,) for t in texts], "raw string")
+    parsed = df.select(json_columns.parse(F.col("raw"), json_columns.discover_ddl(df, "raw")).alias("data"))
     flat = flatten(parsed)
-    assert set(flat.columns) == {"data_dept", "data_fname", "data_lname", "data_skills", "data_hobbies_cycling", "data_hobbies_computers"}
-    assert {(r["data_fname"], r["data_lname"], r["data_hobbies_cycling"]) for r in flat.collect()} == {
-        ("Ramesh", "Singh", None), ("Siv", "Kumar", None), ("MS Raghvan", None, "expert")}
-    assert flat.select(F.explode("data_skills")).count() == 7
+    assert set(flat.columns) == {"data_kind", "data_line", "data_stops", "data_deck_upper", "data_deck_lower"}
+    assert {(r["data_kind"], r["data_line"], r["data_deck_lower"]) for r in flat.collect()} == {
+        ("tram", "7", None), ("ferry", None, "cars"), ("bus", "12", None)}
+    assert flat.select(F.explode("data_stops")).count() == 3
 
 
 def test_lookup_with_a_missing_key(spark):
-    # fixed values: students' departments, and founding years that lack one department
-    students = spark.createDataFrame(
-        [("Ramesh", "D001"), ("Siv", "D001"), ("Imran", "D002"), ("Akshay", "D003"), ("Somesh", "D002"), ("Hitesh", "D001")],
-        "name string, code string")
-    years = spark.createDataFrame([("D001", 1990), ("D003", 2001)], "k string, year int")
-    found = joins.lookup(students, "code", years, "k", "year", "since").collect()
-    assert {(r["name"], r["since"]) for r in found} == {
-        ("Ramesh", 1990), ("Siv", 1990), ("Imran", None), ("Akshay", 2001), ("Somesh", None), ("Hitesh", 1990)}
+    boats = spark.createDataFrame([("gull", "h1"), ("tern", "h2"), ("auk", "h1"), ("rail", None)], "boat string, harbour string")
+    depths = spark.createDataFrame([("h1", 12), ("h3", 30)], "k string, depth int")
+    found = joins.lookup(boats, "harbour", depths, "k", "depth", "metres").collect()
+    assert {(r["boat"], r["metres"]) for r in found} == {("gull", 12), ("tern", None), ("auk", 12), ("rail", None)}
 
 
 def test_union_fills_what_either_side_lacks(spark):
-    a = spark.createDataFrame([("C101", "Akshay", 21)], "id string, name string, age bigint")
-    b = spark.createDataFrame([("C106", "Suku", ["Maths", "English"])], "id string, name string, subjects array<string>")
+    a = spark.createDataFrame([("x1", 2.5)], "id string, tons double")
+    b = spark.createDataFrame([("x2", ["red", "dry"])], "id string, marks array<string>")
     both = a.unionByName(b, allowMissingColumns=True)
-    assert [tuple(r) for r in both.orderBy("id").collect()] == [
-        ("C101", "Akshay", 21, None), ("C106", "Suku", None, ["Maths", "English"])]
-    assert dict(both.dtypes)["subjects"] == "array<string>"
+    assert [tuple(r) for r in both.orderBy("id").collect()] == [("x1", 2.5, None), ("x2", None, ["red", "dry"])]
+    assert dict(both.dtypes)["marks"] == "array<string>"
 
 
 def test_envelope_time_on_every_row(spark):

@@ -32,6 +32,11 @@ def _drop(folder, payloads):
         os.utime(name, (start + i, start + i))
 
 
+def _dropped(folder, n):
+    _drop(str(folder), [f"line {i}" for i in range(n)])
+    return str(folder)
+
+
 def _word_stream(spark, folder):
     _drop(folder, [json.dumps({"event_time": t, "data": d}) for t, d in WORDS])
     messages = streams.file_stream(spark, folder, "text", "value string", files_per_trigger=1)
@@ -127,13 +132,13 @@ def test_rate_sources(spark, tmp_path):
 
 def test_processing_time_trigger(spark, tmp_path):
     """A query on a clock runs until it is stopped."""
-    stream = streams.rate_batch_stream(spark, 10, 1)
+    stream = streams.file_stream(spark, _dropped(tmp_path / "in", 3), "text", "value string", files_per_trigger=1)
     query = run.every(stream.writeStream.format("noop"), str(tmp_path / "c"), "1 second").start()
     try:
         deadline = time.time() + 60
-        while query.lastProgress is None and time.time() < deadline:
+        while sum(p["numInputRows"] for p in query.recentProgress) < 3 and time.time() < deadline:
             time.sleep(0.2)
-        assert query.isActive and query.lastProgress["numInputRows"] >= 0
+        assert query.isActive and sum(p["numInputRows"] for p in query.recentProgress) == 3
     finally:
         run.stop(query)
     assert not query.isActive
