@@ -16,6 +16,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -204,22 +205,26 @@ def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> Data
     """(conv_id, segment, formatted, loss array<struct<start, length>>): conversations in order.
 
     Turns are sorted by conversation and position (equal ones by their text) and streamed, and a
-    conversation is written in segments of whole turns of about ``segment_chars`` characters, so one
-    that owns a third of all turns takes no more memory than any other.  Starts count characters
-    from the beginning of the segment.
+    conversation is written in segments of whole turns of about ``segment_chars`` characters.  Tasks
+    take ranges of turns, so one that owns a third of all turns is split among them.  Segments of a
+    conversation ascend, with gaps: the upper 32 bits number the range.  Starts count characters from
+    the beginning of the segment.
     """
     ship_package(pieces.sparkSession)
-    ordered = pieces.select("conv_id", "position", "piece", "loss_from", "loss_length").repartition("conv_id")
-    ordered = ordered.sortWithinPartitions("conv_id", "position", "piece")
+    # What bounds the ranges is kept on the driver, so it holds the beginning of a turn only.
+    ordered = pieces.select("conv_id", "position", "piece", "loss_from", "loss_length").repartitionByRange(
+        "conv_id", "position", F.substring("piece", 1, 64)
+    ).sortWithinPartitions("conv_id", "position", "piece")
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
         loss: list[dict] = []
         size, now, segment, begun, rows = 0, None, 0, False, []
+        part = TaskContext.get().partitionId() << 32
 
         def close():
             if held:
-                rows.append((now, segment, "".join(held), list(loss)))
+                rows.append((now, part + segment, "".join(held), list(loss)))
             held.clear()
             loss.clear()
 
@@ -279,7 +284,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 
     ``turns_sha256`` hashes role, line feed, text, line feed of each turn in order, ``loss_sha256`` the
     texts under the loss mask.  Segments are sorted and streamed, hashes carried from one to the
-    next.
+    next: a hash over a whole conversation has to pass through it in order.
     """
     ship_package(segments.sparkSession)
     ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
