@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, joined, mix, strings, words
+from rowmill.llm.blocks import BLOCK_BYTES, blocks, joined, mix, strings, words
 from rowmill.session import settle, ship_package
 
 TIERS = 5
@@ -180,22 +181,55 @@ def fingerprints(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text: s
     return docs.select(F.col(key), printed(F.col(text).cast("string")).alias("fingerprint"))
 
 
+def compressed(text: Column) -> Column:
+    """Each text as a zstandard frame of its own, for a shuffle of less bytes."""
+
+    @F.arrow_udf("binary")
+    def made(column: pa.Array) -> pa.Array:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return pa.array([squeeze(content.encode()) for content in strings(column)], pa.binary())
+
+    return made(text)
+
+
+def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """(keys, texts) of rows of a key and a compressed text, in blocks of about BLOCK_BYTES of text;
+    the sizes are read off the frames before any is expanded."""
+    expand = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        frames = batch.column(1).to_pylist()
+        first = size = 0
+        for at, frame in enumerate(frames):
+            own = zstandard.frame_content_size(frame)
+            if at > first and size + own > BLOCK_BYTES:
+                yield batch.column(0).slice(first, at - first), [expand(f).decode() for f in frames[first:at]]
+                first, size = at, 0
+            size += own
+        if first < len(frames):
+            yield batch.column(0).slice(first), [expand(f).decode() for f in frames[first:]]
+
+
 def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``, with its fingerprint, that of its edited text, and the likeness of
     its own to this one and to the following document's.
 
-    Documents follow each other by descending key (NULL last, equal keys by text); after the last
-    comes the first, and a single document follows itself.  The texts are shuffled once, into ranges
-    of keys that tasks go through in order; only the last row of each range meets the first of the
-    next by a join.
+    Documents follow each other by descending key (NULL last, equal keys by a hash of the text);
+    after the last comes the first, and a single document follows itself.  The texts are shuffled
+    once, compressed, into ranges that tasks go through in order; only the last row of each range
+    meets the first of the next by a join.  A key that owns much of the table is split among ranges by
+    hash, and so are its copies of one text by the partition that they were read in.
     """
     spark = docs.sparkSession
     ship_package(spark)
     sent = spark.sparkContext.broadcast(band)
     rows = docs.select(F.col(key).alias("__key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     kind = rows.schema["__key"].dataType.simpleString()
-    order: list[Column] = [F.col("__key").desc_nulls_last(), F.col("__text").desc()]
-    ranged = rows.repartitionByRange(F.col("__key").desc_nulls_last()).sortWithinPartitions(*order)
+    order: list[Column] = [F.col("__key").desc_nulls_last(), F.col("__hash").asc(), F.col("__from").asc()]
+    packed_rows = rows.select(
+        "__key", compressed(F.col("__text")).alias("__frame"), F.xxhash64("__text").alias("__hash"),
+        F.spark_partition_id().alias("__from"),
+    )
+    ranged = packed_rows.repartitionByRange(*order).sortWithinPartitions(*order, "__frame").select("__key", "__frame")
     names = ["__key", *[part.split()[0] for part in KINDS.split(", ")], "__part", "__edge", "__text"]
     schema = f"__key {kind}, {KINDS}, __part long, __edge int, __text string"
 
@@ -211,8 +245,7 @@ def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text:
                 names=names,
             )
 
-        for block in blocks(batches, "__text"):
-            keys, texts = block.column("__key"), strings(block.column("__text"))
+        for keys, texts in expanded(batches):
             if held is None:
                 yield rows_of(keys.slice(0, 1), None, 1, texts[:1])
             else:

@@ -16,7 +16,7 @@ from rowmill.llm import (
     bpe, chat, components, decontamination, imatch, quality, sharding, simhash, token_counts, toxicity, url_filter,
 )
 from rowmill.llm.queries import BYTES, PIECES
-from rowmill.session import fresh_path
+from rowmill.session import fresh_path, session_settings
 
 SCHEMA = "doc_id long, text string, __text string, ids string, n_tokens string, size int"
 ODD = [
@@ -192,6 +192,20 @@ def test_imatch_follows_the_contract(spark, odd, empty):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_imatch_splits_a_hot_key_and_reads_long_texts(spark):
+    """One key owns most rows, half of them copies of one text; a text of 3 MB shrinks to almost nothing."""
+    rows = [(7, "the same words again")] * 40 + [(7, noise(i, 30)) for i in range(40)] + [(9, "ab " * 1_000_000), (1, "end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    with session_settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        found = imatch.compare_edited(frame, imatch.lexicon(frame)).collect()
+    assert sorted(r.n_chars for r in found) == sorted(len(t) for _, t in rows)
+    # Copies follow each other, but for the last one of them.
+    same = [r for r in found if r.n_chars == len("the same words again") and r.near_next == 1.0]
+    assert len({r.fingerprint for r in same}) == 1 and len(same) >= 39
+    last = next(r for r in found if r.doc_id == 1)
+    assert last.edited_sha256 == hashlib.sha256(b"ena").hexdigest()
+
+
 def test_lexicon_counts_every_document(spark):
     frame = spark.createDataFrame([(i, f"all word{i % 5} own{i}") for i in range(100)], "doc_id long, text string")
     assert len(imatch.lexicon(frame, low=1.0, high=4.0)) == 5
@@ -321,6 +335,10 @@ def test_formatting_is_reversible(spark):
         assert found[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in own).encode()).hexdigest()
         learned = "".join(t for _, r, t in own if r == "assistant")
         assert (found[1].loss_chars, found[1].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    with session_settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        segments = chat.conversations(pieces.where("conv_id = 1"), 1 << 20)
+        assert segments.count() > 1
+        assert chat.read_back(segments).first().turns_sha256 == found[1].turns_sha256
     assert chat.read_back(chat.conversations(pieces.where("false"))).count() == 0
     with pytest.raises(ValueError):
         chat.read_turns("not written here")
