@@ -199,16 +199,18 @@ def formatted_turns(turns: DataFrame) -> DataFrame:
 
 
 SEGMENT_CHARS = 1 << 20
+SPAN = pa.struct({"start": pa.int64(), "length": pa.int64()})
 
 
 def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
-    """(conv_id, segment, formatted, loss array<struct<start, length>>): conversations in order.
+    """(conv_id, segment, formatted, loss array<struct<start, length>>, whole): conversations in order.
 
     Turns are sorted by conversation and position (equal ones by their text) and streamed, and a
     conversation is written in segments of whole turns of about ``segment_chars`` characters.  Tasks
     take ranges of turns, so one that owns a third of all turns is split among them.  Segments of a
     conversation ascend, with gaps: the upper 32 bits number the range.  Starts count characters from
-    the beginning of the segment.
+    the beginning of the segment.  ``whole`` marks a segment that is seen to be all of its conversation,
+    others of which a range begins or ends with them may be so too.
     """
     ship_package(pieces.sparkSession)
     # What bounds the ranges is kept on the driver, so it holds the beginning of a turn only.
@@ -220,19 +222,19 @@ def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> Data
         held: list[str] = []
         loss: list[dict] = []
         size, now, segment, begun, rows = 0, None, 0, False, []
-        part = TaskContext.get().partitionId() << 32
+        part, leads = TaskContext.get().partitionId() << 32, True
 
-        def close():
+        def close(ended: bool = False):
             if held:
-                rows.append((now, part + segment, "".join(held), list(loss)))
+                rows.append((now, part + segment, "".join(held), list(loss), ended and not leads and not segment))
             held.clear()
             loss.clear()
 
         def flush():
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct({"start": pa.int64(), "length": pa.int64()})))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(SPAN), pa.bool_())
             batch = pa.RecordBatch.from_arrays(
                 [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],
-                names=["conv_id", "segment", "formatted", "loss"],
+                names=["conv_id", "segment", "formatted", "loss", "whole"],
             )
             rows.clear()
             return batch
@@ -240,8 +242,8 @@ def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> Data
         for batch in batches:
             for conv, piece, start, length in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 if begun and conv != now:
-                    close()
-                    size = segment = 0
+                    close(True)
+                    size, segment, leads = 0, 0, False
                 elif size > segment_chars:
                     close()
                     size, segment = 0, segment + 1
@@ -254,7 +256,7 @@ def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> Data
         close()
         yield flush()
 
-    kind = "conv_id long, segment long, formatted string, loss array<struct<start: long, length: long>>"
+    kind = "conv_id long, segment long, formatted string, loss array<struct<start: long, length: long>>, whole boolean"
     return ordered.mapInArrow(assembled, kind)
 
 
@@ -278,51 +280,82 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
+class Reading:
+    """What is known of a conversation after some of its segments."""
+
+    def __init__(self):
+        self.turns = self.learned = self.chars = 0
+        self.turns_hash, self.loss_hash = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, formatted: str, loss: list[dict]) -> None:
+        for role, text in read_turns(formatted):
+            self.turns += 1
+            self.turns_hash.update(f"{role}\n{text}\n".encode())
+        for span in loss:
+            text = unescaped(formatted[span["start"] : span["start"] + span["length"]])
+            self.learned += len(text)
+            self.loss_hash.update(text.encode())
+        self.chars += len(formatted)
+
+    def values(self) -> tuple:
+        return self.turns, self.turns_hash.hexdigest(), self.learned, self.loss_hash.hexdigest(), self.chars
+
+
+READ = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+READ_KINDS = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+
+
 def read_back(segments: DataFrame) -> DataFrame:
     """One row per conversation from the formatted segments alone: (conv_id, n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars).
 
     ``turns_sha256`` hashes role, line feed, text, line feed of each turn in order, ``loss_sha256`` the
-    texts under the loss mask.  Segments are sorted and streamed, hashes carried from one to the
-    next: a hash over a whole conversation has to pass through it in order.
+    texts under the loss mask.  Whole conversations are read where they are.  Only segments of others
+    are shuffled, sorted and streamed, hashes carried from one to the next: a hash over a whole
+    conversation has to pass through it in order.
     """
     ship_package(segments.sparkSession)
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, now, begun = [], None, False
-        totals, digests = [0, 0, 0], []
+    names = [part.split()[0] for part in READ.split(", ")]
 
-        def close():
-            rows.append((now, totals[0], digests[0].hexdigest(), totals[1], digests[1].hexdigest(), totals[2]))
-
-        def flush():
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],
-                names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
-            )
-            rows.clear()
-            return batch
+    def frame(rows: list[tuple], heads: dict[str, pa.DataType]) -> pa.RecordBatch:
+        kinds = (*heads.values(), *READ_KINDS)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)], names=[*heads, *names]
+        )
 
+    def read_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = {"conv_id": pa.int64(), "segment": pa.int64(), "formatted": pa.string(), "loss": pa.list_(SPAN)}
         for batch in batches:
-            for conv, _, formatted, loss in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if not begun or conv != now:
-                    if begun:
-                        close()
-                    now, begun, totals, digests = conv, True, [0, 0, 0], [hashlib.sha256(), hashlib.sha256()]
-                for role, text in read_turns(formatted):
-                    totals[0] += 1
-                    digests[0].update(f"{role}\n{text}\n".encode())
-                for span in loss:
-                    text = unescaped(formatted[span["start"] : span["start"] + span["length"]])
-                    totals[1] += len(text)
-                    digests[1].update(text.encode())
-                totals[2] += len(formatted)
-            yield flush()
-        if begun:
-            close()
-        yield flush()
-
-    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return ordered.mapInArrow(read, schema)
+            rows = []
+            for conv, segment, formatted, loss, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if whole:
+                    reading = Reading()
+                    reading.add(formatted, loss)
+                    rows.append((conv, segment, None, None, *reading.values()))
+                else:
+                    rows.append((conv, segment, formatted, loss, *[None] * len(names)))
+            yield frame(rows, heads)
+
+    def read_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, reading = None, None
+        heads = {"conv_id": pa.int64()}
+        for batch in batches:
+            rows = []
+            for conv, _, formatted, loss, *known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if reading is not None and (formatted is None or conv != now):
+                    rows.append((now, *reading.values()))
+                    reading = None
+                if formatted is None:
+                    rows.append((conv, *known))
+                    continue
+                now, reading = conv, reading or Reading()
+                reading.add(formatted, loss)
+            yield frame(rows, heads)
+        if reading is not None:
+            yield frame([(now, *reading.values())], heads)
+
+    kept = segments.select("conv_id", "segment", "formatted", "loss", "whole")
+    part = kept.mapInArrow(
+        read_whole, f"conv_id long, segment long, formatted string, loss array<struct<start: long, length: long>>, {READ}"
+    )
+    return part.repartition("conv_id").sortWithinPartitions("conv_id", "segment").mapInArrow(read_on, f"conv_id long, {READ}")

@@ -337,7 +337,11 @@ def test_formatting_is_reversible(spark):
         assert (found[1].loss_chars, found[1].loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
     with session_settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
         segments = chat.conversations(pieces.where("conv_id = 1"), 1 << 20)
-        assert segments.count() > 1
+        assert segments.count() > 1 and segments.where("whole").count() == 0
+        many = chat.formatted_turns(turns.where("conv_id = 1").selectExpr("explode(sequence(1L, 40L)) AS conv_id", "position", "role", "text"))
+        assert 10 < chat.conversations(many).where("whole").count() < 40
+        assert {r.turns_sha256 for r in chat.read_back(chat.conversations(many)).collect()} == {found[1].turns_sha256}
+        assert chat.read_back(chat.conversations(many)).count() == 40
         assert chat.read_back(segments).first().turns_sha256 == found[1].turns_sha256
     assert chat.read_back(chat.conversations(pieces.where("false"))).count() == 0
     with pytest.raises(ValueError):
