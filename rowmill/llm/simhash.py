@@ -89,6 +89,8 @@ def _apart(a: str, b: str) -> Column:
 
 def _spanning(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that hold together what lies within the radius, a forest of the members."""
+    # Of a signed number bitwise_count takes the absolute value.
+    bits = members.view(np.uint64)
     left = np.ones(len(members), bool)
     links: list[tuple[int, int]] = []
     for first in range(len(members)):
@@ -99,7 +101,7 @@ def _spanning(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
         while reached:
             at = reached.pop()
             near = np.flatnonzero(left)
-            near = near[np.bitwise_count(members[near] ^ members[at]) <= radius]
+            near = near[np.bitwise_count(bits[near] ^ bits[at]) <= radius]
             left[near] = False
             links += [(int(members[at]), int(members[other])) for other in near]
             reached += near.tolist()

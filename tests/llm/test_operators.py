@@ -163,6 +163,26 @@ def test_crowded_bucket_in_blocks_loses_no_link(spark):
     assert {v: roots.get(v, v) for v in values} == expected
 
 
+def test_links_hold_across_the_sign_bit(spark):
+    """Fingerprints that differ in bit 63, of which one is negative as a long, in buckets of three and in crowded ones."""
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    draw, top = random.Random(6), 1 << 63
+    low = {sum(1 << b for b in draw.sample(range(14), draw.randint(0, 3))) for _ in range(300)}
+    # Half of them have bit 63; those further off are joined to the others by nothing but that bit.
+    far = {(1 << 45) - 1 << 16 | v << 1 for v in list(low)[:20]}
+    crowd = {v | top if i % 2 else v for i, v in enumerate(sorted(low | far))} | {v ^ top for v in far}
+    for values in ({0, 1, top + 2}, crowd):
+        frame = spark.createDataFrame([(signed(v),) for v in values], "fingerprint long")
+        links = simhash.near_links(frame, 4, block=16)
+        roots = {r.node: r.root for r in components.connected(links, "a", "b").collect()}
+        groups, expected = {}, {}
+        for v in values:
+            groups.setdefault(roots.get(signed(v), signed(v)), set()).add(v)
+        for v, root in brute_components({v: v for v in values}).items():
+            expected.setdefault(root, set()).add(v)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101 + i) for i in range(200)] + [(500, 500), (None, 3), (7, 8)]
     frame = spark.createDataFrame(links, "a long, b long")
