@@ -26,6 +26,8 @@ SPAN = 12
 LEAST_WORDS = 5
 FILTER_BITS = 24
 LIKE = 0.8
+# Equal words that make up for a substitution.
+COST = round(LIKE / (1 - LIKE))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,16 +58,21 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, owner, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def overlap(document: np.ndarray, test: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Best stretch of the two word sequences laid over each other with the test at ``shift``: begin
-    and end in the test and the words equal there.  A substitution costs four equal words, so that a
-    stretch goes on while about LIKE of its words are equal."""
+def overlap(document: np.ndarray, test: np.ndarray, shift: int, need: int) -> tuple[int, int, int] | None:
+    """Best stretch of at least ``need`` words of the two word sequences laid over each other with the
+    test at ``shift``: begin and end in the test and the words equal there.  A substitution costs COST
+    equal words, so no stretch of that length has LIKE of its words equal unless the best one has; None
+    then."""
     first, last = max(0, -shift), min(len(test), len(document) - shift)
+    if last - first < need:
+        return None
     same = test[first:last] == document[first + shift : last + shift]
-    gain = np.concatenate(([0], np.cumsum(np.where(same, 1 - LIKE, -LIKE))))
-    lowest = np.minimum.accumulate(gain)
-    end = int(np.argmax(gain - lowest))
-    begin = int(np.argmin(gain[: end + 1]))
+    gain = np.concatenate(([0], np.cumsum(np.where(same, 1, -COST))))
+    lowest = np.minimum.accumulate(gain[: len(gain) - need])
+    end = need + int(np.argmax(gain[need:] - lowest))
+    begin = int(np.argmin(gain[: end - need + 1]))
+    if gain[end] < gain[begin]:
+        return None
     return first + begin, first + end, int(same[begin:end].sum())
 
 
@@ -74,7 +81,8 @@ def contaminated(
     item: str = "item_id", item_text: str = "text", least_words: int = SPAN,
 ) -> DataFrame:
     """One row per document and test item that overlap: (key, item, words, equal, item_from, item_words,
-    doc_from), the longest overlap of the two, in words.
+    doc_from), in words: the longest of their overlaps, one for each way to lay the item over the document,
+    without ends that do not pay for their substitutions where at least ``least_words`` are left.
 
     They overlap when a stretch of at least ``least_words`` words, or of all words of a shorter
     item, has at least LIKE of its words equal position by position.  Words are runs of letters and
@@ -163,8 +171,9 @@ def contaminated(
                 need = min(least_words, len(other))
                 best = None
                 for shift in shift_list:
-                    begin, end, equal = overlap(one, other, shift)
-                    if end - begin >= need and equal >= LIKE * (end - begin):
+                    stretch = overlap(one, other, shift, need)
+                    if stretch:
+                        begin, end, equal = stretch
                         candidate = (end - begin, equal, begin, len(other), begin + shift)
                         best = candidate if best is None or candidate > best else best
                 if best:

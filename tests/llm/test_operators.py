@@ -254,6 +254,27 @@ def test_decontamination_tolerates_substitutions(spark, odd, empty):
     assert decontamination.contaminated(odd, tests).count() == 0
 
 
+def test_decontamination_equals_brute_force_over_stretches():
+    draw = random.Random(8)
+    for _ in range(3000):
+        n, m = draw.randint(5, 30), draw.randint(5, 40)
+        test, document = np.arange(n), np.full(m, -1)
+        shift, need = draw.randint(-n, m), min(12, n)
+        share = draw.choice((0.1, 0.2, 0.3))
+        for i in range(n):
+            if 0 <= i + shift < m and draw.random() > share:
+                document[i + shift] = i
+        same = [0 <= i + shift < m and document[i + shift] == i for i in range(n)]
+        low, high = max(0, -shift), min(n, m - shift)
+        wide = [(b, e) for b in range(low, high) for e in range(b + need, high + 1)]
+        expected = any(5 * sum(same[b:e]) >= 4 * (e - b) for b, e in wide)
+        found = decontamination.overlap(document, test, shift, need)
+        assert (found is not None) == expected
+        if found:
+            begin, end, equal = found
+            assert (begin, end) in wide and equal == sum(same[begin:end]) and 5 * equal >= 4 * (end - begin)
+
+
 def entries(spark, rows):
     return spark.createDataFrame(rows, "entry string, day string, listed boolean").selectExpr("entry", "date(day) as day", "listed")
 
