@@ -9,6 +9,7 @@ sequences are compared position by position.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,10 @@ from rowmill.llm.blocks import blocks, joined, mix, strings, unload, words
 from rowmill.operators.joins import join_small
 from rowmill.session import settle, ship_package
 
-# Each mask spans 12 words and keeps 8; any one position, and any two a multiple of three apart, are
-# ignored by one of them.
-MASKS = ("110110110110", "101101101101", "011011011011")
+# A stretch of 24 words or more with LIKE of them equal can be halved so that one half is such a stretch
+# of at least 12; so each holds a run of 12 words with at most 2 substitutions, of 15 with 3 or of 20
+# with 4.  Wherever these are, one of the masks, which keep 6 words, meets equal words only.
+MASKS = ("110010111", "1111011", "11000100111")
 SPAN = 12
 LEAST_WORDS = 5
 FILTER_BITS = 24
@@ -31,23 +33,31 @@ COST = round(LIKE / (1 - LIKE))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def seed_masks(lengths: set[int]) -> list[np.ndarray]:
-    """Positions kept by each mask; tests shorter than the span have a full mask of their length."""
-    masks = [np.flatnonzero([c == "1" for c in mask]) for mask in MASKS]
-    return masks + [np.arange(n) for n in sorted(lengths) if LEAST_WORDS <= n < SPAN]
+def short_masks(n: int) -> list[np.ndarray]:
+    """Positions kept by the masks of a test of n < SPAN words: they lie in five classes, and a mask for
+    every choice of as many classes as words may be substituted leaves these out."""
+    classes, may = np.arange(n) % 5, n // (COST + 1)
+    return [np.flatnonzero(~np.isin(classes, out)) for out in combinations(range(5), may)]
 
 
-def seeds(hashes: np.ndarray, owner: np.ndarray, kept: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+def seed_masks(lengths: set[int]) -> list[tuple[int, np.ndarray]]:
+    """Span and kept positions of each mask; after MASKS come those of tests shorter than SPAN."""
+    masks = [(len(mask), np.flatnonzero([c == "1" for c in mask])) for mask in MASKS]
+    return masks + [(n, kept) for n in sorted(lengths) if LEAST_WORDS <= n < SPAN for kept in short_masks(n)]
+
+
+def seeds(
+    hashes: np.ndarray, owner: np.ndarray, span: int, kept: np.ndarray, number: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Position and hash of one mask's seeds, at every position whose span stays inside its text."""
-    span = SPAN if number < len(MASKS) else len(kept)
     n = len(hashes) - span + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    at = np.flatnonzero(owner[:n] == owner[span - 1 :])
-    total = np.full(len(at), mix(np.array([number + 1], np.uint64))[0], np.uint64)
+    total = np.full(n, mix(np.array([number + 1], np.uint64))[0], np.uint64)
     for offset in kept:
-        total = total * _FACTOR + hashes[at + offset]
-    return at, mix(total)
+        total = total * _FACTOR + hashes[offset : offset + n]
+    at = np.flatnonzero(owner[:n] == owner[span - 1 :])
+    return at, mix(total[at])
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,10 +120,10 @@ def contaminated(
         for batch in batches:
             hashes, owner, begins = _words(strings(batch.column("__test")))
             total = np.diff(begins)
-            for number, kept in enumerate(masks):
-                at, found = seeds(hashes, owner, kept, number)
+            for number, (span, kept) in enumerate(masks):
+                at, found = seeds(hashes, owner, span, kept, number)
                 if number >= len(MASKS):
-                    whole = total[owner[at]] == len(kept)
+                    whole = total[owner[at]] == span
                     at, found = at[whole], found[whole]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), batch.column("__digest").take(pa.array(owner[at])),
@@ -136,8 +146,8 @@ def contaminated(
             texts = strings(block.column("__text"))
             hashes, owner, begins = _words(texts)
             held = []
-            for number, kept in enumerate(masks):
-                at, found = seeds(hashes, owner, kept, number)
+            for number, (span, kept) in enumerate(masks):
+                at, found = seeds(hashes, owner, span, kept, number)
                 hit = may[(found & low).astype(np.int64)]
                 held.append((at[hit], found[hit]))
             at, found = (np.concatenate([part[i] for part in held]) for i in (0, 1))

@@ -275,6 +275,24 @@ def test_decontamination_equals_brute_force_over_stretches():
             assert (begin, end) in wide and equal == sum(same[begin:end]) and 5 * equal >= 4 * (end - begin)
 
 
+def test_decontamination_finds_every_substitution_within_the_limit(spark):
+    """Copies of items whose substitutions lie anywhere; one substitution more is too many."""
+    draw, items, docs, expected = random.Random(9), {}, {}, set()
+    for n in [*range(5, 16), 20, 23, 24, 30, 40, 60]:
+        items[n] = " ".join(f"item{n}word{i}" for i in range(n))
+        places = [draw.sample(range(n), n // 5) for _ in range(30)] + [range(r, n, 5)[: n // 5] for r in range(5)]
+        places += [[i] for i in (0, 1, 2, 3, n - 1)] + [range(n // 5)]
+        beyond = [draw.sample(range(n), n // 5 + 1) for _ in range(5)] if n <= 12 else []
+        for number, gone in enumerate(places + beyond):
+            words = [f"new{i}" if i in gone else w for i, w in enumerate(items[n].split())]
+            docs[100 * n + number] = f"before {number} {' '.join(words)} after"
+            if number < len(places):
+                expected.add((100 * n + number, n))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, tests).collect()} == expected
+
+
 def entries(spark, rows):
     return spark.createDataFrame(rows, "entry string, day string, listed boolean").selectExpr("entry", "date(day) as day", "listed")
 
