@@ -3,6 +3,7 @@
 A term belongs to the lexicon when its inverse document frequency lies in a chosen band.  The
 lexicon is thinned at random into several subsets, in tiers of which the first keeps half of the
 terms and each other a quarter of the one before; a text's fingerprint is, for each subset, a hash of its sorted distinct terms there.
+The same is done with all terms, for texts of which the lexicon knows little.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from rowmill.llm.blocks import BLOCK_BYTES, blocks, joined, mix, strings, words
 from rowmill.session import settle, ship_package
 
+FAMILIES = 2
 TIERS = 5
 SUBSETS = 16
 # The band: terms in one document of 20 to one of 8,000.
@@ -86,51 +88,68 @@ def _known(terms: np.ndarray, band: np.ndarray) -> np.ndarray:
     return band[np.minimum(np.searchsorted(band, terms), len(band) - 1)] == terms
 
 
+def _printed(draws: np.ndarray, hashes: np.ndarray, owner: np.ndarray, prints: np.ndarray) -> None:
+    """Write the hashes of one family, tier by tier; a tier's terms are among those of the one before."""
+    for tier in range(TIERS):
+        inside = draws < np.uint64(1 << 63 - 2 * tier)
+        some = inside.any(axis=1)
+        draws, hashes, owner, inside = draws[some], hashes[some], owner[some], inside[some]
+        if not len(owner):
+            return
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        # The sum of the hashes of sorted distinct terms names the set of them.
+        sums = mix(np.add.reduceat(np.where(inside, hashes, np.uint64(0)), first, axis=0))
+        short = (sums % np.uint64((1 << 16) - 1)).astype(np.uint16) + np.uint16(1)
+        prints[owner[first], tier] = np.where(np.logical_or.reduceat(inside, first, axis=0), short, 0)
+
+
 def prints_of(texts: list[str], band: np.ndarray) -> np.ndarray:
-    """For each text TIERS x SUBSETS hashes, 0 where it has no term in the subset.
+    """For each text FAMILIES x TIERS x SUBSETS hashes, 0 where it has no term in the subset.
 
-    A text none of whose terms is in the lexicon is taken with all its terms, so that two such texts
-    are alike only when their terms are; without any term every hash is 0.
+    The first family is over its terms in the lexicon, the second over all its terms; without any term
+    every hash is 0.
     """
     terms, begins = distinct_terms(texts)
     owner = np.repeat(np.arange(len(texts)), np.diff(begins))
-    known = _known(terms, band)
-    none = np.bincount(owner[known], minlength=len(texts)) == 0
-    kept = known | none[owner]
-    terms, owner = terms[kept], owner[kept]
-    prints = np.zeros((len(texts), TIERS, SUBSETS), np.uint16)
-    if not len(terms):
-        return prints
-    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    prints = np.zeros((len(texts), FAMILIES, TIERS, SUBSETS), np.uint16)
     draws = mix(terms[:, None] ^ _seeds()[None, :])
     hashes = mix(terms)[:, None] * (draws | np.uint64(1))
-    for tier in range(TIERS):
-        inside = draws < np.uint64(1 << 63 - 2 * tier)
-        # The sum of the hashes of sorted distinct terms names the set of them.
-        sums = mix(np.add.reduceat(np.where(inside, hashes, np.uint64(0)), first, axis=0))
-        short = (sums % np.uint64((1 << 16) - 1)).astype(np.uint16) + np.uint16(1)
-        prints[owner[first], tier] = np.where(np.logical_or.reduceat(inside, first, axis=0), short, 0)
+    known = _known(terms, band)
+    _printed(draws[known], hashes[known], owner[known], prints[:, 0])
+    _printed(draws, hashes, owner, prints[:, 1])
     return prints
 
 
+def _thinnest(busy: np.ndarray) -> np.ndarray:
+    """The last tier in which at least half of the subsets hold terms, -1 without one."""
+    return (busy >= SUBSETS // 2).sum(axis=-1) - 1
+
+
 def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     """For each pair of texts the share of equal hashes among the subsets in which one has terms.
 
     Taken at the thinnest tier in which at least half of the subsets hold terms of one of the two:
-    there a subset holds about one term and a small change leaves many subsets as they were.  Two
-    texts without terms are alike.
+    there a subset holds about one term and a small change leaves many subsets as they were.  All
+    terms are compared instead of those in the lexicon where these are few in one of the two, less
+    than about six or a sixteenth of its terms: they do not stand for the text.  Two texts without
+    terms are alike.
     """
+    few = np.zeros(len(one), bool)
+    for prints in (one, other):
+        tiers = _thinnest((prints > 0).sum(axis=3))
+        few |= (tiers[:, 0] < 1) | (tiers[:, 1] - tiers[:, 0] >= 2)
+    at = np.arange(len(one))
+    one, other = one[at, few.astype(np.int64)], other[at, few.astype(np.int64)]
     held = (one > 0) | (other > 0)
     busy = held.sum(axis=2)
-    tier = np.maximum((busy >= SUBSETS // 2).sum(axis=1) - 1, 0)
-    at = np.arange(len(one))
+    tier = np.maximum(_thinnest(busy), 0)
     same = ((one == other) & held)[at, tier].sum(axis=1)
     total = busy[at, tier]
     return np.where(total > 0, same / np.maximum(total, 1), 1.0)
 
 
 def packed(prints: np.ndarray) -> list[bytes]:
-    """Two bytes for each hash, tier by tier."""
+    """Two bytes for each hash, family by family and tier by tier."""
     return [own.astype(">u2").tobytes() for own in prints]
 
 

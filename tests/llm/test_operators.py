@@ -226,6 +226,20 @@ def test_imatch_splits_a_hot_key_and_reads_long_texts(spark):
     assert last.edited_sha256 == hashlib.sha256(b"ena").hexdigest()
 
 
+def test_imatch_edited_copies_of_a_hot_group_stay_alike(spark):
+    """A text that owns a third of the rows has no word in the lexicon, what its edited form ends with has."""
+    copy = noise(70, 120)
+    rows = [(3 * i, copy) for i in range(60)] + [(3 * i + k, noise(100 + 3 * i + k, 120)) for i in range(60) for k in (1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    band = imatch.lexicon(frame)
+    terms, _ = imatch.distinct_terms([copy])
+    assert len(band) and not np.isin(terms, band).any()
+    found = imatch.compare_edited(frame, band).collect()
+    hot = [r.near_edited for r in found if r.doc_id % 3 == 0]
+    assert len(hot) == 60 and np.mean(hot) > 0.2 and sorted(hot)[5] > 0
+    assert np.mean([r.near_next for r in found if r.doc_id % 3 == 2]) < 0.1
+
+
 def test_lexicon_counts_every_document(spark):
     frame = spark.createDataFrame([(i, f"all word{i % 5} own{i}") for i in range(100)], "doc_id long, text string")
     assert len(imatch.lexicon(frame, low=1.0, high=4.0)) == 5
