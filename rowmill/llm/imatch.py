@@ -22,7 +22,7 @@ from rowmill.llm.blocks import BLOCK_BYTES, blocks, joined, mix, strings, words
 from rowmill.session import settle, ship_package
 
 FAMILIES = 2
-TIERS = 5
+TIERS = 8
 SUBSETS = 16
 # The band: terms in one document of 20 to one of 8,000.
 IDF_LOW, IDF_HIGH = 3.0, 9.0

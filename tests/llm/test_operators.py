@@ -240,6 +240,19 @@ def test_imatch_edited_copies_of_a_hot_group_stay_alike(spark):
     assert np.mean([r.near_next for r in found if r.doc_id % 3 == 2]) < 0.1
 
 
+def test_imatch_tells_small_changes_of_long_texts():
+    """Some tier holds about one term of a text of 5,000 or 50,000 terms in each subset."""
+    for n in (5_000, 50_000):
+        words = [f"w{n}x{i}" for i in range(n)]
+        band = np.sort(imatch.distinct_terms([" ".join(words)])[0])
+        texts, changed = [], []
+        for k in range(6):
+            texts.append(" ".join(words) + f" own{k}")
+            changed.append(" ".join(w if i % 5 != k % 5 else f"new{k}y{i}" for i, w in enumerate(words)))
+        own, other = (imatch.prints_of(some, band) for some in (texts, changed))
+        assert np.mean(imatch.likeness(own, other)) > 0.4
+
+
 def test_lexicon_counts_every_document(spark):
     frame = spark.createDataFrame([(i, f"all word{i % 5} own{i}") for i in range(100)], "doc_id long, text string")
     assert len(imatch.lexicon(frame, low=1.0, high=4.0)) == 5
