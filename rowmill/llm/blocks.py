@@ -30,6 +30,33 @@ def unload() -> None:
     _MODEL.clear()
 
 
+class Memo:
+    """What a task has worked out before, by key, in two generations.  Entries go to the younger one; when
+    that holds ``most`` bytes, as its entries were declared, it becomes the older one and what was older
+    goes, so the memo never holds more than twice that and what is asked for often stays."""
+
+    def __init__(self, most: int):
+        self.most, self.held = most, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key, size: int = 64):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found, size)
+        return found
+
+    def put(self, key, value, size: int = 64) -> None:
+        if size > self.most:
+            return
+        if self.held + size > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[key] = value
+        self.held += size
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and the offsets of its rows in them; NULL counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.llm import (
-    bpe, chat, decontamination, imatch, quality, sharding, simhash, token_counts, toxicity, url_filter,
+    bpe, chat, decontamination, fill_in_middle, hard_negatives, imatch, quality, secrets, sharding, simhash,
+    token_counts, toxicity, url_filter,
 )
 from rowmill.session import fresh_path
 
@@ -162,19 +163,125 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
-OP5_SQL = """
-WITH s AS (
-  SELECT doc_id, n, substring(md5(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR)), 1, 13) AS draw
-  FROM documents, range(41) AS r(n)),
-w AS (
-  SELECT doc_id, arg_max(n, draw || lpad(CAST(99 - n AS VARCHAR), 2, '0')) FILTER (n < 40) AS shard,
-    arg_max(n, draw || lpad(CAST(99 - n AS VARCHAR), 2, '0')) AS grown_shard FROM s GROUP BY doc_id)
-SELECT d.doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, {crc} AS text_crc32, 'key' AS law,
-  CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY d.doc_id) - 1 AS slot,
-  CAST(grown_shard AS INTEGER) AS grown_shard
-FROM documents d JOIN w ON w.doc_id = d.doc_id
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+g AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    CAST('0x' || substring(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substring(d, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substring(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substring(d, 25, 8) AS BIGINT) AS h4
+  FROM h),
+f AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+      THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM g),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM f),
+p AS (
+  SELECT *, CASE WHEN a = 0 THEN '' ELSE array_to_string(units[1:a], '') END AS prefix,
+    CASE WHEN a = b THEN '' ELSE array_to_string(units[a + 1:b], '') END AS middle,
+    CASE WHEN b = n THEN '' ELSE array_to_string(units[b + 1:n], '') END AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM p
 """
 
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    whole = rows.select(
+        "vec_id", hard_negatives.mixed_label(F.col("vec_id"), F.col("label")).alias("label"),
+        hard_negatives.whole_components("embedding").alias("vector"),
+    )
+    return hard_negatives.mine(whole, "vec_id", "label", "vector", F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source counts as the owner of its documents, each of which counts as one repository."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.KINDS[-1])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(test) -> Column:
+        return F.size(F.filter("spans", test)).cast("long")
+
+    def of_kind(kind: str) -> Column:
+        return number(lambda s: s["kind"] == kind).alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(of_kind, secrets.KINDS[:-1]),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+        number(lambda s: s["live"]).alias("n_live"), number(lambda s: ~s["live"]).alias("n_copied"),
+    )
+
+
+_ASSIGN = (
+    r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+OP13_SQL = rf"""
+WITH k AS (
+  SELECT * FROM (VALUES (0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]{{24,}}'),
+    (3, 'owned', '[A-Za-z0-9+/_-]{{20,}}')) AS v(kind, name, pattern)),
+d AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '') AS text FROM documents),
+m AS (
+  SELECT n, doc_id, source, kind, name, regexp_extract_all(text, pattern) AS found, string_split_regex(text, pattern) AS rest,
+    regexp_extract_all(text, pattern, 2 - least(2 * kind, 2)) AS secrets FROM d, k),
+s AS (
+  SELECT n, doc_id, source, kind, name, found[i] AS span, secrets[i] AS secret,
+    coalesce(list_sum(list_transform(rest[1:i], lambda x: length(x))), 0)
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m)),
+b AS (
+  SELECT *, CAST(start AS BIGINT) AS from_, CAST(start + length(span) AS BIGINT) AS to_ FROM s
+  WHERE kind = 2 OR (kind = 0 AND length(secret) >= 6) OR (kind = 1 AND length(span) >= 20)
+    OR (kind = 3 AND regexp_matches(span, '[0-9]') AND regexp_matches(span, '[A-Za-z]') AND len(list_distinct(string_split(span, ''))) >= 10)),
+c AS (
+  SELECT * FROM b AS x WHERE kind < 3 OR NOT EXISTS (
+    SELECT 1 FROM b AS y WHERE y.n = x.n AND y.kind < 3 AND y.from_ < x.to_ AND x.from_ < y.to_)),
+o AS (SELECT secret, count(DISTINCT source) AS owners FROM c GROUP BY secret),
+f AS (SELECT c.*, owners <= 2 AS live, name || ':' || from_ || ':' || to_ AS shown FROM c JOIN o USING (secret) WHERE kind < 3 OR owners <= 2)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(shown, ',' ORDER BY from_, kind) FILTER (kind < 3), '')) AS base_sha256,
+  coalesce(string_agg(shown, ',' ORDER BY from_, kind), '') AS spans,
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_copied
+FROM d LEFT JOIN f ON f.n = d.n GROUP BY d.n, d.doc_id
+"""
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
@@ -186,6 +293,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secrets": op13_secrets,
 }
 
-ORACLES = {"op4_url_filter": OP4_SQL, "op10_chat": OP10_SQL}
+ORACLES = {
+    "op4_url_filter": OP4_SQL, "op10_chat": OP10_SQL, "op11_fill_in_middle": OP11_SQL, "op12_hard_negatives": OP12_SQL,
+    "op13_secrets": OP13_SQL,
+}
