@@ -108,13 +108,16 @@ def _word_bytes() -> np.ndarray:
 
 WORD_BYTES = _word_bytes()
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+
+
+SLICE = 1 << 20
 
 
 @lru_cache(maxsize=1)
-def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
-    up, down = np.full(length, _ODD, np.uint64), np.full(length, inverse, np.uint64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse, for the places in a slice."""
+    up, down = np.full(SLICE, _ODD, np.uint64), np.full(SLICE, _INVERSE, np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 
@@ -126,18 +129,41 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+def _power(base: np.uint64, exponent: int) -> np.uint64:
+    return np.uint64(pow(int(base), exponent, 1 << 64))
+
+
 def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words in joined texts.
 
-    The hash of a word is a polynomial in its bytes, read off running sums over the whole block.
+    The hash of a word is a polynomial in its bytes, read off running sums over the bytes.  These are
+    made slice by slice, and of each slice only the sums at the edges of words are kept, so a long text
+    or a long word needs no more room than its words do.
     """
-    inside = WORD_BYTES[data]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    found, before = [], False
+    for first in range(0, len(data), SLICE):
+        inside = WORD_BYTES[data[first : first + SLICE]]
+        found.append(np.flatnonzero(np.diff(inside, prepend=before)) + first)
+        before = bool(inside[-1])
+    if before:
+        found.append(np.array([len(data)]))
+    edges = np.concatenate(found) if found else np.empty(0, np.int64)
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return starts, ends, np.empty(0, np.uint64)
-    size = 1 << int(max(len(data), 1 << 20) - 1).bit_length()
-    up, down = _powers(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
+    up, down = _powers()
+    sums, back = np.zeros(len(edges), np.uint64), np.zeros(len(starts), np.uint64)
+    total = np.zeros(1, np.uint64)
+    for first in range(0, len(data), SLICE):
+        part = data[first : first + SLICE]
+        running = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=running[1:])
+        scale = np.array([_power(_ODD, first)])
+        last = first + len(part)
+        # An edge at the very end belongs to the slice before it.
+        low, high = np.searchsorted(edges, [first, last + (last == len(data))])
+        sums[low:high] = total + scale * running[edges[low:high] - first]
+        low, high = np.searchsorted(starts, [first, last])
+        back[low:high] = down[starts[low:high] - first] * _power(_INVERSE, first)
+        total = total + scale * running[-1:]
+    return starts, ends, mix((sums[1::2] - sums[::2]) * back)

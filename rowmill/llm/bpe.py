@@ -4,12 +4,18 @@ Of every prefix of a word the encoding ends in one token, its last-token state;
 it are the encoding of the prefix that this token leaves.  The state of a trie node therefore
 follows from the states on the path above it: it is the longest token ending there that BPE would
 keep beside the last token of the rest.  Words that share a prefix share its states.
+
+The trie is never built of nodes.  Sorted words are its depth-first order: what a word shares with
+the one before it is the part of the path that stays, and the rest of the word are the nodes below,
+so the states of one path, in flat lists, are all that is held.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +28,10 @@ from rowmill.session import ship_package
 
 # Fixed value: the pattern by which byte-level tokenizers of this family split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Words kept in each of two generations, the longest of them, and entries of the other memos.
 MEMO_ENTRIES = 1 << 17
 MEMO_BYTES = 64
-END = -1
+STEP_ENTRIES = 1 << 18
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -127,48 +134,46 @@ class BytePairs:
             if border is not None and (border < undone or border == undone and not on_left):
                 return False
 
-    def encode_words(self, distinct: Iterator[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+    def encode_words(self, distinct: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Each distinct word with its ids, in the order of a depth-first walk of their trie."""
-        root: dict = {}
-        for word in distinct:
-            node = root
-            for byte in word:
-                below = node.get(byte)
-                if below is None:
-                    below = node[byte] = {}
-                node = below
-            node[END] = word
         for memo in (self.beside, self.endings.steps):
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-        beside, step, found = self.beside, self.endings.step, self.endings.found
-        # States of the prefixes on the path: the last token, and where that token begins.
-        last, begins = [0], [0]
-        stack = [(byte, child, 1, 0) for byte, child in root.items()]
-        while stack:
-            byte, node, depth, state = stack.pop()
-            state = step(state, byte)
-            for token, length in found[state]:
-                if length == depth:
-                    break
-                pair = last[depth - length] << 32 | token
-                apart = beside.get(pair)
-                if apart is None:
-                    apart = beside[pair] = self._stays_apart(last[depth - length], token)
-                if apart:
-                    break
-            del last[depth:], begins[depth:]
-            last.append(token)
-            begins.append(depth - length)
-            for onward, child in node.items():
-                if onward == END:
-                    ids, at = [], depth
-                    while at:
-                        ids.append(last[at])
-                        at = begins[at]
-                    yield child, ids[::-1]
-                else:
-                    stack.append((onward, child, depth + 1, state))
+            if len(memo) > STEP_ENTRIES:
+                # The half that was found out first goes.
+                for key in list(islice(memo, len(memo) // 2)):
+                    del memo[key]
+        beside, steps, step, found = self.beside, self.endings.steps, self.endings.step, self.endings.found
+        # Of each prefix on the path: the state of the endings, the last token, and where it begins.
+        states, last, begins = [0], [0], [0]
+        before = b""
+        for word in sorted(distinct):
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            del states[shared + 1 :], last[shared + 1 :], begins[shared + 1 :]
+            state, depth = states[shared], shared
+            for byte in word[shared:] if shared else word:
+                depth += 1
+                onward = steps.get(state << 8 | byte)
+                state = step(state, byte) if onward is None else onward
+                for token, length in found[state]:
+                    if length == depth:
+                        break
+                    pair = last[depth - length] << 32 | token
+                    apart = beside.get(pair)
+                    if apart is None:
+                        apart = beside[pair] = self._stays_apart(last[depth - length], token)
+                    if apart:
+                        break
+                states.append(state)
+                last.append(token)
+                begins.append(depth - length)
+            ids = []
+            while depth:
+                ids.append(last[depth])
+                depth = begins[depth]
+            ids.reverse()
+            yield word, ids
+            before = word
 
 
 class TextEncoder:
@@ -179,8 +184,9 @@ class TextEncoder:
         self.split = regex.compile(SPLIT).findall
         by_length = sorted(self.pairs.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
-        # The packed ids of a word, and the bytes that these ids stand for.
-        self.known: dict[str, bytes] = {}
+        # Packed ids of words: those met lately, and those of the generation before.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -193,18 +199,23 @@ class TextEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, packed as 32-bit little-endian numbers."""
         split = [self._pieces(text) for text in texts]
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-        fresh = {word for words in split for word in words}.difference(self.known)
-        once: dict[str, bytes] = {}
-        special = fresh & self.pairs.special.keys()
-        for word in special:
-            once[word] = self.pairs.special[word].to_bytes(4, "little")
-        for word, ids in self.pairs.encode_words(w.encode() for w in fresh - special):
-            once[word.decode()] = np.array(ids, "<i4").tobytes()
-        self.known.update((w, packed) for w, packed in once.items() if len(w) <= MEMO_BYTES)
-        look = (self.known | once if any(len(w) > MEMO_BYTES for w in once) else self.known).__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        if len(self.young) > MEMO_ENTRIES:
+            self.old, self.young = self.young, {}
+        young = self.young
+        fresh = {word for words in split for word in words}.difference(young)
+        for word in fresh & self.old.keys():
+            young[word] = self.old[word]
+            fresh.discard(word)
+        for word in fresh & self.pairs.special.keys():
+            young[word] = array("i", [self.pairs.special[word]]).tobytes()
+            fresh.discard(word)
+        for word, ids in self.pairs.encode_words([word.encode() for word in fresh]):
+            young[word.decode()] = array("i", ids).tobytes()
+        packed = [b"".join(map(young.__getitem__, words)) for words in split]
+        for word in fresh:
+            if len(word) > MEMO_BYTES:
+                del young[word]
+        return packed
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.pairs.tokens.__getitem__, ids)).decode(errors="replace")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, joined, mix, strings, unload, words
+from rowmill.llm.blocks import SLICE, blocks, joined, mix, strings, unload, words
 from rowmill.llm.toxicity import sample_labelled
 from rowmill.session import ship_package
 
@@ -56,31 +56,37 @@ _CLASS = _classes()
 
 
 def term_counts(texts: list[str]) -> np.ndarray:
-    """Counts of hashed terms, a row of DIMENSIONS for each text."""
+    """Counts of hashed terms, a row of DIMENSIONS for each text.  The bytes are read in slices, each with
+    the classes that the one before has left unfinished, so a long text needs little room."""
     data, begins = joined(texts)
     if not len(texts):
         return np.zeros((0, DIMENSIONS), np.float32)
-    row = np.repeat(np.arange(len(texts)), np.diff(begins))
-    shape = _CLASS[data]
-    # Latin letters of two bytes, 0xC3 before the second: the upper-case ones end below 0xA0.
-    upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] < 0x9F))
-    shape[upper] = ord("A")
-    kept = np.flatnonzero(shape)
-    shape, owner = shape[kept].astype(np.uint64), row[kept]
     total = np.zeros(len(texts) * DIMENSIONS, np.int64)
 
     def add(owners: np.ndarray, hashes: np.ndarray) -> None:
         spot = (mix(hashes) % np.uint64(DIMENSIONS)).astype(np.int64)
         total[:] += np.bincount(owners * DIMENSIONS + spot, minlength=len(total))
 
-    if len(shape) >= SHAPE:
-        code = np.zeros(len(shape) - SHAPE + 1, np.uint64)
-        for i in range(SHAPE):
-            code = code * np.uint64(256) + shape[i : i + len(code)]
-        same = owner[: len(code)] == owner[SHAPE - 1 :]
-        add(owner[: len(code)][same], code[same])
+    left, whose = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for first in range(0, len(data), SLICE):
+        part = data[first : first + SLICE]
+        row = np.repeat(np.arange(len(texts)), np.diff(np.clip(begins, first, first + len(part))))
+        shape = _CLASS[part]
+        # Latin letters of two bytes, 0xC3 before the second: the upper-case ones end below 0xA0.
+        following = data[first + 1 : first + SLICE + 1]
+        upper = np.flatnonzero((part[: len(following)] == 0xC3) & (following < 0x9F))
+        shape[upper] = ord("A")
+        kept = np.flatnonzero(shape)
+        shape, owner = np.concatenate([left, shape[kept].astype(np.uint64)]), np.concatenate([whose, row[kept]])
+        if len(shape) >= SHAPE:
+            code = np.zeros(len(shape) - SHAPE + 1, np.uint64)
+            for i in range(SHAPE):
+                code = code * np.uint64(256) + shape[i : i + len(code)]
+            same = owner[: len(code)] == owner[SHAPE - 1 :]
+            add(owner[: len(code)][same], code[same])
+        left, whose = shape[-(SHAPE - 1) :], owner[-(SHAPE - 1) :]
     starts, _, hashes = words(data)
-    owner = row[starts]
+    owner = np.searchsorted(begins, starts, side="right") - 1
     for lag in LAGS:
         if len(hashes) > lag:
             again = (hashes[lag:] == hashes[:-lag]) & (owner[lag:] == owner[:-lag])
@@ -137,7 +143,9 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
     per_class: int = 1500,
 ) -> Model | None:
-    """A model from at most ``per_class`` labelled texts of each label; None without any."""
+    """A model from at most ``per_class`` labelled texts of each label; None without any, as for an empty
+    table.  Repeated rows and copies count once, see ``sample_labelled``; other columns are not read.
+    """
     ship_package(docs.sparkSession)
     found, total = document_frequencies(docs, text)
     idf = (np.log((1 + total) / (1 + found)) + 0.1).astype(np.float32)
@@ -166,7 +174,7 @@ def quality(text: Column, model: Model | None, spark) -> Column:
     """Score from 0 to 1 of the whole text, higher where label 1 is likelier.
 
     NULL counts as empty; an empty text gets the labelled sample's mean.  Without a model every
-    score is 1.
+    score is 1.  Repeated rows get equal scores.  A text of any length is read whole, in slices.
     """
     if model is None:
         return F.lit(1.0)

@@ -8,7 +8,8 @@ is orthogonal to all of them, and its mask drops every differing position.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +17,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.blocks import blocks, strings, unload
+from rowmill.llm.blocks import blocks, mix, strings, unload
 from rowmill.llm.components import connected
+from rowmill.operators.joins import join_small
 from rowmill.session import settle, ship_package
 
 BITS = 64
+# Shingles of a text that are hashed and counted at a time.
+SLICE = 1 << 16
+# How far around a shingle's hash must be the least for a segment to begin there, the coarsest cut first.
+REACHES = (4, 2, 1)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -33,28 +39,36 @@ def covering_masks(radius: int) -> list[int]:
     ]
 
 
-def shingle_hashes(text: str, words: int, seed: int) -> list[int]:
-    """XXH64 of every run of ``words`` words, repeats included; of all words where there are fewer.
+def shingle_hashes(text: str, words: int, seed: int) -> Iterator[list[int]]:
+    """XXH64 of every run of ``words`` words, repeats included, SLICE at a time; of all words where there
+    are fewer, and nothing without any.
 
     Words are what lies between ASCII white space, with A to Z in lower case.
     """
     parts = text.encode().translate(LOWER).split()
     if not parts:
-        return []
+        return
     joined = b" ".join(parts)
     if len(parts) <= words:
-        return [xxhash.xxh64_intdigest(joined, seed)]
+        yield [xxhash.xxh64_intdigest(joined, seed)]
+        return
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[: len(parts) - words] + 1)).tolist()
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[i:j], seed) for i, j in zip(starts, ends[words - 1 :].tolist(), strict=True)]
+    del parts
+    starts = np.concatenate(([0], ends[: len(ends) - words] + 1))
+    ends, digest = ends[words - 1 :], xxhash.xxh64_intdigest
+    for at in range(0, len(starts), SLICE):
+        places = zip(starts[at : at + SLICE].tolist(), ends[at : at + SLICE].tolist(), strict=True)
+        yield [digest(joined[i:j], seed) for i, j in places]
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The number whose bits are set in over half of the hashes."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+def majority(hashes: Iterable[list[int]]) -> int:
+    """The number whose bits are set in over half of the hashes; 0 of none."""
+    counts, total = np.zeros(BITS, np.int64), 0
+    for some in hashes:
+        bits = np.unpackbits(np.array(some, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+        total += len(some)
+    return int(np.packbits(counts * 2 > total, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(
@@ -72,10 +86,7 @@ def fingerprints(
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unload()
         for block in blocks(batches, "__text"):
-            found = []
-            for content in strings(block.column("__text")):
-                hashes = shingle_hashes(content, words, seed)
-                found.append(majority(np.array(hashes, "<u8")) if hashes else 0)
+            found = [majority(shingle_hashes(content, words, seed)) for content in strings(block.column("__text"))]
             yield pa.RecordBatch.from_arrays(
                 [block.column("__key"), pa.array(found, pa.int64())], names=["__key", "fingerprint"]
             )
@@ -169,5 +180,134 @@ def near_duplicates(
     return marked.join(by_print, "fingerprint").select(F.col("__key").alias(key), "fingerprint", "component")
 
 
+def _cuts(hashes: np.ndarray, reach: int) -> np.ndarray:
+    """Where segments begin: at the start, and wherever a shingle's hash is the least of ``reach`` on
+    either side.  What two texts share is cut alike, wherever it stands."""
+    beyond = np.full(reach, np.iinfo(np.uint64).max, np.uint64)
+    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([beyond, hashes, beyond]), 2 * reach + 1)
+    at = np.flatnonzero(around.min(axis=1) == hashes)
+    return at if len(at) and at[0] == 0 else np.concatenate([[0], at])
+
+
+def segment_fingerprints(hashes: np.ndarray, most: int) -> np.ndarray:
+    """SimHashes of a text's segments, at most ``most``: those smallest by a hash, which is the same choice
+    in every text that holds them.  A text with fewer segments is cut more finely as well."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    found = np.empty(0, np.uint64)
+    for reach in REACHES:
+        starts = _cuts(hashes, reach)
+        counts = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+        lengths = np.diff(np.append(starts, len(hashes)))
+        own = np.packbits(counts * 2 > lengths[:, None], axis=1, bitorder="little").view("<u8").ravel()
+        fresh = np.setdiff1d(own, found)
+        found = np.concatenate([found, fresh[np.argsort(mix(fresh), kind="stable")][: most - len(found)]])
+        if len(found) >= most:
+            break
+    return found
+
+
+def jaccard(one: bytes, other: bytes) -> float:
+    """Of two sorted sets of hashes; two empty sets are equal."""
+    a, b = np.frombuffer(one, "<u8"), np.frombuffer(other, "<u8")
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared) if len(a) or len(b) else 1.0
+
+
+def similar_links(texts: DataFrame, words: int, least: float, segments: int, radius: int) -> DataFrame:
+    """Links (a, b) between rows (node long, text) whose sets of shingles have a Jaccard similarity of
+    ``least`` or more.
+
+    Segments' fingerprints meet under covering masks.  In a bucket each text is compared with the bucket's
+    first text of its own size and of the sizes just below: sizes of similar texts are at most a factor
+    ``least`` apart, and a bucket of any size makes no more than two pairs for each of its texts.  Every
+    pair is checked on whole shingle sets, which only texts of some pair send.
+    """
+    step = -math.log(least)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
+        for block in blocks(batches, "text"):
+            nodes, bands, prints = [], [], []
+            for node, content in zip(block.column("node").to_pylist(), strings(block.column("text")), strict=True):
+                kept, total = np.empty(0, np.uint64), 0
+                for some in shingle_hashes(content, words, 0):
+                    some = np.array(some, np.uint64)
+                    kept = np.unique(np.concatenate([kept, segment_fingerprints(some, segments)]))
+                    kept = kept[np.argsort(mix(kept), kind="stable")][:segments]
+                    total += len(some)
+                nodes.append(node)
+                bands.append(int(math.log(total) / step) if total else -2)
+                prints.append((kept if total else np.zeros(1, np.uint64)).view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(bands, pa.int32()), pa.array(prints, pa.list_(pa.int64()))],
+                names=["node", "band", "prints"],
+            )
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            sets = []
+            for content in strings(block.column("text")):
+                every = [np.array(some, "<u8") for some in shingle_hashes(content, words, 0)]
+                sets.append(np.unique(np.concatenate(every)).tobytes() if every else b"")
+            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            like = [jaccard(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(like, pa.bool_()))
+
+    marked = texts.mapInArrow(hashed, "node long, band int, prints array<long>")
+    masks = F.array(*[F.lit(mask - (1 << BITS) if mask >> 63 else mask).cast("long") for mask in covering_masks(radius)])
+    each = marked.select("node", "band", F.explode("prints").alias("print"))
+    each = each.select("node", "band", "print", F.posexplode(masks).alias("table", "mask"))
+    met = settle(each.select("node", "band", F.xxhash64("table", F.col("print").bitwiseAND(F.col("mask"))).alias("bucket")), "met")
+    firsts = settle(met.groupBy("bucket", "band").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    # A first text stands for its own band and the one above.
+    busy = firsts.groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").select("bucket")
+    stands = firsts.join(busy, "bucket", "left_semi").select(
+        "bucket", "first", F.explode(F.array("band", F.col("band") + 1)).alias("band")
+    )
+    pairs = met.join(stands, ["bucket", "band"]).where("node != first")
+    pairs = settle(pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct(), "pairs")
+    wanted = settle(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    sets = settle(join_small(texts, wanted, "node", "left_semi").mapInArrow(shingled, "node long, shingles binary"), "shingle-sets")
+    one, other = (sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")) for end in ("a", "b"))
+    both = pairs.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
+    return both.mapInArrow(compared, "a long, b long")
+
+
+def similar_texts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8,
+    segments: int = 8, radius: int = 1,
+) -> DataFrame:
+    """One row (key, component) for every row of ``docs``: the smallest key that links reach, where texts
+    link whose sets of ``words``-word shingles have a Jaccard similarity of ``least`` or more.
+
+    A whole text's fingerprint is too coarse for that: at a similarity of 0.8 some eight of 64 bits differ,
+    more than a workable number of masks covers.  So texts are cut at places that their content names, and
+    fingerprints are taken of up to ``segments`` of the segments.  Copies are one text.  No link that is
+    returned is wrong; one may be missed between texts that share no chosen segment, or of which neither is
+    the first in a bucket of theirs and no chain of links joins them.
+
+    NULL texts count as empty; texts without words are alike.  A NULL key names a component only where it
+    has no other.  Repeated rows keep their row, other columns are not read, an empty table gives no rows.
+    A text of any length is hashed whole, SLICE shingles at a time.
+    """
+    ship_package(docs.sparkSession)
+    content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(key).alias("__key"), F.unhex(F.sha2(content, 256)).alias("digest"), content.alias("text"))
+    kinds = settle(rows.groupBy("digest").agg(F.min("__key").alias("least")).withColumn("node", F.monotonically_increasing_id()), "texts")
+    keyed = settle(rows.select("__key", "digest"), "text-keys")
+    # Of the rows with one text, which are many where it was copied, each task sends one.
+    once = settle(rows.select("digest", "text").dropDuplicates(["digest"]).join(kinds, "digest").select("node", "text"), "distinct-texts", "zstd")
+    roots = settle(connected(similar_links(once, words, least, segments, radius), "a", "b"), "roots")
+    rooted = settle(
+        kinds.join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")), "rooted"
+    )
+    names = settle(rooted.groupBy("root").agg(F.min("least").alias("component")), "components")
+    by_text = settle(rooted.join(names, "root").select("digest", "component"), "by-text")
+    return keyed.join(by_text, "digest").select(F.col("__key").alias(key), "component")
+
+
 def hexadecimal(fingerprint: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(fingerprint)), 16, "0"))

@@ -20,7 +20,9 @@ from rowmill.llm.blocks import blocks, loaded, strings
 from rowmill.session import settle, ship_package
 
 CACHE_SCHEMA = "content binary, n_tokens long, tokenizer string"
-MEMO_ENTRIES = 1 << 19
+# Words kept in each of two generations, and the longest of them in characters.
+MEMO_ENTRIES = 1 << 18
+MEMO_CHARS = 64
 
 
 class PieceCounter:
@@ -42,7 +44,9 @@ class PieceCounter:
             or "▁" in pieces
         ) and not any("▁" in piece.lstrip("▁") for piece in pieces)
         self.by_word = self.by_word and self.library.normalize("  a  é ") == "▁▁▁a▁▁é▁"
-        self.known: dict[str, int] = {}
+        # Pieces of words: of those met lately, and of the generation before.
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
         self.space = 1
 
     def _words(self, text: str) -> list[str]:
@@ -56,13 +60,21 @@ class PieceCounter:
         if not self.by_word:
             return [len(ids) for ids in self.library.encode(texts, num_threads=1)]
         split = [self._words(text) if text else [] for text in texts]
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-        fresh = list({word for words in split for word in words}.difference(self.known))
-        for word, ids in zip(fresh, self.library.encode(fresh, num_threads=1), strict=True):
-            self.known[word] = len(ids) if word else self.space
-        look = self.known.__getitem__
-        return [sum(map(look, words)) for words in split]
+        if len(self.young) > MEMO_ENTRIES:
+            self.old, self.young = self.young, {}
+        young = self.young
+        fresh = {word for words in split for word in words}.difference(young)
+        for word in fresh & self.old.keys():
+            young[word] = self.old[word]
+            fresh.discard(word)
+        listed = list(fresh)
+        for word, ids in zip(listed, self.library.encode(listed, num_threads=1), strict=True):
+            young[word] = len(ids) if word else self.space
+        counts = [sum(map(young.__getitem__, words)) for words in split]
+        for word in listed:
+            if len(word) > MEMO_CHARS:
+                del young[word]
+        return counts
 
 
 def tokenizer_digest(path: str) -> str:
@@ -87,6 +99,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, key: str = "doc_id
     NULL texts count as empty: 0 bytes, 0 tokens.  Rows that repeat, and NULL keys, each keep their
     row.  Other columns are not read.  An empty table gives no rows.  Content is normalised by
     turning NULL into the empty text and nothing else: the library counts every other difference.
+    Texts are counted whole; a task holds one block of texts and at most 2 * MEMO_ENTRIES counts of
+    words of up to MEMO_CHARS characters, longer words being counted anew each time.
 
     ``cache`` is a Parquet folder in a store that all executors reach, partitioned by the digest of
     the tokenizer's file.  Two runs that append the same content at a time only repeat a row.

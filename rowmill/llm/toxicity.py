@@ -25,7 +25,12 @@ from rowmill.session import settle, ship_package
 # Grams of any SHORT characters, and of LONG ones from the space before a word on.
 SHORT, LONG = 5, 8
 COUNTED_BYTES = 1 << 18
+# Places of a gram that one text counts for.
 REPEATS = 4
+# A gram marks toxic texts if LEAST_TEXTS of them hold it, if so many of its places are in toxic texts that less
+# than CHANCE of all grams would be there so often by chance, and if it is RATIO times as frequent there: the
+# same at every size of the sample.
+LEAST_TEXTS, CHANCE, RATIO = 5, 1e-4, 4.0
 WINDOW_WORDS = 12
 LEVEL = 13
 THRESHOLD = 0.3
@@ -102,7 +107,11 @@ def sample_labelled(
     docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, per_class: int
 ) -> DataFrame:
     """(key, text, label) of at most ``per_class`` labelled rows of each label, the smallest by a hash
-    of the key; equal texts once.  The list of keys is bounded by that, so it is broadcast."""
+    of the key; equal texts once.  The list of keys is bounded by that, so it is broadcast.
+
+    Of a key with several labels the largest counts, and so it does of equal texts, which go under the
+    smallest of their keys: the sample depends on the rows alone, not on their order or their files.
+    """
     chosen = None
     held = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
     held = held.where("__key is not null and __label is not null").groupBy("__key").agg(F.max("__label").alias("__label"))
@@ -111,18 +120,22 @@ def sample_labelled(
         chosen = some if chosen is None else chosen.unionByName(some)
     chosen = settle(chosen, "labelled-keys")
     rows = docs.select(F.col(key).alias("__key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
-    found = rows.join(F.broadcast(chosen), "__key").withColumn("__digest", F.sha2("__text", 256))
-    return settle(found.dropDuplicates(["__digest"]).drop("__digest"), "labelled")
+    found = rows.join(F.broadcast(chosen), "__key").groupBy(F.sha2("__text", 256).alias("__digest"))
+    once = found.agg(F.min("__key").alias("__key"), F.max("__label").alias("__label"), F.any_value("__text").alias("__text"))
+    return settle(once.select("__key", "__text", "__label"), "labelled")
 
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_class: int = 4000, ordinary_words: int = 24_000, fragments: int = 2000,
+    per_class: int = 4000, ordinary_words: int = 24_000, fragments: int = 2000, word_chars: int = 64,
 ) -> Model | None:
     """Dictionaries and calibrated weights from a bounded sample of the labelled rows.
 
-    ``per_class`` bounds the sample, ``ordinary_words`` and ``fragments`` what the dictionaries hold.
-    None where the labels lack one of the two classes: nothing can be compared then.
+    ``per_class`` bounds the sample, ``ordinary_words`` and ``fragments`` what the dictionaries hold, in
+    which words longer than ``word_chars`` have no place; the marking grams are as many as the test finds
+    in the sample.  None where the labels lack one of the two classes, as for an empty table: nothing can
+    be compared then.  Repeated rows, copies and labels that differ are settled by ``sample_labelled``.
+    Other columns are not read.
     """
     ship_package(docs.sparkSession)
     rows = sample_labelled(docs, labels, label, key, text, per_class)
@@ -134,8 +147,8 @@ def train(
     if not (made.get(0) and made.get(1) and kept == {0, 1}):
         return None
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each gram the toxic texts that hold it, and its places in toxic and ordinary texts, of
-        which one text counts for REPEATS at most; without a gram the places there are."""
+        """Of each gram the toxic texts that hold it and its places in toxic and in ordinary texts, of which
+        a text counts for REPEATS at most; without a gram the places there are."""
         unload()
         for batch in blocks(batches, "__text", COUNTED_BYTES):
             texts, places = Counter(), {0: Counter(), 1: Counter()}
@@ -158,15 +171,17 @@ def train(
     grams = settle(making.mapInArrow(counted, "gram string, d long, t long, o long").groupBy("gram").agg(
         F.sum("d").alias("d"), F.sum("t").alias("t"), F.sum("o").alias("o")
     ), "grams")
-    total = grams.where("gram = ''").first()
-    toxic_texts, share = made[1], total["t"] / (total["t"] + total["o"])
-    expected = (F.col("t") + F.col("o")) * share
-    surprise = (F.col("t") - expected) / F.sqrt(expected * (1 - share))
+    total, every = grams.where("gram = ''").first(), grams.count()
+    share = total["t"] / (total["t"] + total["o"])
+    # By chance a gram's places are in toxic texts as often as all places are; the logarithm of how unlikely so
+    # many there are is at least the divergence times their number, and every gram had that chance.
+    held = F.col("t") + F.col("o")
+    seen = F.col("t") / held
+    divergence = seen * F.ln(seen / share) + F.coalesce((1 - seen) * F.ln((1 - seen) / (1 - share)), F.lit(0.0))
     ratio = (F.col("t") / total["t"]) / ((F.col("o") + 1) / total["o"])
-    many = toxic_texts >= 50
-    marking = grams.where("gram != ''").where(
-        (F.col("d") >= (max(5, math.ceil(0.015 * toxic_texts)) if many else 2)) & (surprise > (8 if many else 2)) & (ratio > 4)
-    ).orderBy(surprise.desc(), "gram").limit(4 * fragments).select("gram")
+    marking = grams.where("gram != '' and t > 0").where(
+        (F.col("d") >= LEAST_TEXTS) & (seen > share) & (held * divergence > math.log(every / CHANCE)) & (ratio > RATIO)
+    ).select("gram")
     marks = frozenset(r["gram"] for r in marking.collect())
 
     def covered(content: str) -> list[bool]:
@@ -194,7 +209,7 @@ def train(
     parts = making.where("__label = 1").mapInArrow(passages, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
     parts = parts.orderBy(F.desc("n"), "part").limit(fragments).collect()
     words = making.where("__label = 0").select(F.explode(F.array_distinct(F.split(F.lower("__text"), r"\s+"))).alias("word"))
-    words = words.where("word != '' and length(word) <= 64").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.where((F.col("word") != "") & (F.length("word") <= word_chars)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     words = words.orderBy(F.desc("n"), "word").limit(ordinary_words).collect()
     words = [r for r in words if not any(covered(f" {r['word']} "))]
     # What is frequent stands last, where it is nearest to a window.
@@ -222,7 +237,7 @@ def toxicity(text: Column, model: Model | None) -> Column:
     """Score from 0 to 1 of the whole text, higher where toxic is likelier.
 
     NULL counts as empty; an empty text has one window that saves nothing.  Without a model every
-    score is 0.
+    score is 0.  Repeated rows get equal scores.  A text of any length is read whole, window by window.
     """
     if model is None:
         return F.lit(0.0)
