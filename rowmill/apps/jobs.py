@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowmill import schemas
 from rowmill.apps import bus_trips, city, city_streams, siblings, word_count
-from rowmill.operators.quality import run_dataflow
+from rowmill.operators.quality import run_dataflows
 from rowmill.session import build_session, session_settings
 from rowmill.sinks.topics import kafka_sink_options
 from rowmill.sources import files
@@ -69,8 +69,10 @@ def run_word_count(spark: SparkSession, args) -> None:
 def run_metadata(spark: SparkSession, args) -> None:
     with open(args.metadata, encoding="utf-8") as text:
         dataflows = json.load(text)["dataflows"]
-    for dataflow in dataflows:
-        run_dataflow(spark, dataflow, {"kafka.bootstrap.servers": args.servers} if args.servers else None)
+    options = {"kafka.bootstrap.servers": args.servers} if args.servers else None
+    failed = run_dataflows(spark, dataflows, options)
+    if failed:
+        raise ExceptionGroup(f"failed: {', '.join(failed)}", list(failed.values()))
 
 
 def run_stream(spark: SparkSession, args) -> None:
@@ -83,11 +85,15 @@ def run_stream(spark: SparkSession, args) -> None:
         rows = city_streams.traffic_stage(
             topics[0], spark.read.parquet(args.registry), spark.read.parquet(args.maxima)
         )
-    else:
-        rows = city_streams.fusion_stage(spark.read.parquet(args.registry), topics, args.salts)
     sink = kafka_sink_options(args.servers, args.out_topic)
     with session_settings(spark, **run.stateful_settings(spark, args.state_partitions)):
-        query = city_streams.start(rows, args.stage, sink, args.checkpoint)
+        if args.stage == "fusion":
+            points = spark.read.parquet(args.registry)
+            query = city_streams.start_fusion(
+                points, topics, sink, args.checkpoint, args.window, args.lateness, args.silent_batches
+            )
+        else:
+            query = city_streams.start(rows, args.stage, sink, args.checkpoint)
     run.finish(query)
 
 
@@ -127,7 +133,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--maxima", help="output of traffic-maxima")
     stream.add_argument("--state-partitions", type=int, required=True, help="kept in the checkpoint for the life of the query")
     stream.add_argument("--per-trigger", type=int, help="most messages of a topic in one batch")
-    stream.add_argument("--salts", type=int, default=1, help="parts into which the fusion splits a place's readings")
+    stream.add_argument("--window", help="fusion: means of windows such as '1 hour' by the messages' time, not since the start")
+    stream.add_argument("--lateness", default="10 minutes", help="fusion: how long a window waits for late messages")
+    stream.add_argument("--silent-batches", type=int, help="fusion: batches after which a silent place counts no more")
     stream.set_defaults(action=run_stream)
     return top
 

@@ -19,16 +19,12 @@ def sibling_title_pairs(
 ) -> DataFrame:
     """Ordered pairs of different people of one family born under ``years`` years apart.
 
-    Pairs of the same person are the same count within (family, person), taken off again.  Without
-    ``mirrored`` each pair of people counts once, which is half, as (a, b) comes with (b, a).
+    Without ``mirrored`` each pair of people counts once, which is half, as (a, b) comes with (b, a).
     """
     position, width = years_position(F.to_date(born), years)
-    known = people.where(F.col(person).isNotNull()).select(family, person, title, born)
-    all_pairs = banded_label_pair_counts(known, [family], title, position, width)
-    own_pairs = banded_label_pair_counts(known, [family, person], title, position, width)
+    pairs = banded_label_pair_counts(people, [family], title, position, width, apart=person)
     return (
-        all_pairs.unionByName(own_pairs.withColumn("pairs", -F.col("pairs")))
-        .groupBy("label_1", "label_2").agg(F.sum("pairs").alias("count"))
+        pairs.withColumnRenamed("pairs", "count")
         .withColumn("count", F.col("count") if mirrored else F.expr("count div 2"))
         .where(F.col("count") > 0)
         .withColumnsRenamed({"label_1": "pair_title_1", "label_2": "pair_title_2"})

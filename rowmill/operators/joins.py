@@ -10,13 +10,15 @@ from rowmill.session import settle
 
 
 def join_small(
-    left: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = 32 << 20
+    left: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = 32 << 20, size_bytes: int | None = None
 ) -> DataFrame:
-    """J4: broadcast ``small`` only when its planned size is within ``max_bytes``.
+    """J4: broadcast ``small`` only when its size is within ``max_bytes``: the planned size, which errs on the
+    large side, or ``size_bytes`` where the caller has measured it (``cached_bytes``, ``sampled_bytes``).
 
     Beyond the bound there is no hint: Catalyst shuffles both sides and AQE splits skewed ones.
     """
-    side = F.broadcast(small) if plan_bytes(small) <= max_bytes else small
+    size = plan_bytes(small) if size_bytes is None else size_bytes
+    side = F.broadcast(small) if size <= max_bytes else small
     return left.join(side, on, how)
 
 
@@ -55,40 +57,44 @@ def salted_join(
     return salted.join(repeated, [key, "__salt"], how).drop("__salt")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them, always.
+def key_salts(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """(key, __salts) of the keys that hold more than an even share of the rows, one ``parts``-th: among how
+    many tasks each is dealt so that none gets more than such a share.
 
-    Counted with map-side partials and stored, so that both sides of a join can look them up.
+    Counted exactly, with map-side partials; fewer than ``parts`` keys are that frequent, always.
     """
-    counts = settle(df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
-    least = counts.agg(F.sum("__n") * share).scalar()
-    return counts.where((F.col("__n") > least) & F.col(key).isNotNull()).select(key)
+    counts = settle(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    share = max(1, -(-total // parts))
+    hot = counts.where(F.col("__n") > share)
+    return settle(hot.select(key, F.ceil(F.col("__n") / share).cast("int").alias("__salts")), "key-salts")
 
 
 def skew_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    salts: int,
-    salt_from: list[str],
-    how: str = "inner",
-    share: float = 0.001,
+    big: DataFrame, small: DataFrame, key: str, salt_from: list[str], how: str = "inner", parts: int | None = None
 ) -> DataFrame:
-    """J10 for the hot keys only: they are salted and repeated, all other keys join as they are.
+    """J10 with each key's own number of salts: rows of ``small`` are repeated in proportion to how many rows of
+    ``big`` they meet, keys of an even share or less join as they are.
 
-    ``small`` may then be large too, because only its rows of hot keys are repeated.  The list of
-    hot keys has a bound that does not depend on the data, so it is broadcast.
+    ``parts`` is the number of tasks to fill, by default the session's shuffle partitions.  The list of hot
+    keys is shorter than that, so it is broadcast; ``small`` may be large.  Rows of ``big`` without a key match
+    nothing: a left join leads them around the shuffle, an inner join drops them.  ``salt_from`` should tell
+    rows apart; copies go together, and AQE's split covers them.
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
-    hot = F.broadcast(hot_keys(big, key, share).withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int")
-    salted = big.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(0)
-    ).drop("__hot")
-    every = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = small.join(hot, key, "left").withColumn("__salt", F.explode(every)).drop("__hot")
-    return salted.join(repeated, [key, "__salt"], how).drop("__salt")
+    parts = parts or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(key_salts(big, key, parts))
+    salts = F.coalesce("__salts", F.lit(1))
+    keyed, known = big.where(F.col(key).isNotNull()), small.where(F.col(key).isNotNull())
+    spread = F.pmod(F.xxhash64(*salt_from), salts).cast("int")
+    salted = keyed.join(hot, key, "left").withColumn("__salt", spread).drop("__salts")
+    repeated = known.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    joined = salted.join(repeated, [key, "__salt"], how).drop("__salt")
+    if how == "inner":
+        return joined
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
+    return joined.unionByName(big.where(F.col(key).isNull()).select(*joined.columns[: len(big.columns)], *added))
 
 
 def all_of(*conditions: Column) -> Column:

@@ -6,6 +6,7 @@ import math
 import re
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,54 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def _kept_bytes(df: DataFrame) -> int:
+    """Size of a persisted frame's stored rows, which its relation knows once all of them are stored."""
+    # A plan made after persisting reads the stored rows; the frame's own may have been made before.
+    return plan_bytes(df.alias("kept"))
+
+
+def cached_bytes(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> int:
+    """PHY4: what the frame's rows take in memory: they are all stored, measured and dropped again.
+
+    A frame that is already persisted is filled and stays as it is.
+    """
+    held = df.storageLevel != StorageLevel.NONE
+    kept = df if held else df.persist(level)
+    try:
+        kept.count()
+        return _kept_bytes(kept)
+    finally:
+        if not held:
+            kept.unpersist(blocking=True)
+
+
+def sampled_bytes(df: DataFrame, share: float = 0.01, keys: list[str] | None = None) -> int:
+    """PHY4: the same from a sample: the rows whose hash falls in a ``share`` are stored and scaled up.
+
+    The choice depends on the rows (or on ``keys``), not on chance, so a repeated call gives the same
+    figure.  The share that was drawn is taken from counts, not from ``share``: copies of a row are drawn
+    together.  0 for a frame without rows; a sample without any is drawn again ten times as large.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("a sample is a share of the rows above 0, up to 1")
+    steps = 1 << 30
+    spot = F.pmod(F.xxhash64(*[F.col(k) for k in keys or df.columns]), F.lit(steps))
+    sample = df.where(spot < math.ceil(share * steps)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        drawn = sample.count()
+        size = _kept_bytes(sample)
+    finally:
+        sample.unpersist(blocking=True)
+    if drawn:
+        return round(size * df.count() / drawn)
+    return 0 if share == 1 else sampled_bytes(df, min(1.0, share * 10), keys)
+
+
+def broadcast_bytes(spark: SparkSession) -> int:
+    """Up to which size Catalyst broadcasts a side of a join; 0 where it never does."""
+    return max(0, parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").replace("-1", "0")))
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """PHY4: what a written path takes on storage, from file metadata."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -47,11 +96,14 @@ def parse_bytes(text: str) -> int:
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
-def advised_partitions(df: DataFrame, target_bytes: int | None = None) -> int:
-    """PHY5: partitions that keep each within the scan split size."""
+def advised_partitions(df: DataFrame, target_bytes: int | None = None, size_bytes: int | None = None) -> int:
+    """PHY5: partitions that keep each within the scan split size.
+
+    ``size_bytes`` is a better figure than the plan's, such as ``cached_bytes`` or ``sampled_bytes`` give.
+    """
     if target_bytes is None:
         target_bytes = parse_bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes"))
-    return max(1, math.ceil(plan_bytes(df) / target_bytes))
+    return max(1, math.ceil((plan_bytes(df) if size_bytes is None else size_bytes) / target_bytes))
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

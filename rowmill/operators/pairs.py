@@ -6,10 +6,18 @@ how many pairs there are per pair of labels, and that follows from counts per (k
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.session import settle
+from rowmill.session import ship_package
+
+# A group with more merged rows is counted by running sums per label where these are fewer than its pairs.
+MANY_ROWS = 1 << 10
+MOST_PAIRS = 1 << 20
 
 # Above twice the number of century years without a leap day before the year 10,000, which is 75.
 STEPS = 256
@@ -50,65 +58,145 @@ def label_pair_counts(df: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 
 def banded_label_pair_counts(
-    df: DataFrame, keys: list[str], label: str, position: Column, width: int
+    df: DataFrame, keys: list[str], label: str, position: Column, width: int, apart: str | None = None
 ) -> DataFrame:
-    """The same for pairs whose integer positions lie less than ``width`` apart.
-
-    Positions fall into buckets of ``width``.  Two rows of one bucket always qualify; rows of
-    neighbouring buckets qualify when the later one's offset is the smaller of the two; rows
-    further apart never do.  "Smaller offset" is counted by common binary prefixes: of two
-    different offsets the larger has a 1 where the smaller has a 0 at the first bit they do not
-    share, so each (bucket, bit, prefix) cell contributes its 1-rows times the neighbour's 0-rows.
-    Groups that span less than ``width`` need none of this: all their pairs qualify, and where such
-    a group has one label its size squared is the count.
-
-    A row is repeated once per bit of ``width`` after identical rows have been merged; no pair of
-    rows is ever formed, so a group may be of any size.
+    """The same for pairs whose integer positions lie less than ``width`` apart, and with ``apart`` only for
+    pairs of rows that differ in that column.
+
+    Rows are merged to (key, position, label) and their number first, in each task and after the shuffle, so a
+    key of any size becomes as long as its positions and labels, however many rows it has.  A frame then
+    moves over each key's positions: what a row pairs with are the rows of the frame before it.  Pairs that
+    agree in ``apart`` are counted by the same pass over (key, apart) and taken off.
     """
-    counts = (
-        df.where(_known(keys))
-        .withColumn("__pos", position.cast("bigint"))
-        .where(F.col("__pos").isNotNull())
-        .groupBy(*keys, label, "__pos").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("__offset", F.pmod(F.col("__pos"), F.lit(width)))
-        .withColumn("__bucket", ((F.col("__pos") - F.col("__offset")) / width).cast("bigint"))
-    )
-    counts = settle(counts, "pair-counts")
-    spans = settle(counts.groupBy(*keys).agg(
-        (F.max("__pos") - F.min("__pos") < width).alias("__tight"),
-        F.min(label).alias("__low"), F.max(label).alias("__high"),
-        F.count(label).alias("__labels"), F.count(F.lit(1)).alias("__rows"), F.sum("n").alias("__n"),
-    ), "pair-spans")
-    one_label = F.col("__low").eqNullSafe(F.col("__high")) & F.col("__labels").isin(F.lit(0), F.col("__rows"))
-    plain = F.col("__tight") & one_label
-    alike = spans.where(plain).select(
-        F.col("__low").alias("label_1"), F.col("__low").alias("label_2"),
-        (F.col("__n") * F.col("__n")).alias("pairs"),
-    )
-    counts = settle(counts.join(spans.where(~plain).select(*keys, "__tight"), keys), "pair-mixed")
-
-    tight = counts.where("__tight").groupBy(*keys, label).agg(F.sum("n").alias("n"))
-    close = _own_products(tight, keys, label)
-
-    wide = counts.where("not __tight")
-    same_on = [*keys, "__bucket"]
-    per_bucket = wide.groupBy(*same_on, label).agg(F.sum("n").alias("n"))
-    same = _own_products(per_bucket, same_on, label)
-
-    bits = max(1, (width - 1).bit_length())
-    cells = (
-        wide.withColumn("__bit", F.explode(F.sequence(F.lit(0), F.lit(bits - 1))))
-        .withColumn("__prefix", F.expr("shiftright(__offset, __bit + 1)"))
-        .withColumn("__one", F.expr("shiftright(__offset, __bit) & 1"))
-        .groupBy(*keys, "__bucket", "__bit", "__prefix", "__one", label)
-        .agg(F.sum("n").alias("n"))
-    )
-    near_on = [*keys, "__bucket", "__bit", "__prefix"]
-    earlier = cells.where("__one = 1")
-    later = cells.where("__one = 0").withColumn("__bucket", F.col("__bucket") - 1)
-    near = _label_products(earlier, later, near_on, label)
-    both_ways = near.select("label_1", "label_2", (F.col("pairs") * 2).alias("pairs"))
-    return _unordered(alike.unionByName(close).unionByName(same).unionByName(both_ways))
+    ship_package(df.sparkSession)
+    own = F.lit(None).cast("boolean") if apart is None else F.col(apart)
+    rows = df.where(_known(keys)).select(*keys, own.alias("__own"), F.col(label).alias("__label"), position.cast("bigint").alias("__pos"))
+    rows = rows.where(F.col("__pos").isNotNull())
+    if apart is not None:
+        # Each row counts once for its key and once, with a sign, for what it shall not pair with.
+        rows = rows.where(F.col("__own").isNotNull()).withColumn("__own", F.explode(F.array(F.lit(None), "__own")))
+    counts = rows.groupBy(*keys, "__own", "__label", "__pos").agg(F.count(F.lit(1)).alias("n"))
+    groups = [*keys, "__own"]
+    dealt = counts.repartition(*groups).sortWithinPartitions(*groups, "__pos")
+    kind = dealt.schema["__label"].dataType.simpleString()
+
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, len(groups)):
+            labels = rows.column("__label").combine_chunks().dictionary_encode(null_encoding="encode")
+            signs = np.where(rows.column("__own").is_null().to_numpy(), 1, -1)
+            first, second, pairs = frame_products(
+                group_numbers(rows, groups), rows.column("__pos").to_numpy(),
+                labels.indices.to_numpy(zero_copy_only=False), rows.column("n").to_numpy(), width, signs,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [labels.dictionary.take(pa.array(first)), labels.dictionary.take(pa.array(second)), pa.array(pairs, pa.int64())],
+                names=["label_1", "label_2", "pairs"],
+            )
+
+    products = dealt.mapInArrow(framed, f"label_1 {kind}, label_2 {kind}, pairs bigint")
+    return _unordered(products).where(F.col("pairs") != 0)
+
+
+def group_numbers(rows: pa.Table, groups: list[str]) -> np.ndarray:
+    """A number for each run of rows that agree in ``groups``, NULL agreeing with NULL."""
+    new = np.zeros(rows.num_rows, bool)
+    for name in groups:
+        codes = rows.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.cumsum(new)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], width: int, least: int = 1 << 16) -> Iterator[pa.Table]:
+    """Tables of about ``least`` rows of sorted batches that end where the first ``width`` columns change."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        if sum(table.num_rows for table in held) < least:
+            continue
+        rows = pa.concat_tables(held)
+        numbers = group_numbers(rows, rows.column_names[:width])
+        cut = int(np.searchsorted(numbers, numbers[-1]))
+        if cut:
+            yield rows.slice(0, cut)
+        held = [rows.slice(cut)]
+    if held:
+        yield pa.concat_tables(held)
+
+
+def frame_products(
+    group: np.ndarray, position: np.ndarray, label: np.ndarray, n: np.ndarray, width: int, sign: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label pairs and how many ordered pairs of rows they stand for, from merged rows in the order of group
+    and position; a group's pairs count with its sign."""
+    labels = int(label.max(initial=-1)) + 1
+    total: dict[int, int] = {}
+    dense = np.zeros(labels * labels if labels <= MANY_ROWS else 0, np.int64)
+
+    def add(one: np.ndarray, other: np.ndarray, pairs: np.ndarray) -> None:
+        code = np.minimum(one, other).astype(np.int64) * labels + np.maximum(one, other)
+        if len(dense):
+            np.add.at(dense, code, pairs)
+            return
+        codes, place = np.unique(code, return_inverse=True)
+        sums = np.zeros(len(codes), np.int64)
+        np.add.at(sums, place, pairs)
+        for code, pair in zip(codes.tolist(), sums.tolist(), strict=True):
+            total[code] = total.get(code, 0) + pair
+
+    add(label, label, sign * n * n)
+    starts = np.flatnonzero(np.diff(group, prepend=-1)) if len(group) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(group))
+    # Where the frame of each row begins: the first row of its group less than ``width`` before it.
+    since = np.empty(len(group), np.int64)
+    for first, last in _frame_blocks(position, group, starts, ends, width):
+        own = position[first:last] - position[first:last].min()
+        lane = (group[first:last] - group[first]) * (own.max(initial=0) + width)
+        since[first:last] = first + np.searchsorted(own + lane, own + lane - width, side="right")
+    reach = np.arange(len(group)) - since
+    crowded = np.zeros(len(group), bool)
+    many = np.flatnonzero(ends - starts > MANY_ROWS)
+    for first, last in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
+        held = np.unique(label[first:last])
+        if len(held) * (last - first) >= reach[first:last].sum():
+            continue
+        # Many rows of few labels: running sums for each label, at both ends of every frame.
+        crowded[first:last] = True
+        for other in held:
+            before = np.concatenate([[0], np.cumsum(np.where(label[first:last] == other, n[first:last], 0))])
+            inside = before[np.arange(last - first)] - before[since[first:last] - first]
+            add(label[first:last], np.full(last - first, other), 2 * sign[first:last] * n[first:last] * inside)
+    left = np.flatnonzero(~crowded & (reach > 0))
+    upto = np.cumsum(reach[left])
+    at = 0
+    while at < len(left):
+        # As many rows at a time as make MOST_PAIRS pairs of merged rows, one row at least.
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + MOST_PAIRS, side="right")))
+        some = left[at:stop]
+        one = np.repeat(some, reach[some])
+        other = np.arange(len(one)) - np.repeat(np.cumsum(reach[some]) - reach[some], reach[some]) + np.repeat(since[some], reach[some])
+        add(label[one], label[other], 2 * sign[one] * n[one] * n[other])
+        at = stop
+    if len(dense):
+        codes = np.flatnonzero(dense)
+        return codes // labels, codes % labels, dense[codes]
+    codes = np.fromiter(total, np.int64, len(total))
+    pairs = np.fromiter(total.values(), np.int64, len(total))
+    return codes // max(labels, 1), codes % max(labels, 1), pairs
+
+
+def _frame_blocks(
+    position: np.ndarray, group: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int
+) -> list[tuple[int, int]]:
+    """Runs of whole groups whose positions, laid one group after the other, stay within 63 bits: all rows, or
+    each group by itself where positions are too far apart for that."""
+    if not len(group):
+        return []
+    span = int(position.max()) - int(position.min()) + width
+    if span * len(starts) < 1 << 62:
+        return [(0, len(group))]
+    return list(zip(starts.tolist(), ends.tolist(), strict=True))
 
 
 def years_position(date: Column, years: int) -> tuple[Column, int]:

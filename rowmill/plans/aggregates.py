@@ -113,9 +113,10 @@ def agg_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, arg_max(event_type, event_id) AS last_type, arg_max(value, event_id) AS last_value FROM events GROUP BY 1
 """)
 def agg_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last value by an explicit order, merged map-side."""
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(
-        F.max_by("event_type", "event_id").alias("last_type"), F.max_by("value", "event_id").alias("last_value")
+    """The last value by an explicit order: the greatest order per key first, then the rows that have it."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    return latest_rows(events, ["user_id"], ["event_id"]).select(
+        "user_id", F.col("event_type").alias("last_type"), F.col("value").alias("last_value")
     )
 
 

@@ -258,8 +258,12 @@ def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     for stage, rows in stages.items():
         run.to_files(rows, f"{path}/{stage}", f"{path}/{stage}-checkpoint")
         topics.append(streams.file_stream(spark, f"{path}/{stage}", "parquet", "key string, value string"))
-    fused = city_streams.fusion_stage(points, topics)
-    written = run.to_batch_dirs(fused, f"{path}/fusion", f"{path}/fusion-checkpoint", "update")
+    sent = run.batch_files(f"{path}/fusion")
+    writer = city_streams.fusion_writer(
+        points, topics, f"{path}/places", [lambda rows, batch_id: sent(city_streams.fusion_rows(rows), batch_id)]
+    )
+    run.complete(spark, writer, f"{path}/fusion-checkpoint")
+    written = spark.read.schema("value string, batch_id long").parquet(f"{path}/fusion")
 
     value = "id bigint, name string, occupancy double"
     sent = written.select("batch_id", F.from_json("value", value).alias("m")).select("batch_id", "m.*")

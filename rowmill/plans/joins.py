@@ -120,7 +120,7 @@ def join_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
     )
-    joined = joins.skew_join(lines, suppliers, "supplier", 16, ["l_orderkey", "l_linenumber", "l_partkey"], share=0.05)
+    joined = joins.skew_join(lines, suppliers, "supplier", ["l_orderkey", "l_linenumber", "l_partkey"], parts=16)
     return joined.groupBy("supplier", "nation", "flag").agg(F.count(F.lit(1)).alias("lines"))
 
 

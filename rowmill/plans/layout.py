@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.operators import layout
+from rowmill.operators.joins import join_small
 from rowmill.registry import query, table
 from rowmill.session import ensure_checkpoint_dir, fresh_path, session_settings
 from rowmill.sinks.files import write_noop
@@ -64,6 +65,24 @@ def phy_size_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("PHY4 PHY5", """
+    SELECT count(*) AS row_count, true AS sampled_is_near, true AS planned_is_apart, count(*) AS joined FROM lineitem
+""")
+def phy_measured_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sizes of the same rows: planned, filled into the cache, and a hash sample's scaled up.  The
+    sample's lies within a tenth of the cache's; the plan's is that of the compressed file and does not.  The
+    measured size of the parts decides how they are joined."""
+    lines = table(spark, sf_dir, "lineitem")
+    cached, sampled, planned = layout.cached_bytes(lines), layout.sampled_bytes(lines, 0.2), layout.plan_bytes(lines)
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
+    joined = join_small(lines, parts, "l_partkey", size_bytes=layout.sampled_bytes(parts, 0.2))
+    return lines.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "row_count", F.lit(abs(sampled - cached) <= 0.1 * cached).alias("sampled_is_near"),
+        F.lit(abs(planned - cached) > 0.1 * cached).alias("planned_is_apart"),
+        joined.agg(F.count(F.lit(1))).scalar().alias("joined"),
+    )
+
+
 @query("PHY6", "SELECT count(*) AS row_count, true AS more_splits FROM documents")
 def phy_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smaller scan splits give more tasks over the same rows."""
@@ -130,7 +149,7 @@ def phy_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     name = fresh_path(spark, "customers").rsplit("/", 1)[1].replace("-", "_")
     customers.createOrReplaceTempView(name)
-    listed = any(row["tableName"] == name for row in spark.sql("SHOW TABLES").collect())
+    listed = any(row["tableName"] == name for row in spark.sql(f"SHOW TABLES LIKE '{name}'").collect())
     spark.catalog.dropTempView(name)
     return customers.agg(F.count(F.lit(1)).alias("customers"), F.lit(listed).alias("listed"))
 

@@ -192,30 +192,31 @@ def named_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("words"))
 
 
-def th_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document's words with a ``th``; many documents have none."""
-    return named_words(spark, sf_dir).select("doc_id", arrays.containing(F.col("words"), "th").alias("words"))
+def words_and_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of each document, and a row -1 that has none."""
+    none = spark.range(1).select(F.lit(-1).cast("bigint").alias("doc_id"), F.array().cast("array<string>").alias("words"))
+    return named_words(spark, sf_dir).unionByName(none)
 
 
 _WORDS_SQL = r"""
     d AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\n\r\f]+'), lambda x: x <> '') AS words FROM documents)
 """
-_TH_WORDS_SQL = _WORDS_SQL.replace("x <> ''", "instr(x, 'th') > 0")
+_ALL_WORDS_SQL = f"{_WORDS_SQL.rstrip()}, a AS (SELECT doc_id, words FROM d UNION ALL SELECT -1, [])"
 
 
-@query("ARR1", f"WITH {_TH_WORDS_SQL}, e AS (SELECT doc_id, unnest(words) AS word FROM d) SELECT doc_id, count(*) AS words FROM e GROUP BY 1")
+@query("ARR1", f"WITH {_ALL_WORDS_SQL}, e AS (SELECT doc_id, unnest(words) AS word FROM a) SELECT doc_id, count(*) AS words FROM e GROUP BY 1")
 def arr_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row without elements disappears."""
-    exploded = arrays.explode_rows(th_words(spark, sf_dir), "words", "word")
+    exploded = arrays.explode_rows(words_and_none(spark, sf_dir), "words", "word")
     return exploded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("words"))
 
 
 @query("ARR1", f"""
-    WITH {_TH_WORDS_SQL}, e AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [NULL] ELSE words END) AS word FROM d)
+    WITH {_ALL_WORDS_SQL}, e AS (SELECT doc_id, unnest(CASE WHEN coalesce(len(words), 0) = 0 THEN [NULL] ELSE words END) AS word FROM a)
     SELECT doc_id, count(word) AS words FROM e GROUP BY 1
 """)
 def arr_explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exploded = arrays.explode_rows(th_words(spark, sf_dir), "words", "word", keep_empty=True)
+    exploded = arrays.explode_rows(words_and_none(spark, sf_dir), "words", "word", keep_empty=True)
     return exploded.groupBy("doc_id").agg(F.count("word").alias("words"))
 
 

@@ -15,11 +15,12 @@ from rowmill.functions.numbers import exact_sum
 from rowmill.operators.joins import join_small
 from rowmill.plans.joins import NEAR_SQL, PLACES_SQL, places, strip_place, strip_sql
 from rowmill.registry import query, table
-from rowmill.session import fresh_path
+from rowmill.session import fresh_path, session_settings
 from rowmill.sinks.topics import topic_rows
 from rowmill.sources import streams as sources
 from rowmill.streaming import mobility, run
 from rowmill.streaming.events import decode, windowed_counts, word_events
+from rowmill.streaming.places import fuse_by_place, fuse_windows_by_place
 
 
 def _stored(stream: DataFrame, label: str) -> DataFrame:
@@ -347,16 +348,22 @@ _FUSED_SQL = f"""
 """
 
 
+POINT_MEAN = "id long, name string, longitude double, latitude double, occupancy double"
+
+
 def _rounded(fused: DataFrame) -> DataFrame:
     return fused.withColumn("occupancy", F.round("occupancy", 6))
 
 
 @query("ST24 ST20 ST9 SET2 J13", _FUSED_SQL)
 def st_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean occupancy near each point over three enriched streams, newest version per point."""
+    """Mean occupancy near each point over three enriched streams, by running totals per place; each batch
+    stores the points whose mean has changed, the newest version of each is kept."""
     path = fresh_path(spark, "fusion")
-    fused = mobility.fuse(places(spark, sf_dir), three_feeds(spark, sf_dir))
-    written = run.to_batch_dirs(fused, path, f"{path}-checkpoint", "update")
+    points = places(spark, sf_dir)
+    writer = fuse_by_place(points, three_feeds(spark, sf_dir), f"{path}-places", [run.batch_files(path)])
+    run.complete(spark, writer, f"{path}-checkpoint")
+    written = spark.read.schema(f"{POINT_MEAN}, batch_id long").parquet(path)
     return _rounded(run.newest_version(written, ["id", "name", "longitude", "latitude"]))
 
 
@@ -379,8 +386,13 @@ def st_fusion_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_fusion_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily means whose state expires once the slowest stream's watermark has passed the day."""
     streams = [r.withColumn("datetime", F.col("datetime").cast("timestamp")) for r in three_feeds(spark, sf_dir)]
-    fused = mobility.fuse_windowed(places(spark, sf_dir), streams, "datetime", "1 day", "10 minutes")
-    return _plain_times(_rounded(_stored(fused, "fusion-windowed")))
+    path = fresh_path(spark, "fusion-windowed")
+    writer = fuse_windows_by_place(
+        places(spark, sf_dir), streams, "datetime", "1 day", "10 minutes", [run.batch_files(path)]
+    )
+    run.complete(spark, writer, f"{path}-checkpoint")
+    written = spark.read.schema(f"start_time timestamp, end_time timestamp, {POINT_MEAN}").parquet(path)
+    return _plain_times(_rounded(written.drop("batch_id")))
 
 
 @query("ST20 ST9", """
@@ -393,3 +405,64 @@ def st_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         exact_sum(F.col("value")).alias("total"), F.count(F.lit(1)).alias("events")
     )
     return run.newest_version(run.to_batch_dirs(totals, path, f"{path}-checkpoint", "update"), ["user_id"])
+
+
+@query("ST12 ST14 ST2", """
+    SELECT event_type, count(*) AS events, (SELECT count(*) FROM events) AS console_rows, true AS several_batches FROM events GROUP BY 1
+""")
+def st_clocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries on their clocks over a folder of files, one file a batch: one stores its rows, the other shows
+    its running counts on the console.  Both are stopped when their progress says that they have read all."""
+    path = fresh_path(spark, "clocked")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.repartition(3).write.parquet(f"{path}/in")
+    rows = spark.read.parquet(f"{path}/in").count()
+
+    def arriving() -> DataFrame:
+        return sources.file_stream(spark, f"{path}/in", "parquet", "event_id bigint, event_type string", files_per_trigger=1)
+
+    stored = arriving().writeStream.foreachBatch(run.batch_files(f"{path}/out"))
+    batches = run.on_clock(stored, f"{path}/checkpoint", "200 milliseconds", rows)
+    counts = arriving().groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    with session_settings(spark, **run.stateful_settings(spark)):
+        shown = run.on_clock(run.to_console(counts, "complete"), f"{path}/console", "200 milliseconds", rows)
+    written = spark.read.schema("event_id bigint, event_type string, batch_id bigint").parquet(f"{path}/out")
+    return written.groupBy("event_type").agg(F.count(F.lit(1)).alias("events")).select(
+        "event_type", "events", F.lit(sum(batch["numInputRows"] for batch in shown)).alias("console_rows"),
+        F.lit(len(batches) >= 2 and len(shown) >= 2).alias("several_batches"),
+    )
+
+
+_EARLY = ("click", "view")
+
+
+@query("J12 ST22 ST18", f"""
+    SELECT event_id, c_name AS name FROM events JOIN customer ON user_id = c_custkey WHERE event_type NOT IN {_EARLY} OR c_custkey % 2 = 0
+""")
+def st_registry_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running stream meets a registry that grows: its first batch finds half of the customers registered,
+    the others are added before the second."""
+    path = fresh_path(spark, "refresh")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    early, files = F.col("event_type").isin(*_EARLY), []
+    for turn, part in enumerate((events.where(early), events.where(~early))):
+        part.repartition(2).write.parquet(f"{path}/in/turn={turn}")
+        files.append(spark.read.parquet(f"{path}/in/turn={turn}").select("_metadata.file_path").distinct().count())
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    run.publish_snapshot(customers.where(F.col("user_id") % 2 == 0), f"{path}/registry")
+
+    def grow(rows: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:
+            run.publish_snapshot(customers, f"{path}/registry")
+
+    # One turn a batch.
+    stream = sources.file_stream(
+        spark, f"{path}/in/turn=*", "parquet", "event_id bigint, event_type string, user_id bigint", files_per_trigger=files[0]
+    )
+    writer = run.with_registry(
+        stream, f"{path}/registry", "user_id bigint, name string", f"{path}/used",
+        lambda batch, registry: join_small(batch, registry, "user_id").select("event_id", "name"),
+        [run.batch_files(f"{path}/out"), grow],
+    )
+    run.complete(spark, writer, f"{path}/checkpoint")
+    return spark.read.schema("event_id bigint, name string").parquet(f"{path}/out").select("event_id", "name")

@@ -7,7 +7,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.session import release, session_settings, settle
+from rowmill.session import fresh_path, session_settings
+from rowmill.sources.files import remove_folder
 
 
 def write_files(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", **options) -> None:
@@ -77,12 +78,16 @@ def write_table(
 def write_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """SNK9: one file, written by one task as the caller asks, whatever its size.
 
-    The rows are computed and stored in parallel first, so that the one task only copies them; the
-    stored copy is removed.
+    The rows are computed and stored in parallel first, so that the one task only copies them; this
+    write's stored copy, and no other's, is removed.
     """
-    stored = settle(df, "staged")
-    stored.coalesce(1).write.mode("overwrite").format(fmt).save(path)
-    release(df.sparkSession, "staged")
+    spark = df.sparkSession
+    staged = fresh_path(spark, "staged")
+    try:
+        df.write.parquet(staged)
+        spark.read.schema(df.schema).parquet(staged).coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    finally:
+        remove_folder(spark, staged)
 
 
 def write_noop(df: DataFrame) -> None:

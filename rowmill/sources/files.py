@@ -58,6 +58,19 @@ def make_folder(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+def list_numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the finished ``name=number`` folders of a path; a folder is finished once its writer
+    has committed it."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    return sorted(int(mark.getPath().getParent().getName().partition("=")[2]) for mark in found)
+
+
 def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """SRC16: the target's rows, or none on a first run.
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from rowmill.operators.groups import latest_rows
 from rowmill.session import session_settings
-from rowmill.sources.files import make_folder
+from rowmill.sources.files import list_numbered, make_folder
 
 STATE_PARTITIONS = "rowmill.state.partitions"
 
@@ -57,6 +59,78 @@ def stop(query: StreamingQuery, poll_seconds: float = 0.2) -> None:
     query.stop()
 
 
+def complete(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:
+    """ST13: run a stateful query to the end of what is there."""
+    with session_settings(spark, **stateful_settings(spark)):
+        finish(available_now(writer, checkpoint).start())
+
+
+def on_clock(writer: DataStreamWriter, checkpoint: str, interval: str, rows: int, patience: float = 300) -> list[dict]:
+    """ST12: run a query on its clock until its progress events say that it has read ``rows`` rows, then stop it
+    between two batches; those events, one for each batch with rows, come back.
+
+    A query that fails raises; one that has not read them within ``patience`` seconds is stopped and raises.
+    """
+    query = every(writer, checkpoint, interval).start()
+    events: dict[int, dict] = {}
+    until = time.monotonic() + patience
+    try:
+        while sum(event["numInputRows"] for event in events.values()) < rows:
+            if query.exception() is not None:
+                raise query.exception()
+            if time.monotonic() > until:
+                raise TimeoutError(f"{checkpoint}: {sum(e['numInputRows'] for e in events.values())} of {rows} rows")
+            events |= {event["batchId"]: event for event in query.recentProgress if event["numInputRows"]}
+            time.sleep(0.05)
+    finally:
+        stop(query)
+    return [events[batch] for batch in sorted(events)]
+
+
+def publish_snapshot(df: DataFrame, path: str) -> int:
+    """J12: a new version of a registry, beside the earlier ones; readers see it once it is complete."""
+    version = max(list_numbered(df.sparkSession, path, "version"), default=-1) + 1
+    df.write.parquet(f"{path.rstrip('/')}/version={version}")
+    return version
+
+
+def batch_snapshot(spark: SparkSession, path: str, used: str, batch_id: int, ddl: str) -> DataFrame:
+    """J12: the newest version of a registry, as a batch meets it.
+
+    Which one is noted below ``used`` before it is read: a batch that is replayed meets the same version,
+    however many have come since.  Without any version the registry is empty.
+    """
+    noted = f"{used.rstrip('/')}/batch={batch_id}"
+    if batch_id not in list_numbered(spark, used, "batch"):
+        newest = max(list_numbered(spark, path, "version"), default=-1)
+        spark.range(1).select(F.lit(newest).cast("long").alias("version")).write.mode("overwrite").parquet(noted)
+    version = spark.read.schema("version long").parquet(noted).first()["version"]
+    if version < 0:
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(f"{path.rstrip('/')}/version={version}")
+
+
+def with_registry(
+    stream: DataFrame, path: str, ddl: str, used: str, enrich: Callable[[DataFrame, DataFrame], DataFrame], sinks: list
+) -> DataStreamWriter:
+    """J12, ST22, ST23: the writer of an enrichment whose static side may change while it runs.
+
+    Every batch is enriched with the registry's newest version at that time and handed to the sinks, called
+    with (rows, batch id).
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        registry = batch_snapshot(batch.sparkSession, path, used, batch_id, ddl)
+        rows = enrich(batch, registry).persist()
+        try:
+            for sink in sinks:
+                sink(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    return stream.writeStream.foreachBatch(write)
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **options) -> None:
     """ST10, ST16: append to files whose log makes committed batches exactly once."""
     with session_settings(stream.sparkSession, **stateful_settings(stream.sparkSession)):
@@ -90,9 +164,7 @@ def newest_batch(written: DataFrame) -> DataFrame:
 
 def newest_version(written: DataFrame, keys: list[str]) -> DataFrame:
     """Update mode: the last row written per key."""
-    rest = [c for c in written.columns if c not in (*keys, "batch_id")]
-    newest = F.max(F.struct("batch_id", *rest)).alias("__row")
-    return written.groupBy(*keys).agg(newest).select(*keys, *[f"__row.{c}" for c in rest])
+    return latest_rows(written, keys, ["batch_id"]).drop("batch_id")
 
 
 def to_memory(stream: DataFrame, name: str, checkpoint: str, mode: str) -> DataFrame:

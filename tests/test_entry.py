@@ -10,12 +10,10 @@ from rowmill.session import session_settings
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-# Operators that need a port, a broker jar, a database or a wall clock: bindings, tested by name.
+# Operators that need a port or a database: bindings, tested by name.
 BOUND = {
     "SNK12": "test_jdbc_binding",
     "ST1": "test_socket_binding",
-    "ST12": "test_processing_time_trigger",
-    "ST14": "test_console_binding",
 }
 
 

@@ -12,6 +12,7 @@ from rowmill.functions import json as json_columns
 from rowmill.operators import groups, joins, layout, numbering, quality, radius
 from rowmill.operators.columns import flatten, suffixed
 from rowmill.registry import all_queries
+from rowmill.session import session_settings
 from rowmill.streaming import mobility
 
 SF = "/root/testdata/sf0.001"
@@ -124,6 +125,37 @@ def test_latest_rows_equal_row_number(spark, rows):
     assert rows(groups.latest_rows(df, ["k"], ["i"])) == rows(df.withColumn("n", number).where("n = 1").drop("n"))
 
 
+def test_latest_rows_settle_ties_and_copies(spark, rows):
+    data = [("a", 1, "x", 5.0), ("a", 3, "y", 1.0), ("a", 3, "z", 2.0), ("a", 3, "z", 2.0), (None, None, "n", None),
+            ("b", None, "p", 1.0), ("b", -1, "q", 2.0), ("c", 7, "r", 3.0), ("c", 7, "s", 3.0), ("c", 7, "r", 4.0)]
+    df = spark.createDataFrame(data, "k string, i int, s string, v double")
+    found = rows(groups.latest_rows(df, ["k"], ["i"]))
+    assert len(found) == 4 and {(r[0], r[1]) for r in found} == {("a", 3), (None, None), ("b", -1), ("c", 7)}
+    assert set(found) <= set(data) and rows(groups.latest_rows(df.repartition(7), ["k"], ["i"])) == found
+    assert rows(groups.latest_rows(df, ["k"], ["i", "v"])) == sorted(
+        [("a", 3, "z", 2.0), (None, None, "n", None), ("b", -1, "q", 2.0), ("c", 7, "r", 4.0)], key=repr)
+    # Text cannot be held by a hash aggregate.
+    assert ("a", 3, "z", 2.0) in rows(groups.latest_rows(df, ["k"], ["s"]))
+    assert rows(groups.latest_rows(df.where("false"), ["k"], ["i"])) == []
+
+
+def test_latest_rows_sort_no_whole_rows(spark):
+    """No plan of the queries over latest rows has a sort-based aggregate."""
+    held, real = [], groups.settle
+
+    def noted(df, *args):
+        held.append(layout.plan_text(df, "simple"))
+        return real(df, *args)
+
+    groups.settle = noted
+    try:
+        for name in ("win_latest", "agg_last"):
+            held.append(layout.plan_text(all_queries()[name].run(spark, SF), "simple"))
+    finally:
+        groups.settle = real
+    assert len(held) >= 4 and not any("SortAggregate" in plan for plan in held)
+
+
 def test_nth_rows_limit_before_the_shuffle(spark):
     df = all_queries()["win_nth"].run(spark, SF)
     plan = layout.plan_text(df, "simple")
@@ -175,9 +207,31 @@ def test_salted_join_equals_join(spark, rows, how):
 def test_skew_join_equals_join(spark, rows, how):
     big = skewed(spark)
     small = spark.createDataFrame([("hot", 1), ("hot", 5), ("a", 2), ("z", 3), (None, 4)], "k string, w int")
-    found = joins.skew_join(big, small, "k", 5, ["i"], how, share=0.3)
+    found = joins.skew_join(big, small, "k", ["i"], how, parts=5)
     assert rows(found) == rows(big.join(small, "k", how))
-    assert rows(joins.hot_keys(big, "k", 0.3)) == [("hot",)]
+    assert "hot" in {r.k: r["__salts"] for r in joins.key_salts(big, "k", 5).collect() if r["__salts"] > 1}
+    assert rows(joins.skew_join(big.where("false"), small, "k", ["i"], how)) == []
+
+
+def test_skew_join_balances_a_left_join_of_mostly_null_keys(spark, rows):
+    """90 % of the rows have no key and go around the shuffle; one key holds 30 % of the others."""
+    n = 40_000
+    share = F.pmod(F.xxhash64("i"), F.lit(1000))
+    key = F.when(share < 900, None).when(share < 930, F.lit(-1)).otherwise(F.col("i"))
+    big = spark.range(n).withColumnRenamed("id", "i").select(key.alias("k"), "i")
+    small = spark.range(-1, n).selectExpr("id as k", "id * 2 as w")
+    found = joins.skew_join(big, small, "k", ["i"], "left", parts=8)
+    assert rows(found) == rows(big.join(small, "k", "left"))
+    known = big.where("k is not null")
+    salted = known.join(joins.key_salts(big, "k", 8), "k", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("i"), F.coalesce("__salts", F.lit(1)))
+    )
+    parts = salted.repartition(8, "k", "salt").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) <= 2 * known.count() / 8
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        plan = layout.plan_text(joins.skew_join(big, small, "k", ["i"], "left", parts=8), "simple")
+    around = plan[plan.rindex("isnull"):]
+    assert "Union" in plan and "Exchange" not in around
 
 
 def test_salts_spread_the_hot_key(spark):
@@ -190,7 +244,7 @@ def test_salts_spread_the_hot_key(spark):
 
 def test_salt_refuses_other_joins(spark):
     with pytest.raises(ValueError):
-        joins.skew_join(spark.range(1), spark.range(1), "id", 2, ["id"], "full")
+        joins.skew_join(spark.range(1), spark.range(1), "id", ["id"], "full")
     with pytest.raises(ValueError):
         joins.salted_join(spark.range(1), spark.range(1), "id", 2, ["id"], "full")
 
@@ -220,10 +274,71 @@ def test_radius_join_equals_theta_join(spark, rows):
     assert len(expected) > 200
     for salts in (1, 3):
         assert rows(radius.radius_join(p, r, salts=salts), "point_id", "r") == expected
+    for most in (1, 3, 1000):
+        leaves = radius.crowded_cells(r, most)
+        assert rows(radius.radius_join(p, r, crowded=leaves), "point_id", "r") == expected
     assert "Cartesian" not in layout.plan_text(radius.radius_join(p, r), "simple")
     assert "NestedLoop" not in layout.plan_text(radius.radius_join(p, r), "simple")
 
 
+def test_crowded_cell_is_divided_without_salts(spark, rows):
+    """One cell holds nearly all readings: both sides are keyed by leaves, and no leaf keeps more than asked for."""
+    draw = random.Random(12)
+    crowd = [(i, 0.001 + draw.random() * 0.004, 0.001 + draw.random() * 0.003) for i in range(3000)]
+    far = [(10_000 + i, draw.uniform(1, 2), draw.uniform(1, 2)) for i in range(100)]
+    r = spark.createDataFrame(crowd + far, "r int, longitude double, latitude double")
+    p = spark.createDataFrame([(i, draw.uniform(-0.006, 0.012), draw.uniform(-0.006, 0.01)) for i in range(60)], "id int, longitude double, latitude double")
+    leaves = radius.crowded_cells(r, 200)
+    held = leaves.collect()
+    assert len(held) == 1 and held[0]["__level"] >= 2 and held[0]["__salts"] == 1
+    near = radius.planar_distance(F.col("p.longitude") - F.col("r.longitude"), F.col("p.latitude") - F.col("r.latitude")) < 0.0045
+    expected = rows(p.alias("p").join(r.alias("r"), near).select("p.id", "r.r"))
+    joined = radius.radius_join(p, r, crowded=leaves)
+    assert rows(joined, "point_id", "r") == expected
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = layout.plan_text(radius.radius_join(p, r, crowded=leaves), "simple")
+    dealt = plan[plan.index("SortMergeJoin"):]
+    assert "__i" in dealt.split("]")[0] and "__j" in dealt.split("]")[0] and "Cartesian" not in plan
+    # One place that sends everything can't be divided: it is dealt among salts.
+    same = spark.createDataFrame([(i, 0.5, 0.5) for i in range(900)], "r int, longitude double, latitude double")
+    assert [(x["__level"], x["__salts"]) for x in radius.crowded_cells(same, 100).collect()] == [(radius.LEVELS, 9)]
+    spot = spark.createDataFrame([(1, 0.5, 0.501)], "id int, longitude double, latitude double")
+    assert radius.radius_join(spot, same, crowded=radius.crowded_cells(same, 100)).count() == 900
+    assert radius.crowded_cells(r.where("false"), 5).count() == 0
+
+
+def test_points_are_broadcast_by_their_size_after_the_copies(spark):
+    """Points that Catalyst would broadcast are not, once they are nine times as many."""
+    p = spark.range(3000).selectExpr("id", "id * 0.01 as longitude", "id * 0.01 as latitude")
+    r = spark.range(10).selectExpr("id as r", "id * 0.01 as longitude", "id * 0.01 as latitude")
+    size = layout.plan_bytes(p)
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold=size * 4):
+        assert "SortMergeJoin" in layout.plan_text(radius.radius_join(p, r), "simple")
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold=size * 40):
+        assert "BroadcastHashJoin" in layout.plan_text(radius.radius_join(p, r), "simple")
+
+
+def test_measured_sizes(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").repartition(8)
+    cached, sampled = layout.cached_bytes(lines), layout.sampled_bytes(lines, 0.3)
+    assert cached > 0 and abs(sampled - cached) < 0.25 * cached
+    assert lines.storageLevel.useMemory is False
+    kept = lines.limit(50).persist()
+    try:
+        assert 0 < layout.cached_bytes(kept) < cached and kept.is_cached
+    finally:
+        kept.unpersist()
+    assert layout.sampled_bytes(lines.where("false"), 0.5) == 0
+    assert layout.sampled_bytes(spark.createDataFrame([(1,)], "a int"), 1e-6) > 0
+    assert layout.advised_partitions(lines, 1000, size_bytes=4001) == 5
+    with pytest.raises(ValueError):
+        layout.sampled_bytes(lines, 0.0)
+    small = spark.createDataFrame([(1,)], "l_orderkey bigint")
+    with session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert "Broadcast" in layout.plan_text(joins.join_small(lines, small, "l_orderkey", size_bytes=10), "simple")
+        assert "Broadcast" not in layout.plan_text(joins.join_small(lines, small, "l_orderkey", size_bytes=1 << 40), "simple")
+
+
 def test_fusion_golden(spark, rows):
     points = spark.createDataFrame([(1, "A", 0.0, 0.0), (2, "B", 0.5, 0.001)], "id int, name string, longitude double, latitude double")
     data = [(0.5, 0.001, 0.0), (0.7, 0.004, 0.0), (None, 0.0, 0.0), (0.9, 0.5, 0.0)]
@@ -248,12 +363,14 @@ def test_range_join_golden(spark):
 
 # --- aggregation --------------------------------------------------------------------------------
 
-def test_marks_pivot(spark):
-    data = [("a", "MATH", 1), ("a", "PHY", 2), ("b", "PHY", 3)]
-    df = spark.createDataFrame(data, "name string, subject string, marks int")
-    given = df.groupBy("name").pivot("subject", ["MATH", "PHY"]).agg(F.sum("marks"))
-    found = df.groupBy("name").pivot("subject").agg(F.sum("marks"))
-    assert sorted(map(tuple, given.collect())) == sorted(map(tuple, found.collect())) == [("a", 1, 2), ("b", None, 3)]
+def test_pivot_finds_the_listed_values(spark):
+    """Litres of milk per stall and weekday, one stall closed on a day."""
+    sold = [("hill", "mon", 40), ("hill", "mon", 2), ("hill", "sat", 75), ("mill", "sat", 9), ("mill", None, 1)]
+    milk = spark.createDataFrame(sold, "stall string, day string, litres int").groupBy("stall")
+    listed = milk.pivot("day", ["mon", "sat"]).agg(F.sum("litres"))
+    assert sorted(map(tuple, listed.collect())) == [("hill", 42, 75), ("mill", None, 9)]
+    found = milk.pivot("day").agg(F.sum("litres"))
+    assert sorted(tuple(r[c] for c in ("stall", "mon", "sat")) for r in found.collect()) == [("hill", 42, 75), ("mill", None, 9)]
 
 
 def test_group_total_reuses_the_group_sums(spark):

@@ -5,10 +5,12 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rowmill.apps.siblings import sibling_title_pairs, title_summaries
+from rowmill.operators import pairs
 from rowmill.operators.pairs import banded_label_pair_counts, label_pair_counts, years_position
 
 
@@ -46,6 +48,39 @@ def test_banded_counts_equal_brute_force(spark, rows, seed, width):
     assert rows(found) == sorted(((*pair, n) for pair, n in expected.items()), key=repr)
 
 
+@pytest.mark.parametrize("span,labels", [(300, "xy"), (40, "abcdefghijkl"), (5000, "x")])
+def test_crowded_key_by_running_sums_equals_pairs(monkeypatch, spark, rows, span, labels):
+    """A key with more merged rows than are paired one by one, and rows dealt out in small steps."""
+    draw = random.Random(span)
+    data = [("hot" if i % 3 else f"k{i % 7}", draw.choice([*labels, None]), draw.randrange(span)) for i in range(900)]
+    expected = Counter()
+    for a, b in itertools.product(data, data):
+        if a[0] == b[0] and abs(a[2] - b[2]) < 17:
+            expected[ordered(a[1], b[1])] += 1
+    df = spark.createDataFrame(data, "k string, label string, pos int")
+    ordinary = rows(banded_label_pair_counts(df, ["k"], "label", F.col("pos"), 17))
+    assert ordinary == sorted(((*pair, n) for pair, n in expected.items()), key=repr)
+    monkeypatch.setattr(pairs, "MANY_ROWS", 8)
+    monkeypatch.setattr(pairs, "MOST_PAIRS", 50)
+    merged = Counter((k, p, l) for k, l, p in data)
+    order = sorted(merged, key=lambda m: (m[0], m[1], repr(m[2])))
+    names = sorted({m[2] for m in order}, key=repr)
+    codes = [np.array(list(c)) for c in zip(*[(["hot", *(f"k{i}" for i in range(7))].index(k), p, names.index(l), merged[k, p, l]) for k, p, l in order])]
+    by_key = np.argsort(codes[0], kind="stable")
+    one, other, counted = pairs.frame_products(*[c[by_key] for c in codes], 17, np.ones(len(order), np.int64))
+    found = Counter()
+    for i, j, n in zip(one, other, counted):
+        found[ordered(names[i], names[j])] += int(n)
+    assert found == expected
+
+
+def test_positions_far_apart_do_not_overflow(spark, rows):
+    data = [("k", "x", -(1 << 62)), ("k", "y", 1 << 61), ("k", "x", (1 << 61) + 3), ("l", "x", 5), ("l", "x", 5)]
+    df = spark.createDataFrame(data, "k string, label string, pos bigint")
+    assert rows(banded_label_pair_counts(df, ["k"], "label", F.col("pos"), 10)) == [("x", "x", 6), ("x", "y", 2), ("y", "y", 1)]
+    assert rows(banded_label_pair_counts(df.where("false"), ["k"], "label", F.col("pos"), 10)) == []
+
+
 def test_label_pairs_equal_brute_force(spark, rows):
     data = [("hot", None), ("hot", "x"), ("hot", "y"), ("hot", "y"), ("k", "x"), (None, "x")]
     expected = Counter()
