@@ -88,7 +88,8 @@ class Rows:
 
     def scores(self, which: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Integer inner products; ``exact`` was chosen so that none of them is rounded."""
-        return np.rint(self.values[which] @ values.T).astype(np.int64)
+        found = self.values[which] @ values.T
+        return found if found.dtype == np.int64 else np.rint(found).astype(np.int64)
 
 
 def score_bounds(
@@ -271,9 +272,10 @@ def mine(
     smaller key.  An anchor's positives are its first ``positives`` rows of the same label with another key;
     for each, the first ``negatives`` rows of other labels with ``low`` * positive <= 100 * negative <=
     ``high`` * positive are returned.  Rows with a NULL key, label or vector take no part.  Rows that repeat
-    with key, label and vector count once; of a key with unlike rows each one counts.  Shorter vectors count
+    with key, label and vector count once; of a key with unlike rows each one counts, but only the first of
+    them, by label and then by its bytes, is an anchor.  Shorter vectors count
     as ending in zeros.  An empty table gives no rows, other columns are not read.  Vectors whose scores could
-    pass 2**46 raise an error.
+    pass 2**56 raise an error, since a hundred times a score must fit in 63 bits.
 
     Rows are dealt twice into groups of at most about HELD: by label for positives, by nearest direction
     for negatives; an anchor is sent to the groups that its bounds reach.  So a hot label or a vector that
@@ -289,10 +291,11 @@ def mine(
     size = F.coalesce(F.array_max(F.transform("q", lambda x: F.abs(x))), F.lit(0))
     n, dim, largest = taken.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("q")), F.lit(0)), F.coalesce(F.max(size), F.lit(0))).first()
     dim = max(dim, 1)
-    if dim * largest**2 >= 1 << 46:
-        raise ValueError("scores of these vectors could pass 2**46")
+    most = dim * largest**2
+    if most >= 1 << 56:
+        raise ValueError("scores of these vectors could pass 2**56")
     # The sums of products are whole numbers, exact in the type that holds the largest of them.
-    exact = "float32" if dim * largest**2 < 1 << 24 else "float64"
+    exact = "float32" if most < 1 << 24 else "float64" if most < 1 << 53 else "int64"
     sample = taken.orderBy(F.xxhash64("key", "label"), "key").limit(SAMPLE).select("q").toArrow().column("q").combine_chunks()
     sample = sample if isinstance(sample, pa.Array) else sample.chunk(0)
     directions = _directions(_matrix(sample, dim).astype(float)) if n else np.zeros((0, dim))
@@ -322,7 +325,8 @@ def mine(
     held = min(HELD, max(LEAST_HELD, -(-n // tasks)))
     no_goals = F.array().cast("array<struct<low:long,high:long>>").alias("goals")
     columns = ["key", "label", "q", "norm", "angles", "cell", "order"]
-    looking = kept.where("is_anchor")
+    own_row = F.min(F.struct("label", "q", "norm", "angles", "cell", "order")).alias("row")
+    looking = settle(kept.where("is_anchor").groupBy("key").agg(own_row).select("key", "row.*"), "anchors")
 
     by_label = settle(_numbered(kept, "label", held).select(*columns, no_goals, "group"), "by-label")
     own_groups = settle(by_label.select("label", "group").distinct(), "label-groups")
@@ -330,7 +334,7 @@ def mine(
     found = settle(_meet(by_label, sent, _find_positives, positives, shape), "positive-candidates")
     best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "key")))
     chosen = found.groupBy("anchor").agg(F.slice(best, 1, positives).alias("best"))
-    hundredths = lambda x: ((x - F.pmod(x, F.lit(100))) / 100).cast("long")
+    hundredths = lambda x: F.call_function("div", x - F.pmod(x, F.lit(100)), F.lit(100)).cast("long")
     goal = lambda p: F.struct(
         hundredths(99 - p["minus"] * low).alias("low"), hundredths(-p["minus"] * high).alias("high")
     )

@@ -97,7 +97,7 @@ FROM p LEFT JOIN h ON h.page_id = p.page_id AND h.rank = 1
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_records(table(spark, sf_dir, "documents"), [1.0] * SHARDS, 1.0)
-    return placed.withColumn("law", F.lit("key"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

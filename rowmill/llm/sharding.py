@@ -8,13 +8,9 @@ from pyspark.sql import functions as F
 from rowmill.session import settle
 
 
-def rendezvous_shard(key: Column, weights: list[float]) -> Column:
-    """The shard whose score is highest for this key.
-
-    Shard ``s`` scores ``-weight / ln(u)`` with ``u`` in (0, 1) taken from a hash of key and shard, so
-    shards win keys in proportion to their weights, and a shard that is added or grows only takes
-    keys while one that goes only gives its own away.  NULL keys share one shard.
-    """
+def rendezvous_scores(key: Column, weights: list[float]) -> Column:
+    """(score, order) of every shard for a key: ``-weight / ln(u)`` with ``u`` in (0, 1) taken from a hash of key
+    and shard.  Of two shards that tie the lower number comes first.  NULL keys count as empty."""
     if not weights or min(weights) < 0 or max(weights) <= 0:
         raise ValueError("weights are not negative and at least one is positive")
     name = F.coalesce(key.cast("string"), F.lit(""))
@@ -24,10 +20,18 @@ def rendezvous_shard(key: Column, weights: list[float]) -> Column:
     def score(shard: Column) -> Column:
         digest = F.md5(F.concat_ws(":", name, shard.cast("string")))
         draw = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
-        # Two shards that tie go to the lower number.
         return F.struct((-weight[shard] / F.ln(draw)).alias("score"), (-shard).alias("order"))
 
-    return -F.array_max(F.transform(shards, score))["order"]
+    return F.transform(shards, score)
+
+
+def rendezvous_shard(key: Column, weights: list[float]) -> Column:
+    """The shard whose score is highest for this key.
+
+    Shards win keys in proportion to their weights, and a shard that is added or grows only takes keys
+    while one that goes only gives its own away.  NULL keys share one shard.
+    """
+    return -F.array_max(rendezvous_scores(key, weights))["order"]
 
 
 def place(rows: DataFrame, key: str, shard: str, slot: str) -> DataFrame:
@@ -60,12 +64,17 @@ def shard_records(
     rows, other columns are not read.
     """
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(
+    # One score per shard serves both choices; stored, since finding the ranges reads the rows once more.
+    scored = docs.select(
         F.col(key).alias("__key"),
         (F.octet_length(content) + 16).cast("long").alias("size"),
         F.crc32(content.cast("binary")).cast("long").alias("text_crc32"),
-        rendezvous_shard(F.col(key), weights).alias("shard"),
-        rendezvous_shard(F.col(key), [*weights, grown_by]).alias("grown_shard"),
+        rendezvous_scores(F.col(key), [*weights, grown_by]).alias("__scores"),
     )
+    chosen = lambda scores: -F.array_max(scores)["order"]
+    rows = settle(scored.select(
+        "__key", "size", "text_crc32", chosen(F.slice("__scores", 1, len(weights))).alias("shard"),
+        chosen(F.col("__scores")).alias("grown_shard"),
+    ), "shards")
     placed = place(rows, "__key", "shard", "slot")
     return placed.select(F.col("__key").alias(key), "size", "text_crc32", "shard", F.col("slot").cast("long"), "grown_shard")
