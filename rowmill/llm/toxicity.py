@@ -230,6 +230,12 @@ def train(
 
     fitted = rows.where("__fit").select("__text", "__label").mapInArrow(measured, "x array<double>, y int").collect()
     weights = _fit(np.array([r["x"] for r in fitted]), np.array([r["y"] for r in fitted], float))
+    # The sample holds as many of each class as it may, so its share of toxic texts is not the labels': the odds of
+    # a score are those of all labels, whether the sample's bound was reached or not.
+    each = labels.where(F.col(key).isNotNull()).groupBy(F.col(label).cast("int").alias("y")).agg(F.count_distinct(key).alias("n"))
+    every = {r["y"]: r["n"] for r in each.collect()}
+    taken = {value: min(1.0, per_class / every[value]) for value in (0, 1)}
+    weights[0] += math.log(taken[0] / taken[1])
     return Model(ordinary, toxic, tuple(weights.tolist()))
 
 
