@@ -9,6 +9,7 @@ from rowmill.functions.dates import date_from_parts
 from rowmill.functions.numbers import percentage, ratio
 from rowmill.functions.text import pair_key
 from rowmill.operators.groups import running_ratios, with_group_values
+from rowmill.session import settle
 from rowmill.sinks.files import write_partitioned, write_table
 
 MEASURES = ["trip_duration_hours", "delay_start_minutes", "delay_end_minutes", "travelled_distance_km"]
@@ -24,7 +25,8 @@ def clean_trips(raw: DataFrame, distance_fill: str = "travelled_distance_km") ->
     A missing duration or distance takes its line's mean; both means come from one aggregate.
     ``distance_fill="trip_duration_hours"`` fills distances from the mean duration instead.
     """
-    typed = regular(raw).withColumns({c: F.col(c).try_cast("double") for c in MEASURES})
+    # Text is parsed once: the means and the rows that they fill are read from typed columns.
+    typed = settle(regular(raw).withColumns({c: F.col(c).try_cast("double") for c in MEASURES}), "typed-trips")
     filled = with_group_values(
         typed, ["line_number"],
         __duration=F.avg("trip_duration_hours"), __distance=F.avg(distance_fill),

@@ -6,6 +6,8 @@ come from and go to is bound by ``start`` or by a test.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -57,6 +59,20 @@ def start(rows: DataFrame, stage: str, sink: dict[str, str], checkpoint: str) ->
     return run.every(run.to_topic(rows, sink), checkpoint, TRIGGERS[stage]).start()
 
 
+def start_refreshed(
+    messages: DataFrame, stage: str, enrich: Callable[[DataFrame, DataFrame], DataFrame], registry: str, ddl: str,
+    sink: dict[str, str], checkpoint: str,
+) -> StreamingQuery:
+    """Run an enrichment whose registry is a folder of versions: each batch meets the newest one, so what is
+    registered after the start is seen.  Which version a batch has used is noted beside the checkpoint."""
+
+    def send(rows: DataFrame, batch_id: int) -> None:
+        rows.write.format("kafka").options(**sink).save()
+
+    writer = run.with_registry(messages, registry, ddl, f"{checkpoint}-registry", enrich, [send])
+    return run.every(writer, checkpoint, TRIGGERS[stage]).start()
+
+
 def fusion_writer(
     points: DataFrame, topics: list[DataFrame], state: str, sinks: list[places.Sink],
     window: str | None = None, lateness: str = "10 minutes", silent: int | None = None,

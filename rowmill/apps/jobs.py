@@ -38,15 +38,23 @@ def run_traffic_maxima(spark: SparkSession, args) -> None:
     city.save_hourly_maxima(spark.read.parquet(args.input), args.output)
 
 
+def _publish(spark: SparkSession, args, added: bool, ddl: str) -> None:
+    """Give running streams the registry's new version, if rows were added."""
+    if args.snapshots and added:
+        run.publish_snapshot(spark.read.schema(ddl).parquet(args.output), args.snapshots)
+
+
 def run_locations(spark: SparkSession, args) -> None:
-    _, rejected = city.register_locations(spark, args.input, args.version_pattern, args.output)
+    added, rejected = city.register_locations(spark, args.input, args.version_pattern, args.output)
+    _publish(spark, args, added, schemas.TRAFFIC_LOCATIONS)
     rejected.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}-rejected")
 
 
 def run_parkings(spark: SparkSession, args) -> None:
     replies = files.read_json_documents(spark, args.input, schemas.PARKING_REPLY)
     details = files.read_json_documents(spark, args.details, schemas.PARKING_DETAIL_REPLY)
-    city.register_parkings(city.parking_sites(replies, details), args.output)
+    added = city.register_parkings(city.parking_sites(replies, details), args.output)
+    _publish(spark, args, added, schemas.PARKING_REGISTRY)
 
 
 def run_points(spark: SparkSession, args) -> None:
@@ -77,26 +85,31 @@ def run_metadata(spark: SparkSession, args) -> None:
 
 def run_stream(spark: SparkSession, args) -> None:
     topics = [kafka_stream(spark, args.servers, topic, args.per_trigger) for topic in args.topics]
-    if args.stage == "bikes":
-        rows = city_streams.bikes_stage(topics[0])
-    elif args.stage == "parking":
-        rows = city_streams.parking_stage(topics[0], spark.read.parquet(args.registry))
-    elif args.stage == "traffic":
-        rows = city_streams.traffic_stage(
-            topics[0], spark.read.parquet(args.registry), spark.read.parquet(args.maxima)
-        )
     sink = kafka_sink_options(args.servers, args.out_topic)
     with session_settings(spark, **run.stateful_settings(spark, args.state_partitions)):
-        if args.stage == "fusion":
-            points = spark.read.parquet(args.registry)
-            query = city_streams.start_fusion(
-                points, topics, sink, args.checkpoint, args.window, args.lateness, args.silent_batches
-            )
-        else:
-            query = city_streams.start(rows, args.stage, sink, args.checkpoint)
+        query = _start_stage(spark, args, topics, sink)
     run.finish(query)
 
 
+def _start_stage(spark: SparkSession, args, topics: list, sink: dict[str, str]):
+    if args.stage == "fusion":
+        points = spark.read.parquet(args.registry)
+        return city_streams.start_fusion(
+            points, topics, sink, args.checkpoint, args.window, args.lateness, args.silent_batches
+        )
+    if args.stage == "bikes":
+        return city_streams.start(city_streams.bikes_stage(topics[0]), args.stage, sink, args.checkpoint)
+    if args.stage == "parking":
+        enrich, ddl = city_streams.parking_stage, schemas.PARKING_REGISTRY
+    else:
+        hourly, ddl = spark.read.parquet(args.maxima), schemas.TRAFFIC_LOCATIONS
+        enrich = lambda messages, locations: city_streams.traffic_stage(messages, locations, hourly)
+    if args.refresh:
+        return city_streams.start_refreshed(topics[0], args.stage, enrich, args.registry, ddl, sink, args.checkpoint)
+    rows = enrich(topics[0], spark.read.schema(ddl).parquet(args.registry))
+    return city_streams.start(rows, args.stage, sink, args.checkpoint)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowmill")
     commands = top.add_subparsers(dest="command", required=True)
@@ -112,8 +125,9 @@ def parser() -> argparse.ArgumentParser:
     batch("bus-trips", run_bus_trips, table={"default": "intermediate"})
     batch("traffic-history", run_traffic_history)
     batch("traffic-maxima", run_traffic_maxima)
-    batch("locations", run_locations, version_pattern={"default": r"-(\d+)-"})
-    batch("parkings", run_parkings, details={"required": True})
+    snapshots = {"help": "folder of registry versions for streams run with --refresh"}
+    batch("locations", run_locations, version_pattern={"default": r"-(\d+)-"}, snapshots=snapshots)
+    batch("parkings", run_parkings, details={"required": True}, snapshots=snapshots)
     batch("points", run_points, source={"required": True})
     batch("siblings", run_siblings, department={"type": int}, schema={"default": schemas.EMPLOYEE_RECORDS})
     batch("word-count", run_word_count)
@@ -133,6 +147,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--maxima", help="output of traffic-maxima")
     stream.add_argument("--state-partitions", type=int, required=True, help="kept in the checkpoint for the life of the query")
     stream.add_argument("--per-trigger", type=int, help="most messages of a topic in one batch")
+    stream.add_argument("--refresh", action="store_true", help="parking, traffic: the registry is a folder of versions, read anew by each batch")
     stream.add_argument("--window", help="fusion: means of windows such as '1 hour' by the messages' time, not since the start")
     stream.add_argument("--lateness", default="10 minutes", help="fusion: how long a window waits for late messages")
     stream.add_argument("--silent-batches", type=int, help="fusion: batches after which a silent place counts no more")

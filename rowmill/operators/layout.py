@@ -106,6 +106,14 @@ def advised_partitions(df: DataFrame, target_bytes: int | None = None, size_byte
     return max(1, math.ceil((plan_bytes(df) if size_bytes is None else size_bytes) / target_bytes))
 
 
+def small_pandas(df: DataFrame, most: int):
+    """PHY12, SRC4: a frame of at most ``most`` rows as a pandas frame; one row more raises, and no more are sent."""
+    rows = df.limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return rows
+
+
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """PHY10: the plan as text, for assertions about pushed filters, exchanges and join kinds."""
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

@@ -86,6 +86,22 @@ def ml_linear_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("ML2", """
+    WITH s AS (SELECT l_quantity AS x, l_extendedprice / 20000 AS y FROM lineitem),
+    m AS (SELECT corr(x, y) AS r, stddev_samp(x) AS sx, stddev_samp(y) AS sy, avg(x) AS mx, avg(y) AS my, (count(*) - 1) / count(*) AS u FROM s),
+    b AS (SELECT *, sign(r) * greatest(abs(r) * u - 0.3 * 0.8 / sy, 0) / (u + 0.3 * 0.2 / sy) * sy / sx AS slope FROM m)
+    SELECT round(slope, 5) AS slope, round(my - slope * mx, 4) AS intercept FROM b
+""")
+def ml_linear_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column under the same penalty: its coefficient is the correlation, cut by the first part and shrunk by
+    the second, both in units of the standardised price."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 20000).alias("price"))
+    model = models.fit_linear(models.assemble(lines, ["l_quantity"], "price"), maxIter=100, tol=1e-10)
+    return spark.range(1).select(
+        F.lit(round(float(model.coefficients[0]), 5)).alias("slope"), F.lit(round(float(model.intercept), 4)).alias("intercept")
+    )
+
+
 def _returned() -> Column:
     return F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowmill import schemas
 from rowmill.apps import city
 from rowmill.functions import json as json_columns
+from rowmill.operators.layout import small_pandas
 from rowmill.registry import query, table
 from rowmill.session import fresh_path
 from rowmill.sinks.files import write_files, write_partitioned
@@ -51,10 +52,10 @@ def src_literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SRC3", "SELECT c_mktsegment AS segment, count(*) AS customers FROM customer GROUP BY 1")
 def src_rows_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An RDD of tuples turned into a table by column names, for callers that hold an RDD."""
-    pairs = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").rdd.map(tuple)
-    segments = pairs.toDF("key bigint, segment string")
-    return segments.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
+    """An RDD of tuples turned into a table by column names, for callers that hold an RDD: one row per group, since
+    every row of an RDD goes through Python."""
+    counted = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)))
+    return counted.rdd.map(tuple).toDF("segment string, customers bigint")
 
 
 @query("SRC4", """
@@ -65,7 +66,7 @@ def src_rows_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_pandas_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pandas frame of one row per priority, joined back to the table it describes."""
     orders = table(spark, sf_dir, "orders")
-    per_priority = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    per_priority = small_pandas(orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")), 1000)
     weights = spark.createDataFrame(per_priority, "o_orderpriority string, orders_of_priority bigint")
     return orders.join(weights, "o_orderpriority").groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.sum("orders_of_priority").alias("weight")

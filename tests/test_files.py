@@ -15,6 +15,7 @@ from rowmill.operators import quality
 from rowmill.session import build_session, fresh_path, shared_root
 from rowmill.sinks import files as sinks
 from rowmill.sinks import topics
+from rowmill.sinks import unseen
 from rowmill.sinks.unseen import append_unseen, without_key
 from rowmill.sources import files, nested, streams
 
@@ -102,6 +103,66 @@ def test_append_unseen_is_idempotent(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, 2), (2, 5), (3, 9)]
 
 
+def test_two_interleaved_runs_store_a_key_once(spark, tmp_path):
+    path, ddl = str(tmp_path / "r"), "id int, v int"
+    assert append_unseen(spark.createDataFrame([(0, 0)], ddl), path, ddl, ["id"], ["v"])
+    slow = unseen.stage_unseen(spark.createDataFrame([(1, 1), (2, 1), (3, 1)], ddl), path, ddl, ["id"], ["v"])
+    late = unseen.stage_unseen(spark.createDataFrame([(2, 3)], ddl), path, ddl, ["id"], ["v"])
+    assert append_unseen(spark.createDataFrame([(2, 2), (4, 2)], ddl), path, ddl, ["id"], ["v"])
+    assert unseen.commit_unseen(slow) and not unseen.commit_unseen(late)
+    expected = [(0, 0), (1, 1), (2, 2), (3, 1), (4, 2)]
+    assert sorted(map(tuple, spark.read.schema(ddl).parquet(path).collect())) == expected
+    # A writer that ended between its commit and its publication: the next run publishes.
+    staged = unseen.stage_unseen(spark.createDataFrame([(5, 5)], ddl), path, ddl, ["id"], ["v"])
+    publish, unseen.Commits.publish = unseen.Commits.publish, lambda self, record: None
+    try:
+        assert unseen.commit_unseen(staged)
+    finally:
+        unseen.Commits.publish = publish
+    assert spark.read.schema(ddl).parquet(path).count() == 5
+    assert not append_unseen(spark.createDataFrame([(5, 6)], ddl), path, ddl, ["id"], ["v"])
+    assert sorted(map(tuple, spark.read.schema(ddl).parquet(path).collect())) == [*expected, (5, 5)]
+
+
+def test_a_run_reads_only_buckets_of_candidates(spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "r"), "id int, v int"
+    asked, real = [], unseen.Commits.index
+
+    def noted(self, records, part, ddl):
+        asked.append(part)
+        return real(self, records, part, ddl)
+
+    monkeypatch.setattr(unseen.Commits, "index", noted)
+    monkeypatch.setattr(unseen, "MERGE_EVERY", 3)
+    for start in range(0, 500, 100):
+        rows = spark.range(start, start + 100).selectExpr("cast(id as int) as id", "1 as v")
+        assert append_unseen(rows, path, ddl, ["id"], ["v"])
+    records = unseen.Commits(spark, path).since_merge(4)
+    assert [r["merged"] for r in records] == [False, False, True]
+    # All keys are new to the filter, but for the few it mistakes: no more than their buckets are read.
+    asked.clear()
+    new = spark.range(10_000, 10_040).selectExpr("cast(id as int) as id", "1 as v")
+    staged = unseen.stage_unseen(new, path, ddl, ["id"], ["v"])
+    assert staged.rows.count() == 40 and asked in (["bits"], ["bits", "keys"])
+    bits = real(staged.commits, records, "bits", "block int, w0 long, w1 long, w2 long, w3 long")
+    old = spark.range(500).selectExpr("cast(id as int) as id")
+    assert unseen.may_be_stored(old, bits, ["id"]).where("not __may").isEmpty()
+    assert unseen.may_be_stored(spark.range(1000, 9000).selectExpr("cast(id as int) as id"), bits, ["id"]).where("__may").count() < 80
+    plans, settled = [], unseen.settle
+    monkeypatch.setattr(unseen, "settle", lambda df, *a: plans.append(df._jdf.queryExecution().toString()) or settled(df, *a))
+    one = spark.createDataFrame([(7, 9)], ddl)
+    assert unseen.stage_unseen(one, path, ddl, ["id"], ["v"]).rows.isEmpty()
+    scans = [line for plan in plans for line in plan.split("\n") if "FileScan" in line and "bucket#" in line.partition("Batched")[0]]
+    assert scans and all("bucket#" in line.partition("PartitionFilters: [")[2].partition("]")[0] for line in scans)
+
+
+def test_a_target_without_commits_is_adopted(spark, tmp_path):
+    path, ddl = str(tmp_path / "r"), "id int, v int"
+    spark.createDataFrame([(1, 1), (2, 2)], ddl).write.parquet(path)
+    assert append_unseen(spark.createDataFrame([(2, 5), (3, 3)], ddl), path, ddl, ["id"], ["v"])
+    assert sorted(map(tuple, spark.read.schema(ddl).parquet(path).collect())) == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_rows_without_key_are_returned_not_appended(spark, tmp_path):
     path, ddl = str(tmp_path / "r"), "id int, v int"
     rows = spark.createDataFrame([(None, 1), (None, 2), (7, 3)], ddl)
