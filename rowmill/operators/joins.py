@@ -58,14 +58,15 @@ def salted_join(
 
 
 def key_salts(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """(key, __salts) of the keys that hold more than an even share of the rows, one ``parts``-th: among how
-    many tasks each is dealt so that none gets more than such a share.
+    """(key, __salts) of the keys that hold more than a quarter of an even share of the rows, one ``parts``-th:
+    into how many pieces of about such a quarter each is dealt.  Pieces are placed by hash, and a task that
+    gets two small ones is not as full as one that gets two large ones.
 
-    Counted exactly, with map-side partials; fewer than ``parts`` keys are that frequent, always.
+    Counted exactly, with map-side partials; fewer than 4 * ``parts`` keys are that frequent, always.
     """
     counts = settle(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
     total = counts.agg(F.sum("__n")).first()[0] or 0
-    share = max(1, -(-total // parts))
+    share = max(1, -(-total // (4 * parts)))
     hot = counts.where(F.col("__n") > share)
     return settle(hot.select(key, F.ceil(F.col("__n") / share).cast("int").alias("__salts")), "key-salts")
 
@@ -74,10 +75,10 @@ def skew_join(
     big: DataFrame, small: DataFrame, key: str, salt_from: list[str], how: str = "inner", parts: int | None = None
 ) -> DataFrame:
     """J10 with each key's own number of salts: rows of ``small`` are repeated in proportion to how many rows of
-    ``big`` they meet, keys of an even share or less join as they are.
+    ``big`` they meet, keys that would not fill a quarter of a task join as they are.
 
     ``parts`` is the number of tasks to fill, by default the session's shuffle partitions.  The list of hot
-    keys is shorter than that, so it is broadcast; ``small`` may be large.  Rows of ``big`` without a key match
+    keys is shorter than four times that, so it is broadcast; ``small`` may be large.  Rows of ``big`` without a key match
     nothing: a left join leads them around the shuffle, an inner join drops them.  ``salt_from`` should tell
     rows apart; copies go together, and AQE's split covers them.
     """

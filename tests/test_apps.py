@@ -104,8 +104,12 @@ def test_stages_from_messages_to_fused_points(spark, tmp_path):
         run.to_files(rows, str(tmp_path / f"{stage}-out"), str(tmp_path / f"{stage}-c"))
         topics.append(spark.readStream.schema("key string, value string").parquet(str(tmp_path / f"{stage}-out")))
     points = spark.createDataFrame([(1, "A", 0.0, 0.0)], "id int, name string, longitude double, latitude double")
-    written = run.to_batch_dirs(city_streams.fusion_stage(points, topics), str(tmp_path / "f"), str(tmp_path / "fc"), "update")
-    last = written.orderBy(F.desc("batch_id")).first()["value"]
+    sink = run.batch_files(str(tmp_path / "f"))
+    writer = city_streams.fusion_writer(
+        points, topics, str(tmp_path / "places"), [lambda fused, batch_id: sink(city_streams.fusion_rows(fused), batch_id)]
+    )
+    run.complete(spark, writer, str(tmp_path / "fc"))
+    last = spark.read.schema("value string, batch_id long").parquet(str(tmp_path / "f")).orderBy(F.desc("batch_id")).first()["value"]
     found = json.loads(last)
     assert (found["id"], found["name"]) == (1, "A")
     assert found["occupancy"] == pytest.approx((0.5 + 0.7 + 1.0 + 0.45) / 4)

@@ -230,8 +230,8 @@ def test_skew_join_balances_a_left_join_of_mostly_null_keys(spark, rows):
     assert max(r["count"] for r in parts) <= 2 * known.count() / 8
     with session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
         plan = layout.plan_text(joins.skew_join(big, small, "k", ["i"], "left", parts=8), "simple")
-    around = plan[plan.rindex("isnull"):]
-    assert "Union" in plan and "Exchange" not in around
+    # The branch of the rows without a key, the last one of the union, reads them and shuffles nothing.
+    assert "Union" in plan and "Exchange" not in plan[plan.rindex("null AS w#"):]
 
 
 def test_salts_spread_the_hot_key(spark):
