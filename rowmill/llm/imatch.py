@@ -24,6 +24,7 @@ from rowmill.session import settle, ship_package
 FAMILIES = 2
 TIERS = 8
 SUBSETS = 16
+SLICE_TERMS = 1 << 14
 # The band: terms in one document of 20 to one of 8,000.
 IDF_LOW, IDF_HIGH = 3.0, 9.0
 
@@ -88,8 +89,8 @@ def _known(terms: np.ndarray, band: np.ndarray) -> np.ndarray:
     return band[np.minimum(np.searchsorted(band, terms), len(band) - 1)] == terms
 
 
-def _printed(draws: np.ndarray, hashes: np.ndarray, owner: np.ndarray, prints: np.ndarray) -> None:
-    """Write the hashes of one family, tier by tier; a tier's terms are among those of the one before."""
+def _gather(draws: np.ndarray, hashes: np.ndarray, owner: np.ndarray, sums: np.ndarray, held: np.ndarray) -> None:
+    """Add the terms to the sums of one family, tier by tier; a tier's terms are among those of the one before."""
     for tier in range(TIERS):
         inside = draws < np.uint64(1 << 63 - 2 * tier)
         some = inside.any(axis=1)
@@ -97,27 +98,32 @@ def _printed(draws: np.ndarray, hashes: np.ndarray, owner: np.ndarray, prints: n
         if not len(owner):
             return
         first = np.flatnonzero(np.diff(owner, prepend=-1))
-        # The sum of the hashes of sorted distinct terms names the set of them.
-        sums = mix(np.add.reduceat(np.where(inside, hashes, np.uint64(0)), first, axis=0))
-        short = (sums % np.uint64((1 << 16) - 1)).astype(np.uint16) + np.uint16(1)
-        prints[owner[first], tier] = np.where(np.logical_or.reduceat(inside, first, axis=0), short, 0)
+        sums[owner[first], tier] += np.add.reduceat(np.where(inside, hashes, np.uint64(0)), first, axis=0)
+        held[owner[first], tier] |= np.logical_or.reduceat(inside, first, axis=0)
 
 
 def prints_of(texts: list[str], band: np.ndarray) -> np.ndarray:
     """For each text FAMILIES x TIERS x SUBSETS hashes, 0 where it has no term in the subset.
 
     The first family is over its terms in the lexicon, the second over all its terms; without any term
-    every hash is 0.
+    every hash is 0.  Terms are drawn for SLICE_TERMS at a time, so the draws of a long text take no
+    more room than those of a short one.
     """
     terms, begins = distinct_terms(texts)
-    owner = np.repeat(np.arange(len(texts)), np.diff(begins))
-    prints = np.zeros((len(texts), FAMILIES, TIERS, SUBSETS), np.uint16)
-    draws = mix(terms[:, None] ^ _seeds()[None, :])
-    hashes = mix(terms)[:, None] * (draws | np.uint64(1))
-    known = _known(terms, band)
-    _printed(draws[known], hashes[known], owner[known], prints[:, 0])
-    _printed(draws, hashes, owner, prints[:, 1])
-    return prints
+    shape = (FAMILIES, len(texts), TIERS, SUBSETS)
+    sums, held = np.zeros(shape, np.uint64), np.zeros(shape, bool)
+    for low in range(0, len(terms), SLICE_TERMS):
+        own = terms[low : low + SLICE_TERMS]
+        owner = np.searchsorted(begins, np.arange(low, low + len(own)), side="right") - 1
+        draws = mix(own[:, None] ^ _seeds()[None, :])
+        hashes = mix(own)[:, None] * (draws | np.uint64(1))
+        known = _known(own, band)
+        _gather(draws[known], hashes[known], owner[known], sums[0], held[0])
+        _gather(draws, hashes, owner, sums[1], held[1])
+    # The sum of the hashes of sorted distinct terms names the set of them.
+    prints = np.zeros(shape, np.uint16)
+    prints[held] = (mix(sums[held]) % np.uint64((1 << 16) - 1)).astype(np.uint16) + np.uint16(1)
+    return np.ascontiguousarray(prints.swapaxes(0, 1))
 
 
 def _thinnest(busy: np.ndarray) -> np.ndarray:
