@@ -320,6 +320,36 @@ def test_decontamination_finds_every_substitution_within_the_limit(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, tests).collect()} == expected
 
 
+def test_decontamination_meets_a_shared_opening_once(spark):
+    """300 items with one opening and 300 documents with it: rows for each, not for each pair; and every
+    link follows from the passage, as brute force over all pairs finds them."""
+    opening = noise(70, 15)
+    items = {i: f"{opening} {noise(1000 + i, 12)}" for i in range(300)}
+    docs = {i: f"{noise(5000 + i, 20)} {opening} {noise(9000 + i, 20)}" for i in range(300)}
+    docs[300] = f"before it {items[7]} after it"
+    docs[301] = " ".join("zzz" if i % 9 == 4 else w for i, w in enumerate(items[8].split()))
+    # Too little of the opening, but enough of an item around its end.
+    docs[302] = f"{noise(71, 9)} {' '.join(items[9].split()[9:])}"
+    docs[303] = f"{noise(72, 9)} {' '.join(opening.split()[:9])} {noise(73, 30)}"
+    items |= {900: noise(74, 20), 901: noise(74, 20)}
+    docs |= {400: f"so {noise(74, 20)}", 401: noise(74, 20)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    rows = decontamination.contaminated(frame, tests).collect()
+    assert len(rows) < 2 * (len(docs) + len(items))
+    members = {}
+    for row in rows:
+        members.setdefault(row.passage, set()).add(row.item_id)
+    linked = {(r.doc_id, r.item_id) for r in rows}
+    linked |= {(r.doc_id, i) for r in rows if r.passage for i in members[r.passage]}
+    expected = {(d, i) for d in range(302) for i in range(300)} | {(302, 9), (400, 900), (400, 901), (401, 900), (401, 901)}
+    assert linked == expected
+    for row in rows:
+        document, test = docs[row.doc_id].split(), items[row.item_id].split()
+        pairs = zip(document[row.doc_from :][: row.words], test[row.item_from :][: row.words], strict=True)
+        assert sum(a == b for a, b in pairs) == row.equal >= 0.8 * row.words and row.item_words == len(test)
+
+
 def entries(spark, rows):
     return spark.createDataFrame(rows, "entry string, day string, listed boolean").selectExpr("entry", "date(day) as day", "listed")
 
