@@ -275,17 +275,25 @@ def pip_city_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest_registries(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """PIP4 to PIP7 on feeds laid out from the given tables; sensors stand where the parkings are."""
-    city.register_parkings(parking_sites(spark, sf_dir), f"{path}/parkings")
-    parking_sites(spark, sf_dir).select(
+    """PIP4 to PIP7 on replies and files laid out from the given tables; sensors stand where the parkings are."""
+    sites = parking_sites(spark, sf_dir)
+    place = F.array(F.col("longitude").cast("string"), F.col("latitude").cast("string"))
+    site = F.struct(F.col("id").cast("int").alias("id"), "name", F.struct(place.alias("coordinates")).alias("geometry"))
+    pair = F.struct(F.lit("Total").alias("name"), F.col("total_slots").cast("string").alias("content"))
+    details = sites.select(F.col("id").cast("int").alias("id"), F.array(F.struct(F.array(pair).alias("features"))).alias("data"))
+    city.register_parkings(city.parking_sites(sites.select(F.array(site).alias("data")), details), f"{path}/parkings")
+    sites.select(
         "id", F.col("name").alias("nombre"), F.col("longitude").cast("string").alias("longitud"),
         F.col("latitude").cast("string").alias("latitud"),
     ).write.options(sep=";", header=True).csv(f"{path}/locations-1-csv")
     city.register_locations(spark, f"{path}/locations-*-csv", r"locations-(\d+)-csv", f"{path}/sensors")
-    points = places(spark, sf_dir).select(
-        F.lit("site").alias("category"), "longitude", "latitude", F.col("id").cast("int").alias("id"), "name"
+    point = F.struct(
+        F.lit("site").alias("category"), F.col("longitude").cast("string").alias("longitude"),
+        F.col("latitude").cast("string").alias("latitude"), F.col("id").cast("string").alias("idPoi"), "name",
     )
-    city.register_points(points, f"{path}/points")
+    lists = F.array(F.struct(F.lit("sites").alias("sourceName"), F.array(point).alias("data")))
+    replies = places(spark, sf_dir).select(lists.alias("data"))
+    city.register_points(city.points_of_interest(replies, "sites"), f"{path}/points")
     raw = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha"),
         F.col("value").cast("string").alias("intensidad"), F.lit("0").alias("ocupacion"), F.lit("0").alias("carga"),
