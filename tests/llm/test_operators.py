@@ -350,6 +350,40 @@ def test_decontamination_meets_a_shared_opening_once(spark):
         assert sum(a == b for a, b in pairs) == row.equal >= 0.8 * row.words and row.item_words == len(test)
 
 
+def test_decontamination_with_shared_passages_equals_brute_force(spark):
+    """Items put together from few pieces, cut and substituted at random: repeated, nested and overlapping
+    passages, items of equal text, NULL keys."""
+    draw = random.Random(31)
+    pieces = [noise(200 + i, n).split() for i, n in enumerate((6, 9, 12, 14, 20, 30))]
+
+    def mixed(most: int, share: float) -> str:
+        words = [w for _ in range(draw.randint(1, most)) for w in (draw.choice(pieces) if draw.random() < 0.8 else noise(draw.randint(0, 10**6), 5).split())]
+        words = words[draw.randint(0, 5) : len(words) - draw.randint(0, 5)]
+        return " ".join(noise(draw.randint(0, 10**6), 1, "xyz") if draw.random() < share else w for w in words)
+
+    items = [(i, mixed(3, 0.05)) for i in range(60)]
+    items += [(100 + i, items[i][1]) for i in range(5)] + [(None, items[7][1]), (None, None), (200, "")]
+    docs = [(i, mixed(3, draw.choice((0.0, 0.1, 0.25)))) for i in range(80)]
+    docs += [(100, docs[3][1]), (101, docs[3][1]), (None, docs[4][1]), (None, None), (5, docs[6][1])]
+
+    def overlaps(document: str, test: str) -> bool:
+        one, other = (decontamination._words([t or ""])[0] for t in (document, test))
+        if len(other) < decontamination.LEAST_WORDS:
+            return False
+        return any(decontamination.overlap(one, other, s, min(12, len(other))) for s in range(-len(other), len(one) + 1))
+
+    expected = {(d, i) for d, document in docs for i, test in items if overlaps(document, test)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontamination.contaminated(frame, tests).collect()
+    members = {}
+    for row in rows:
+        members.setdefault(row.passage, set()).add(row.item_id)
+    linked = {(r.doc_id, i) for r in rows for i in (members[r.passage] if r.passage else [r.item_id])}
+    assert linked == expected and len(expected) > 300
+    assert len({(r.doc_id, r.item_id, r.passage) for r in rows}) == len(rows)
+
+
 def entries(spark, rows):
     return spark.createDataFrame(rows, "entry string, day string, listed boolean").selectExpr("entry", "date(day) as day", "listed")
 
