@@ -125,7 +125,7 @@ def canonical_turns(records: DataFrame, record: str = "record") -> DataFrame:
     no whole number or NULL, gives one row with layout NULL, its fingerprint if it has one, and the
     record as text, so that nothing is lost.  A conversation without turns gives no rows.  NULL
     contents and roles are empty, a NULL key or position stays NULL.  Repeated records repeat their
-    turns.
+    turns.  Other columns are not read, an empty table gives no rows.
     """
     ship_package(records.sparkSession)
 
@@ -211,6 +211,9 @@ def conversations(pieces: DataFrame, segment_chars: int = SEGMENT_CHARS) -> Data
     conversation ascend, with gaps: the upper 32 bits number the range.  Starts count characters from
     the beginning of the segment.  ``whole`` marks a segment that is seen to be all of its conversation,
     others of which a range begins or ends with them may be so too.
+
+    Repeated turns are written each time, NULL conversations are one conversation, other columns are not
+    read, and an empty table gives no rows.  A turn longer than a segment ends the one that it stands in.
     """
     ship_package(pieces.sparkSession)
     # What bounds the ranges is kept on the driver, so it holds the beginning of a turn only.

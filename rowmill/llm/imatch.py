@@ -243,6 +243,10 @@ def compare_edited(docs: DataFrame, band: np.ndarray, key: str = "doc_id", text:
     once, compressed, into ranges that tasks go through in order; only the last row of each range
     meets the first of the next by a join.  A key that owns much of the table is split among ranges by
     hash, and so are its copies of one text by the partition that they were read in.
+
+    NULL counts as the empty text, which has no terms; two texts without terms are alike.  Rows that repeat
+    follow each other and keep a row each, NULL keys likewise.  Other columns are not read, an empty table
+    gives no rows.  Texts are read whole: a task holds the words of a block, or of one longer text.
     """
     spark = docs.sparkSession
     ship_package(spark)

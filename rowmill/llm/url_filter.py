@@ -69,6 +69,9 @@ def judge(
     for; a capture outside them meets the nearest one, so the bounds change the work and not the
     result.  An entry that owns much of the captures is one plain join key per month, which AQE
     splits; nothing is ordered or collected per entry but its days.
+
+    Without entries every capture is allowed, without captures there are no rows.  Other columns of both
+    tables are not read, whatever their names.  URLs of any length are read whole.
     """
     low, high = F.to_date(F.lit(first_month)), F.to_date(F.lit(last_month))
     clamp = lambda day: F.least(F.greatest(F.trunc(day, "month"), low), high)

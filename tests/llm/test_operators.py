@@ -410,6 +410,29 @@ def test_url_lists_hold_at_fetch_time(spark):
     assert "Python" not in found._jdf.queryExecution().toString()
 
 
+def test_url_lists_meet_empty_tables_and_clashing_columns(spark):
+    listed = entries(spark, [("a.net", "2024-01-05", True)])
+    captures = spark.createDataFrame(
+        [(1, "https://a.net/" + "x" * 2_000_000, "2024-06-01 12:00:00"), (2, "https://b.net", "2024-06-01 12:00:00"), (None, "https://a.net", None)],
+        "page_id long, url string, at string",
+    ).selectExpr("page_id", "url", "cast(at as timestamp_ntz) as at")
+    odd = captures.selectExpr("*", *[f"7 as {n}" for n in ("entry", "host", "blocked", "valid_from", "valid_to", "month", "listed_since", "day", "listed")])
+    clash = listed.selectExpr("*", *[f"8 as {n}" for n in ("page_id", "url", "at", "valid_from", "valid_to", "host", "month")])
+    bounds = ("page_id", "url", "at", "2024-01-01", "2024-06-01")
+    expected = [(1, True, "a.net"), (2, False, None), (None, False, None)]
+    for some, entry_rows in ((captures, listed), (odd, clash)):
+        found = url_filter.judge(some, entry_rows, *bounds)
+        assert bag(found, "page_id", "blocked", "entry") == expected
+        assert found.columns == ["page_id", "fetched", "host", "blocked", "entry", "listed_since"]
+        assert url_filter.judge(some.where("false"), entry_rows, *bounds).count() == 0
+
+
+def test_simhash_component_of_null_keys_only(spark):
+    docs = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (3, noise(9, 40)), (None, noise(9, 40))], "doc_id long, text string")
+    found = simhash.near_duplicates(docs)
+    assert bag(found, "doc_id", "component") == [(3, 3), (None, 3), (None, None), (None, None)]
+
+
 def labelled(spark, good, bad, label):
     texts = [(i, good(i)) for i in range(200)] + [(1000 + i, bad(i)) for i in range(200)]
     marks = [(k, 1 if k < 1000 else 0) for k, _ in texts] + [(None, 1), (5000, None), (7777, 0)]
