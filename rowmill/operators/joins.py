@@ -49,12 +49,15 @@ def salted_join(
     The salt is a hash of ``salt_from``, not a random draw: a task that runs twice sends its rows
     to the same places, so no match is lost or doubled when an executor goes away.  For ``inner``
     and ``left`` joins with ``big`` on the left the result equals the plain join.
+
+    The repeated side is always shuffled: Catalyst's estimate knows nothing of the copies and would send them
+    all to the driver and every task.  A side that is small enough for that needs no salts (``join_small``).
     """
     if how not in ("inner", "left"):
         raise ValueError("a salted join is inner or left")
     salted = big.withColumn("__salt", F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int"))
     repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "__salt"], how).drop("__salt")
+    return salted.join(repeated.hint("merge"), [key, "__salt"], how).drop("__salt")
 
 
 def key_salts(df: DataFrame, key: str, parts: int) -> DataFrame:

@@ -203,6 +203,13 @@ def test_salted_join_equals_join(spark, rows, how):
     assert rows(joins.salted_join(big, small, "k", 5, ["i"], how)) == rows(big.join(small, "k", how))
 
 
+def test_salted_join_broadcasts_no_repeated_side(spark):
+    """However small its planned size: Catalyst does not count the copies."""
+    small = spark.range(20).selectExpr("id as k", "id as w")
+    plan = layout.plan_text(joins.salted_join(spark.range(100).selectExpr("id % 20 as k", "id as i"), small, "k", 8, ["i"]), "simple")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_skew_join_equals_join(spark, rows, how):
     big = skewed(spark)
