@@ -4,11 +4,13 @@ import json
 import os
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from rowmill import schemas
 from rowmill.functions.json import device_rows
+from rowmill.registry import all_queries
 from rowmill.session import session_settings
 from rowmill.sources import streams
 from rowmill.streaming import mobility, run
@@ -67,6 +69,19 @@ def test_update_mode_drops_late_rows(spark, tmp_path):
     assert _short(found) == [row for row in COMPLETE if row[0] >= "11:55"]
 
 
+def test_late_rows_come_in_three_batches_whatever_their_files(spark):
+    """Splits without rows: the first task of a write leaves a file without any, of which no row tells."""
+    folder = "/root/testdata/sf0.001"
+    with session_settings(spark, spark__sql__files__maxPartitionBytes="4000"):
+        assert spark.read.parquet(f"{folder}/events.parquet").rdd.getNumPartitions() > 2
+        found = all_queries()["st_late_rows"].run(spark, folder).collect()
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
+        names = ["start_time", "end_time", "event_type", "count"]
+        asked = con.execute(f"SELECT {', '.join(names)} FROM ({all_queries()['st_late_rows'].sql})").fetchall()
+    assert sorted(tuple(row[name] for name in names) for row in found) == sorted(asked)
+
+
 def test_append_mode_emits_closed_windows(spark, tmp_path):
     stream = _word_stream(spark, str(tmp_path / "in"))
     run.to_files(stream, str(tmp_path / "o"), str(tmp_path / "c"))
