@@ -27,6 +27,10 @@ BITS = 64
 SLICE = 1 << 16
 # How far around a shingle's hash must be the least for a segment to begin there, the coarsest cut first.
 REACHES = (4, 2, 1)
+# Texts that tell which shingles are common, and how many of these are listed.
+SAMPLE, COMMON = 20_000, 200_000
+# Products of sizes and similarities are taken as whole numbers within this.
+_ROUNDING = 1e-9
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -213,9 +217,36 @@ def jaccard(one: bytes, other: bytes) -> float:
     return shared / (len(a) + len(b) - shared) if len(a) or len(b) else 1.0
 
 
-def similar_links(texts: DataFrame, words: int, least: float, segments: int, radius: int) -> DataFrame:
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """A text's distinct shingle hashes in ascending order."""
+    every = [np.array(some, "<u8") for some in shingle_hashes(text, words, 0)]
+    return np.unique(np.concatenate(every)) if every else np.empty(0, "<u8")
+
+
+def alike(texts: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Those of the stored, distinct ``pairs`` (a, b) of rows (node, text) whose sets of shingles have a Jaccard
+    similarity of ``least`` or more; only texts of some pair send their sets."""
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            sets = [shingle_set(content, words).tobytes() for content in strings(block.column("text"))]
+            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            like = [jaccard(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(like, pa.bool_()))
+
+    wanted = settle(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    sets = settle(join_small(texts, wanted, "node", "left_semi").mapInArrow(shingled, "node long, shingles binary"), "shingle-sets")
+    one, other = (sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")) for end in ("a", "b"))
+    both = pairs.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
+    return both.mapInArrow(compared, "a long, b long")
+
+
+def segment_links(texts: DataFrame, words: int, least: float, segments: int, radius: int) -> DataFrame:
     """Links (a, b) between rows (node long, text) whose sets of shingles have a Jaccard similarity of
-    ``least`` or more.
+    ``least`` or more: most of them, found cheaply; ``similar_links`` adds what is missing.
 
     Segments' fingerprints meet under covering masks.  In a bucket each text is compared with the bucket's
     first text of its own size and of the sizes just below: sizes of similar texts are at most a factor
@@ -243,19 +274,6 @@ def similar_links(texts: DataFrame, words: int, least: float, segments: int, rad
                 names=["node", "band", "prints"],
             )
 
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
-            sets = []
-            for content in strings(block.column("text")):
-                every = [np.array(some, "<u8") for some in shingle_hashes(content, words, 0)]
-                sets.append(np.unique(np.concatenate(every)).tobytes() if every else b"")
-            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            like = [jaccard(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(like, pa.bool_()))
-
     marked = texts.mapInArrow(hashed, "node long, band int, prints array<long>")
     masks = F.array(*[F.lit(mask - (1 << BITS) if mask >> 63 else mask).cast("long") for mask in covering_masks(radius)])
     each = marked.select("node", "band", F.explode("prints").alias("print"))
@@ -269,11 +287,103 @@ def similar_links(texts: DataFrame, words: int, least: float, segments: int, rad
     )
     pairs = met.join(stands, ["bucket", "band"]).where("node != first")
     pairs = settle(pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct(), "pairs")
-    wanted = settle(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
-    sets = settle(join_small(texts, wanted, "node", "left_semi").mapInArrow(shingled, "node long, shingles binary"), "shingle-sets")
-    one, other = (sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}_set")) for end in ("a", "b"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
-    return both.mapInArrow(compared, "a long, b long")
+    return alike(texts, pairs, words, least)
+
+
+def first_shingles(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, least: float) -> np.ndarray:
+    """The first of a text's shingles in an order that all texts share: ``common`` ones, which ascend, last and
+    by their ``ranks``, the others by a hash.  Of two sets with a Jaccard similarity of ``least`` or more the first common
+    shingle is among these in both, since what they share is ``least`` of the larger one or more."""
+    if not len(shingles):
+        return shingles
+    rank = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        rank = np.where(common[at] == shingles, ranks[at], 0)
+    many = len(shingles) - math.ceil(least * len(shingles) - _ROUNDING) + 1
+    return shingles[np.lexsort((mix(shingles), rank))[:many]]
+
+
+def common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that three of about SAMPLE texts or more hold, at most COMMON, in ascending order, and their
+    ranks from 1, the most frequent one's the highest.  They decide in which order shingles are compared, not
+    what is found, so a sample will do."""
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
+        for block in blocks(batches, "text"):
+            for content in strings(block.column("text")):
+                held = shingle_set(content, words).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["shingle"])
+
+    total = texts.count()
+    drawn = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(total, 1))) < SAMPLE)
+    counts = drawn.mapInArrow(shingled, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    found = counts.orderBy(F.desc("n"), "shingle").limit(COMMON).select("shingle").toArrow()
+    listed = found.column("shingle").to_numpy()[::-1].astype(np.int64).view(np.uint64)
+    order = np.argsort(listed)
+    return listed[order], order + 1
+
+
+def missed_links(texts: DataFrame, roots: DataFrame, words: int, least: float, block: int = 256) -> DataFrame:
+    """Every link (a, b) of similarity ``least`` or more between rows (node, text) that ``roots`` (node, root)
+    does not connect yet.
+
+    Two such texts share one of their ``first_shingles``.  Where a shingle is held under one root only, as almost
+    all are, nothing is compared.  The others' holders are dealt into blocks; a pair of blocks is one small unit,
+    which gives the pairs of different roots whose sizes and places of the shingle leave ``least`` possible.
+    """
+    (common, ranks), share = common_shingles(texts, words), least / (1 + least)
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
+        for block in blocks(batches, "text"):
+            sets = [shingle_set(content, words) for content in strings(block.column("text"))]
+            firsts = [first_shingles(held, common, ranks, least).view(np.int64) for held in sets]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("node"), pa.array(map(len, sets), pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
+                names=["node", "size", "firsts"],
+            )
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit in batch.column(0):
+                node, root, size, at, own = (field.to_numpy(zero_copy_only=False) for field in unit.values.flatten())
+                needed = np.ceil(share * (size[:, None] + size) - _ROUNDING)
+                room = size - at
+                chosen = (root[:, None] != root) & (np.minimum(room[:, None], room) >= needed)
+                if own.min() != own.max():
+                    chosen &= own[:, None] != own
+                one, other = np.nonzero(np.triu(chosen))
+                if len(one):
+                    ends = np.minimum(node[one], node[other]), np.maximum(node[one], node[other])
+                    yield pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in ends], names=["a", "b"])
+
+    begins = texts.mapInArrow(begun, "node long, size int, firsts array<long>")
+    stored = settle(
+        join_small(begins, roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "first-shingles"
+    )
+    met = stored.select("node", "root", "size", F.posexplode("firsts").alias("at", "shingle"))
+    busy = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    busy = settle(busy.where("low != high").select("shingle", F.ceil(F.col("n") / block).cast("int").alias("dealt")), "busy")
+    held = join_small(met, busy, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), F.col("dealt")).cast("int"))
+    units = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("dealt") - 1)))
+    units = units.groupBy("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    units = units.agg(F.collect_list(F.struct("node", "root", "size", "at", "own")).alias("members")).select("members")
+    pairs = settle(units.mapInArrow(crossed, "a long, b long").distinct(), "missed-pairs")
+    return alike(texts, pairs, words, least)
+
+
+def similar_links(texts: DataFrame, words: int, least: float, segments: int, radius: int) -> DataFrame:
+    """Links (a, b) that connect exactly the rows (node long, text) which pairs of a Jaccard similarity of
+    ``least`` or more do, directly or not.
+
+    Most come from segments' fingerprints; what these leave apart is then compared by first shingles, which
+    lose no pair.
+    """
+    roots = settle(connected(segment_links(texts, words, least, segments, radius), "a", "b"), "segment-roots")
+    rest = settle(missed_links(texts, roots, words, least), "missed-links")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
 
 
 def similar_texts(
@@ -285,9 +395,9 @@ def similar_texts(
 
     A whole text's fingerprint is too coarse for that: at a similarity of 0.8 some eight of 64 bits differ,
     more than a workable number of masks covers.  So texts are cut at places that their content names, and
-    fingerprints are taken of up to ``segments`` of the segments.  Copies are one text.  No link that is
-    returned is wrong; one may be missed between texts that share no chosen segment, or of which neither is
-    the first in a bucket of theirs and no chain of links joins them.
+    fingerprints are taken of up to ``segments`` of the segments.  Copies are one text.  Texts that share no
+    chosen segment, or of which neither is the first in a bucket of theirs, are compared by first shingles
+    where no chain of links joins them, so the components are those of all pairs.
 
     NULL texts count as empty; texts without words are alike.  A NULL key names a component only where it
     has no other.  Repeated rows keep their row, other columns are not read, an empty table gives no rows.

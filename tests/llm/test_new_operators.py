@@ -271,6 +271,45 @@ def test_similar_texts_are_linked_and_others_are_not(spark, odd, empty):
     assert simhash.similar_texts(empty).count() == 0
 
 
+def test_similar_texts_lose_no_link_just_above_the_threshold(spark):
+    """Against all pairs: of such links segments alone miss some in a hundred."""
+    draw, texts = random.Random(7), {}
+    line = noise(77, 30)
+    for i in range(1500):
+        parts = (f"{line} " if i % 5 == 0 else "").split() + noise(20_000 + i, draw.choice([30, 60, 100])).split()
+        texts[i] = " ".join(parts)
+        for at in draw.sample(range(len(parts)), max(1, len(parts) // 45)):
+            parts[at] = f"new{draw.randrange(10**6)}"
+        texts[5000 + i] = " ".join(parts)
+    texts |= {9000: "", 9001: " ", 9002: "one two", 9003: "One  two", 9004: "one two three"}
+    held = {k: shingles(text) for k, text in texts.items()}
+    owners, root = {}, {k: k for k in texts}
+    for k in sorted(held):
+        for shingle in held[k]:
+            owners.setdefault(shingle, []).append(k)
+    near = {(a, b) for some in owners.values() for a in some for b in some if a < b}
+    near = {(a, b) for a, b in near if len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b])} | {(9000, 9001)}
+    while True:
+        moved = [(max(root[a], root[b]), min(root[a], root[b])) for a, b in near if root[a] != root[b]]
+        if not moved:
+            break
+        for high, low in moved:
+            root = {k: low if v == high else v for k, v in root.items()}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert len(near) > 500
+    assert {r.doc_id: r.component for r in simhash.similar_texts(frame).collect()} == root
+
+
+def test_missed_links_compare_blocks_of_a_shingle(spark):
+    """A shingle with more holders than a block: pairs within and across blocks, none twice."""
+    base = noise(5, 60)
+    rows = [(i, f"{base} end{i}") for i in range(40)] + [(100 + i, f"{base} {noise(300 + i, 60)}") for i in range(20)]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    roots = spark.createDataFrame([(i, 0) for i in range(3)], "node long, root long")
+    found = [tuple(r) for r in simhash.missed_links(texts, roots, 5, 0.8, block=7).collect()]
+    assert sorted(found) == [(a, b) for a in range(40) for b in range(a + 1, 40) if b > 2]
+
+
 def test_a_large_group_of_near_copies_is_one_component(spark):
     """Thousands of copies that each differ a little: no pairs within the group are made, and none is lost."""
     base = noise(55, 200).split()
