@@ -300,6 +300,21 @@ def test_similar_texts_lose_no_link_just_above_the_threshold(spark):
     assert {r.doc_id: r.component for r in simhash.similar_texts(frame).collect()} == root
 
 
+def test_similar_texts_link_where_others_come_first_in_every_bucket(spark):
+    """Two near copies whose every passage stands in a hundred texts of their size that are like neither."""
+    texts = {}
+    for pair in range(4):
+        parts = noise(600 + pair, 200).split()
+        texts[pair], texts[100 + pair] = " ".join(parts), " ".join([*parts[:100], "edited", *parts[101:]])
+        for i in range(900):
+            at = i % 9 * 20
+            other = noise(10_000 * (pair + 1) + i, 160).split()
+            texts[1000 * (pair + 1) + i] = " ".join([*other[:80], *parts[at : at + 40], *other[80:]])
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component for r in simhash.similar_texts(frame).collect()}
+    assert found == {k: k - 100 if 100 <= k < 104 else k for k in texts}
+
+
 def test_missed_links_compare_blocks_of_a_shingle(spark):
     """A shingle with more holders than a block: pairs within and across blocks, none twice."""
     base = noise(5, 60)
