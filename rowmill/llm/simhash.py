@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -325,15 +326,85 @@ def common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarra
     return listed[order], order + 1
 
 
-def missed_links(texts: DataFrame, roots: DataFrame, words: int, least: float, block: int = 256) -> DataFrame:
-    """Every link (a, b) of similarity ``least`` or more between rows (node, text) that ``roots`` (node, root)
-    does not connect yet.
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """One bit for each residue of the hashes, of how many of them have it, odd or even: where two sets' sketches
+    differ, some shingle is in one of them only, so they differ in no more bits than the sets have such shingles.
+    The longer of two is folded to the shorter one's width."""
+    width = 1 << min(16, max(6, (4 * len(shingles)).bit_length()))
+    odd = np.bincount((shingles & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    width = min(map(len, sketches))
+    parts = [np.frombuffer(sketch, "<u8").reshape(-1, width // 8) for sketch in sketches]
+    return np.stack([np.bitwise_xor.reduce(part, axis=0) for part in parts])
+
+
+def _most_apart(size, other, least: float):
+    """Shingles that only one of two sets with these numbers of them may have, in all, for a similarity of ``least``."""
+    return size + other - 2 * np.ceil(least / (1 + least) * (size + other) - _ROUNDING)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Those of the ``pairs`` (a, b, ...) that the ``sketches`` (node, size, sketch) don't rule out: all of a
+    similarity of ``least`` or more, and few others."""
+    columns = pairs.columns
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, other = (batch.column(name).to_numpy() for name in ("a_size", "b_size"))
+            ends = zip(batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist(), strict=True)
+            apart = np.array([int(np.bitwise_count(np.bitwise_xor(*_folded(both))).sum()) for both in ends], np.int64)
+            yield batch.select(columns).filter(pa.array(apart <= _most_apart(size, other, least)))
+
+    one, other = (sketches.select(*[F.col(name).alias(to) for name, to in (("node", end), ("size", f"{end}_size"), ("sketch", f"{end}_sketch"))]) for end in ("a", "b"))
+    return pairs.join(one, "a").join(other, "b").mapInArrow(kept, pairs.schema)
+
+
+def open_holders(held: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+    """Holders (shingle, band, below, node, root, size, at) of buckets, a shingle and a band of sizes, with more than
+    one root, and the number n of a bucket's holders, after ``moved`` (node, root) roots were joined to others."""
+    columns = ["shingle", "band", "below", "node", "root", "size", "at"]
+    if moved is not None:
+        to = moved.select(F.col("node").alias("root"), F.col("root").alias("__to"))
+        held = join_small(held, to, "root", "left").withColumn("root", F.coalesce("__to", "root")).drop("__to")
+    ends = held.groupBy("shingle", "band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("below").alias("below")
+    )
+    busy = settle(ends.where("low != high and not below").select("shingle", "band", "n"), "busy")
+    return settle(join_small(held.select(*columns), busy, ["shingle", "band"]), "holders")
+
+
+def central_pairs(held: DataFrame, least: float, turn: int) -> DataFrame:
+    """Pairs (a, b), with their roots (low, high), of each holder and its bucket's most central one: at first the
+    one with the fewest shingles before the bucket's, which are rare ones that others lack, in later turns one by
+    a hash.  Each holder makes one pair at most."""
+    order = F.struct("at", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+    centres = held.groupBy("shingle", "band").agg(F.min_by(F.struct("node", "root", "size", "at"), order).alias("centre"))
+    room = F.least(F.col("size") - F.col("at"), F.col("centre.size") - F.col("centre.at"))
+    possible = room >= F.ceil(F.lit(least / (1 + least)) * (F.col("size") + F.col("centre.size")) - _ROUNDING)
+    met = held.join(centres, ["shingle", "band"]).where(possible & (F.col("root") != F.col("centre.root")))
+    return met.select(
+        F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"),
+        F.least("root", "centre.root").alias("low"), F.greatest("root", "centre.root").alias("high"),
+    ).distinct()
 
-    Two such texts share one of their ``first_shingles``.  Where a shingle is held under one root only, as almost
-    all are, nothing is compared.  The others' holders are dealt into blocks; a pair of blocks is one small unit,
-    which gives the pairs of different roots whose sizes and places of the shingle leave ``least`` possible.
+
+def missed_links(
+    texts: DataFrame, roots: DataFrame, words: int, least: float, block: int = 256, turns: int = 0, few: int = 8
+) -> DataFrame:
+    """Every link (a, b) of similarity ``least`` or more between rows (node, text) that ``roots`` (node, root)
+    does not connect yet; with ``turns`` only links that connect what all of these do.
+
+    Two such texts share one of their ``first_shingles``, and their sizes are in one band or in two that follow
+    each other.  Where a shingle is held under one root only, as almost all are, nothing is compared.  Other holders
+    meet their bucket's most central one in up to ``turns`` turns, which leaves groups of near copies few roots.
+    What is then still apart is dealt into blocks; a pair of blocks is one small unit, which gives the pairs of
+    different roots whose sizes, places of the shingle and, in buckets of more than ``few``, sketches leave ``least``
+    possible.  Only pairs whose sketches are alike send their sets of shingles.
     """
-    (common, ranks), share = common_shingles(texts, words), least / (1 + least)
+    common, ranks = common_shingles(texts, words)
 
     def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unload()
@@ -345,16 +416,33 @@ def missed_links(texts: DataFrame, roots: DataFrame, words: int, least: float, b
                 names=["node", "size", "firsts"],
             )
 
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unload()
+        for block in blocks(batches, "text"):
+            sets = [shingle_set(content, words) for content in strings(block.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [block.column("node"), pa.array(map(len, sets), pa.int32()), pa.array(map(parity_sketch, sets), pa.binary())],
+                names=["node", "size", "sketch"],
+            )
+
     def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit in batch.column(0):
-                node, root, size, at, own = (field.to_numpy(zero_copy_only=False) for field in unit.values.flatten())
-                needed = np.ceil(share * (size[:, None] + size) - _ROUNDING)
-                room = size - at
-                chosen = (root[:, None] != root) & (np.minimum(room[:, None], room) >= needed)
+                *numbers, held = unit.values.flatten()
+                node, root, size, at, own, below = (field.to_numpy(zero_copy_only=False) for field in numbers)
+                most, room = _most_apart(size[:, None], size, least), size - at
+                chosen = (root[:, None] != root) & (size[:, None] + size - 2 * np.minimum(room[:, None], room) <= most)
+                chosen &= ~(below[:, None] & below)
                 if own.min() != own.max():
                     chosen &= own[:, None] != own
-                one, other = np.nonzero(np.triu(chosen))
+                chosen = np.triu(chosen)
+                if not held.null_count:
+                    sketches = _folded(held.to_pylist())
+                    for i in np.flatnonzero(chosen.any(axis=1)):
+                        to = np.flatnonzero(chosen[i])
+                        apart = np.bitwise_count(sketches[to] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+                        chosen[i, to] = apart <= most[i, to]
+                one, other = np.nonzero(chosen)
                 if len(one):
                     ends = np.minimum(node[one], node[other]), np.maximum(node[one], node[other])
                     yield pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in ends], names=["a", "b"])
@@ -364,14 +452,32 @@ def missed_links(texts: DataFrame, roots: DataFrame, words: int, least: float, b
         join_small(begins, roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "first-shingles"
     )
     met = stored.select("node", "root", "size", F.posexplode("firsts").alias("at", "shingle"))
-    busy = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    busy = settle(busy.where("low != high").select("shingle", F.ceil(F.col("n") / block).cast("int").alias("dealt")), "busy")
-    held = join_small(met, busy, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), F.col("dealt")).cast("int"))
-    units = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("dealt") - 1)))
-    units = units.groupBy("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    units = units.agg(F.collect_list(F.struct("node", "root", "size", "at", "own")).alias("members")).select("members")
-    pairs = settle(units.mapInArrow(crossed, "a long, b long").distinct(), "missed-pairs")
-    return alike(texts, pairs, words, least)
+    shared = met.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    held = join_small(met, settle(shared.select("shingle"), "shared"), "shingle")
+    # A bucket holds the sizes of its band and, marked, of the one below: a band is a little wider than similar sizes are apart.
+    band = F.floor(F.log("size") / (-math.log(least) * (1 + _ROUNDING))).cast("int")
+    held = held.withColumn("below", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("band", band + F.col("below").cast("int"))
+    held = open_holders(held)
+    nodes = settle(held.select("node").distinct(), "holding")
+    sketches = settle(join_small(texts, nodes, "node", "left_semi").mapInArrow(sketched, "node long, size int, sketch binary"), "sketches")
+    links: list[DataFrame] = []
+    for turn in range(turns):
+        near = settle(likely(central_pairs(held, least, turn), sketches, least), "central-pairs")
+        found = settle(alike(texts, near.select("a", "b"), words, least).join(near, ["a", "b"]), "central-links")
+        if found.isEmpty():
+            break
+        links.append(found.select("a", "b"))
+        held = open_holders(held, settle(connected(found, "low", "high"), "moved"))
+    small = held.where(F.col("n") <= few).withColumn("sketch", F.lit(None).cast("binary"))
+    held = small.unionByName(held.where(F.col("n") > few).join(sketches.drop("size"), "node").select(*small.columns))
+    dealt = held.withColumn("dealt", F.ceil(F.col("n") / block).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("dealt")).cast("int"))
+    units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("dealt") - 1)))
+    units = units.groupBy("shingle", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    member = F.struct("node", "root", "size", "at", "own", "below", "sketch")
+    units = units.agg(F.collect_list(member).alias("members")).select("members")
+    pairs = settle(likely(units.mapInArrow(crossed, "a long, b long").distinct(), sketches, least), "missed-pairs")
+    return reduce(DataFrame.unionByName, links, alike(texts, pairs, words, least))
 
 
 def similar_links(texts: DataFrame, words: int, least: float, segments: int, radius: int) -> DataFrame:
@@ -382,7 +488,7 @@ def similar_links(texts: DataFrame, words: int, least: float, segments: int, rad
     lose no pair.
     """
     roots = settle(connected(segment_links(texts, words, least, segments, radius), "a", "b"), "segment-roots")
-    rest = settle(missed_links(texts, roots, words, least), "missed-links")
+    rest = settle(missed_links(texts, roots, words, least, turns=2), "missed-links")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowmill.llm import fill_in_middle, hard_negatives, secrets, simhash
 from rowmill.llm.blocks import Memo, words
+from rowmill.session import settle
 from tests.llm.test_operators import ODD, SCHEMA, bag, noise
 
 UNITS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -325,6 +326,45 @@ def test_missed_links_compare_blocks_of_a_shingle(spark):
     assert sorted(found) == [(a, b) for a in range(40) for b in range(a + 1, 40) if b > 2]
 
 
+def test_a_group_of_edited_copies_makes_few_candidates(spark, monkeypatch):
+    """Copies with up to seven of 320 words changed, of which many pairs are no link: components are those of all
+    pairs, and what is compared on whole sets is in proportion to the copies, not to their pairs."""
+    draw, base, texts, rows = random.Random(3), noise(404, 320).split(), {}, {}
+    for i in range(240):
+        parts = list(base)
+        for at in draw.sample(range(len(parts)), 1 if i % 40 == 0 else draw.randint(4, 7)):
+            parts[at] = f"new{draw.randrange(10**6)}"
+        texts[i] = " ".join(parts + ["more"] * (i % 3))
+    texts |= {1000 + i: " ".join(base[:230] + noise(5000 + i, 90).split()) for i in range(240)}
+
+    def counted(df, label="settled", *rest):
+        stored = settle(df, label, *rest)
+        rows[label] = rows.get(label, 0) + (stored.count() if label in ("missed-pairs", "central-pairs") else 0)
+        return stored
+
+    monkeypatch.setattr(simhash, "settle", counted)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component for r in simhash.similar_texts(frame).collect()}
+    held, root = {k: shingles(text) for k, text in texts.items()}, {k: k for k in texts}
+    near = [(a, b) for a in held for b in held if a < b and len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b])]
+    while moved := {max(root[a], root[b]): min(root[a], root[b]) for a, b in near if root[a] != root[b]}:
+        root = {k: moved.get(v, v) for k, v in root.items()}
+    assert found == root
+    assert rows["missed-pairs"] + rows["central-pairs"] <= 3 * len(texts)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    draw = np.random.default_rng(5)
+    for size, other, shared in [(0, 3, 0), (1, 1, 1), (40, 50, 39), (900, 1100, 870), (30_000, 37_000, 29_000)]:
+        every = draw.integers(0, np.iinfo(np.uint64).max, size + other - shared, dtype=np.uint64)
+        one, two = every[:size], every[size - shared :]
+        folded = simhash._folded([simhash.parity_sketch(one), simhash.parity_sketch(two)])
+        apart = int(np.bitwise_count(folded[0] ^ folded[1]).sum())
+        assert apart <= size + other - 2 * shared
+        assert apart >= (size + other - 2 * shared) / 4
+        assert apart % 2 == (size + other) % 2
+
+
 def test_a_large_group_of_near_copies_is_one_component(spark):
     """Thousands of copies that each differ a little: no pairs within the group are made, and none is lost."""
     base = noise(55, 200).split()
