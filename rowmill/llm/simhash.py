@@ -291,17 +291,28 @@ def segment_links(texts: DataFrame, words: int, least: float, segments: int, rad
     return alike(texts, pairs, words, least)
 
 
+def first_number(size: int, least: float) -> int:
+    """How many first shingles of a set of this size hold the first one shared with any set of a Jaccard similarity of
+    ``least`` or more, since what they share is ``least`` of the larger one or more."""
+    return size - math.ceil(least * size - _ROUNDING) + 1
+
+
+def further_number(size: int, least: float) -> int:
+    """How many first shingles more are taken: with them two such sets have in common, among the first ones of both, one
+    and as many as the smaller one takes."""
+    return max(0, min(math.floor((1 - least) / 2 * size), math.ceil(least * size - _ROUNDING) - 1))
+
+
 def first_shingles(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, least: float) -> np.ndarray:
-    """The first of a text's shingles in an order that all texts share: ``common`` ones, which ascend, last and
-    by their ``ranks``, the others by a hash.  Of two sets with a Jaccard similarity of ``least`` or more the first common
-    shingle is among these in both, since what they share is ``least`` of the larger one or more."""
+    """The first of a text's shingles, with the further ones, in an order that all texts share: ``common`` ones, which
+    ascend, last and by their ``ranks``, the others by a hash."""
     if not len(shingles):
         return shingles
     rank = np.zeros(len(shingles), np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
         rank = np.where(common[at] == shingles, ranks[at], 0)
-    many = len(shingles) - math.ceil(least * len(shingles) - _ROUNDING) + 1
+    many = first_number(len(shingles), least) + further_number(len(shingles), least)
     return shingles[np.lexsort((mix(shingles), rank))[:many]]
 
 
@@ -362,30 +373,34 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").mapInArrow(kept, pairs.schema)
 
 
-def open_holders(held: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+def open_holders(held: DataFrame, moved: DataFrame | None = None, turn: int | None = None) -> DataFrame:
     """Holders (shingle, band, below, node, root, size, at) of buckets, a shingle and a band of sizes, with more than
-    one root, and the number n of a bucket's holders, after ``moved`` (node, root) roots were joined to others."""
+    one root, and the number n of a bucket's holders, after ``moved`` (node, root) roots were joined to others.
+
+    With a ``turn`` each has its bucket's most central holder as well: at first the one with the fewest shingles
+    before the bucket's, which are rare ones that others lack, in later turns one by a hash."""
     columns = ["shingle", "band", "below", "node", "root", "size", "at"]
+    held = held.select(*columns)
     if moved is not None:
         to = moved.select(F.col("node").alias("root"), F.col("root").alias("__to"))
-        held = join_small(held, to, "root", "left").withColumn("root", F.coalesce("__to", "root")).drop("__to")
+        held = settle(join_small(held, to, "root", "left").withColumn("root", F.coalesce("__to", "root")).select(*columns), "rerooted")
+    kept = [F.count(F.lit(1)).alias("n")]
+    if turn is not None:
+        order = F.struct("at", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+        kept.append(F.min_by(F.struct("node", "root", "size", "at"), order).alias("centre"))
     ends = held.groupBy("shingle", "band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("below").alias("below")
+        *kept, F.min("root").alias("low"), F.max("root").alias("high"), F.min("below").alias("all_below")
     )
-    busy = settle(ends.where("low != high and not below").select("shingle", "band", "n"), "busy")
-    return settle(join_small(held.select(*columns), busy, ["shingle", "band"]), "holders")
+    busy = settle(ends.where("low != high and not all_below").drop("low", "high", "all_below"), "busy")
+    return settle(join_small(held, busy, ["shingle", "band"]), "holders")
 
 
-def central_pairs(held: DataFrame, least: float, turn: int) -> DataFrame:
-    """Pairs (a, b), with their roots (low, high), of each holder and its bucket's most central one: at first the
-    one with the fewest shingles before the bucket's, which are rare ones that others lack, in later turns one by
-    a hash.  Each holder makes one pair at most."""
-    order = F.struct("at", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
-    centres = held.groupBy("shingle", "band").agg(F.min_by(F.struct("node", "root", "size", "at"), order).alias("centre"))
+def central_pairs(held: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), with their roots (low, high), of each holder and its bucket's most central one.  Each holder
+    makes one pair at most."""
     room = F.least(F.col("size") - F.col("at"), F.col("centre.size") - F.col("centre.at"))
     possible = room >= F.ceil(F.lit(least / (1 + least)) * (F.col("size") + F.col("centre.size")) - _ROUNDING)
-    met = held.join(centres, ["shingle", "band"]).where(possible & (F.col("root") != F.col("centre.root")))
-    return met.select(
+    return held.where(possible & (F.col("root") != F.col("centre.root"))).select(
         F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"),
         F.least("root", "centre.root").alias("low"), F.greatest("root", "centre.root").alias("high"),
     ).distinct()
@@ -398,7 +413,9 @@ def missed_links(
     does not connect yet; with ``turns`` only links that connect what all of these do.
 
     Two such texts share one of their ``first_shingles``, and their sizes are in one band or in two that follow
-    each other.  Where a shingle is held under one root only, as almost all are, nothing is compared.  Other holders
+    each other.  Where a shingle is held under one root only, as almost all are, nothing is compared.  A text of
+    whose first and further shingles fewer are held under several roots than it would share with any like it is left
+    out: what texts share by chance would soon be most of what is compared.  Other holders
     meet their bucket's most central one in up to ``turns`` turns, which leaves groups of near copies few roots.
     What is then still apart is dealt into blocks; a pair of blocks is one small unit, which gives the pairs of
     different roots whose sizes, places of the shingle and, in buckets of more than ``few``, sketches leave ``least``
@@ -411,9 +428,13 @@ def missed_links(
         for block in blocks(batches, "text"):
             sets = [shingle_set(content, words) for content in strings(block.column("text"))]
             firsts = [first_shingles(held, common, ranks, least).view(np.int64) for held in sets]
+            many = [first_number(len(held), least) for held in sets]
+            # What a text shares with the smallest one like it, which takes the fewest further ones.
+            enough = [1 + further_number(math.ceil(least * len(held) - _ROUNDING), least) for held in sets]
+            numbers = [pa.array(held, pa.int32()) for held in (map(len, sets), many, enough)]
             yield pa.RecordBatch.from_arrays(
-                [block.column("node"), pa.array(map(len, sets), pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
-                names=["node", "size", "firsts"],
+                [block.column("node"), *numbers, pa.array(firsts, pa.list_(pa.int64()))],
+                names=["node", "size", "many", "enough", "firsts"],
             )
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -447,27 +468,33 @@ def missed_links(
                     ends = np.minimum(node[one], node[other]), np.maximum(node[one], node[other])
                     yield pa.RecordBatch.from_arrays([pa.array(end, pa.int64()) for end in ends], names=["a", "b"])
 
-    begins = texts.mapInArrow(begun, "node long, size int, firsts array<long>")
+    begins = texts.mapInArrow(begun, "node long, size int, many int, enough int, firsts array<long>")
     stored = settle(
         join_small(begins, roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "first-shingles"
     )
-    met = stored.select("node", "root", "size", F.posexplode("firsts").alias("at", "shingle"))
+    met = stored.select("node", "root", "size", "many", "enough", F.posexplode("firsts").alias("at", "shingle"))
     shared = met.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     held = join_small(met, settle(shared.select("shingle"), "shared"), "shingle")
+    counts = held.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.first("enough").alias("enough"))
+    able = settle(counts.where("n >= enough").select("node"), "able")
+    held = settle(join_small(held.where("at < many").drop("many", "enough"), able, "node"), "held")
     # A bucket holds the sizes of its band and, marked, of the one below: a band is a little wider than similar sizes are apart.
     band = F.floor(F.log("size") / (-math.log(least) * (1 + _ROUNDING))).cast("int")
     held = held.withColumn("below", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("band", band + F.col("below").cast("int"))
-    held = open_holders(held)
+    held = open_holders(held, turn=0 if turns else None)
     nodes = settle(held.select("node").distinct(), "holding")
     sketches = settle(join_small(texts, nodes, "node", "left_semi").mapInArrow(sketched, "node long, size int, sketch binary"), "sketches")
     links: list[DataFrame] = []
     for turn in range(turns):
-        near = settle(likely(central_pairs(held, least, turn), sketches, least), "central-pairs")
+        near = settle(likely(central_pairs(held, least), sketches, least), "central-pairs")
         found = settle(alike(texts, near.select("a", "b"), words, least).join(near, ["a", "b"]), "central-links")
+        # The central one has met its whole bucket: it leaves, and a bucket of two, as most are, is done.
+        left = held.where("n > 2 and node != centre.node")
         if found.isEmpty():
+            held = open_holders(left)
             break
         links.append(found.select("a", "b"))
-        held = open_holders(held, settle(connected(found, "low", "high"), "moved"))
+        held = open_holders(left, settle(connected(found, "low", "high"), "moved"), turn + 1 if turn + 1 < turns else None)
     small = held.where(F.col("n") <= few).withColumn("sketch", F.lit(None).cast("binary"))
     held = small.unionByName(held.where(F.col("n") > few).join(sketches.drop("size"), "node").select(*small.columns))
     dealt = held.withColumn("dealt", F.ceil(F.col("n") / block).cast("int"))

@@ -1,6 +1,7 @@
 """Fill-in-middle, hard negatives, secrets and similar texts against brute force, and odd rows."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -353,6 +354,47 @@ def test_a_group_of_edited_copies_makes_few_candidates(spark, monkeypatch):
     assert sum(rows.values()) <= 3 * len(texts)
 
 
+def test_texts_that_share_a_passage_by_chance_are_not_held(spark, monkeypatch):
+    """Passages of two texts each, which are like nothing: they are left out before holders meet, and buckets of two
+    are done with the first turn, so holders are in proportion to near copies."""
+    passages, texts, rows = [noise(40_000 + i, 12) for i in range(300)], {}, []
+    for i in range(300):
+        texts[i] = f"{passages[i]} {noise(50_000 + i, 40)} {passages[i - 1]}"
+    for i in range(8):
+        parts = noise(60_000 + i, 100).split()
+        texts[1000 + i], texts[2000 + i] = " ".join(parts), " ".join([*parts[:50], "edited", *parts[51:]])
+
+    def counted(df, label="settled", *rest):
+        stored = settle(df, label, *rest)
+        if label == "holders":
+            rows.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(simhash, "settle", counted)
+    frame = spark.createDataFrame(list(texts.items()), "node long, text string")
+    apart = spark.createDataFrame([], "node long, root long")
+    found = simhash.missed_links(frame, apart, 5, 0.8, turns=2).collect()
+    assert {(r.a, r.b) for r in found} == {(1000 + i, 2000 + i) for i in range(8)}
+    assert sum(rows) <= 900 and rows[1] == 0
+
+
+def test_like_sets_share_enough_of_their_first_shingles():
+    """Of two sets just above the threshold each shares what it needs in order to be held."""
+    draw = np.random.default_rng(11)
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for least in (0.6, 0.8, 0.9):
+        for _ in range(400):
+            size = int(draw.integers(1, 200))
+            other = int(draw.integers(math.ceil(least * size - 1e-9), size + 1))
+            shared = next(o for o in range(other + 1) if o / (size + other - o) >= least - 1e-12)
+            every = draw.permutation(np.arange(1, size + other - shared + 1, dtype=np.uint64))
+            sets = [np.sort(every[:size]), np.sort(every[size - shared :])]
+            firsts = [simhash.first_shingles(held, *none, least) for held in sets]
+            common = len(np.intersect1d(*firsts))
+            for held in sets:
+                assert common >= 1 + simhash.further_number(math.ceil(least * len(held) - 1e-9), least)
+
+
 def test_sketches_differ_in_no_more_bits_than_sets():
     draw = np.random.default_rng(5)
     for size, other, shared in [(0, 3, 0), (1, 1, 1), (40, 50, 39), (900, 1100, 870), (30_000, 37_000, 29_000)]:
